@@ -65,7 +65,8 @@ def _not_blank(c: str) -> Column:
 
 
 def _finish(name, df, key, order, rules, columns, extra=()) -> Silver:
-    deduped = keep_latest(df, [key], ["dt_ingestion", *order])
+    keys = key if isinstance(key, list) else [key]
+    deduped = keep_latest(df, keys, ["dt_ingestion", *order])
     deduped = deduped.drop(*order)
     flagged = Q.validate(deduped, rules)
     return Silver(name, flagged, columns, Q._rules(rules), list(extra))
@@ -109,8 +110,11 @@ def silver_channel(bronze: DataFrame, batch=None) -> Silver:
 CLIENT_COLS = ["cd_cliente", "nm_cliente", "ds_email", "nm_regiao", "nu_idade", "dt_ingestion", "dc_origem"]
 
 
-def silver_client(bronze: DataFrame, batch=None) -> Silver:
-    df = _batch(bronze, batch).select(
+def silver_client(bronze: DataFrame, batch=None, history: bool = False) -> Silver:
+    """``history=True`` validates every batch (dedup per key and batch),
+    for batch-over-batch quality tracking."""
+    src = bronze if history else _batch(bronze, batch)
+    df = src.select(
         K.pseudonym("id_client").alias("cd_cliente"),
         F.trim("client_name").alias("nm_cliente"),
         N.strip_email_alias("email").alias("ds_email"),
@@ -122,7 +126,8 @@ def silver_client(bronze: DataFrame, batch=None) -> Silver:
         Q.Rule("flag_email_valido", F.col("ds_email").rlike(N.R.EMAIL_VALID), "invalid e-mail"),
         Q.Rule("flag_maior_idade", F.col("nu_idade") >= 18, "under age"),
     ]
-    return _finish("tb_cliente", df, "cd_cliente", [], rules, CLIENT_COLS)
+    key = ["cd_cliente", "dt_ingestion"] if history else "cd_cliente"
+    return _finish("tb_cliente", df, key, [], rules, CLIENT_COLS)
 
 
 TIMES_COLS = ["cd_chamado", "cd_cliente", "dh_abertura", "dh_inicio", "dh_fim", "dt_ingestion", "dc_origem"]
