@@ -1,9 +1,16 @@
 """Lookup joins against small dimension tables and FK checks.
 
-Dimensions are broadcast only behind a proven bound: ``bounded`` counts at
-most ``max_rows + 1`` rows of the lookup (a limit, so the probe stops early)
-and falls back to a shuffled join when the bound is exceeded. AQE can still
-turn the shuffled join into a broadcast at run time from real sizes.
+Broadcast is only ever taken behind a size check, two ways:
+
+* default: no hint. AQE measures the *materialised* size of the lookup side
+  at run time and converts the shuffled join to a broadcast only when it is
+  under ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (set in
+  ``session.BASE_CONF``); above it the sort-merge join stays. This costs no
+  extra job and works when the lookup is itself derived (deduplicated) in
+  the same plan.
+* ``max_rows=N`` for stored tables: ``bounded`` counts at most ``N + 1``
+  rows (a limit, so the probe stops early) and hints ``broadcast`` only when
+  the table has at most ``N`` rows, else leaves the shuffled join.
 """
 
 from __future__ import annotations
@@ -25,7 +32,7 @@ def bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
 
 
 def lookup(left: DataFrame, dim: DataFrame, left_key: Column, dim_key: Column,
-           take: list[str], max_rows: int = BROADCAST_MAX_ROWS,
+           take: list[str], max_rows: int | None = None,
            key_name: str = "_lk") -> DataFrame:
     """LEFT join ``left`` to ``dim`` on computed keys, adding ``take`` columns.
 
@@ -35,7 +42,8 @@ def lookup(left: DataFrame, dim: DataFrame, left_key: Column, dim_key: Column,
     d = (dim.select(dim_key.alias(key_name), *take)
             .filter(F.col(key_name).isNotNull())
             .groupBy(key_name).agg(*[F.min(c).alias(c) for c in take]))
-    joined = left.withColumn(key_name, left_key).join(bounded(d, max_rows), on=key_name, how="left")
+    d = bounded(d, max_rows) if max_rows is not None else d
+    joined = left.withColumn(key_name, left_key).join(d, on=key_name, how="left")
     return joined.drop(key_name)
 
 

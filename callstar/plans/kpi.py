@@ -1,7 +1,7 @@
 """Operational KPIs over the star schema.
 
-Every KPI is a star join (fact x small dimensions, broadcast behind a row
-bound) followed by a low-cardinality aggregate with map-side partial
+Every KPI is a star join (fact x dimensions; AQE broadcasts a dimension
+only when its measured size is under the runtime threshold) followed by a low-cardinality aggregate with map-side partial
 aggregation. Windows (Pareto share, ranking, lag) run only over the
 *aggregated* rows, so an un-partitioned window sees tens of rows, never
 the fact.
@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from callstar.functions import rules as R
-from callstar.operators.lookup import bounded
 from callstar.plans.lake import Lake
 
 LOW_CRITICALITY = "BAIXA"
@@ -31,16 +30,15 @@ def _with_dims(lake: Lake, fact: DataFrame, *dims: str) -> DataFrame:
     out = fact
     for d in dims:
         if d == "reason":
-            out = out.join(bounded(lake.dim_reason.select("cd_motivo", "ds_motivo", "ds_categoria", "ds_criticidade")),
+            out = out.join(lake.dim_reason.select("cd_motivo", "ds_motivo", "ds_categoria", "ds_criticidade"),
                            "cd_motivo", "left")
         elif d == "channel":
-            out = out.join(bounded(lake.dim_channel.select("cd_canal", "nm_canal", "ds_tipo_interacao")),
+            out = out.join(lake.dim_channel.select("cd_canal", "nm_canal", "ds_tipo_interacao"),
                            "cd_canal", "left")
         elif d == "agent":
-            out = out.join(bounded(lake.dim_agent.select("cd_atendente", "nm_atendente", "nu_nivel")),
+            out = out.join(lake.dim_agent.select("cd_atendente", "nm_atendente", "nu_nivel"),
                            "cd_atendente", "left")
         elif d == "client":
-            # clients grow with the business: no broadcast hint, AQE decides
             out = out.join(lake.dim_client.select("cd_cliente", "nm_regiao", "ds_faixa_etaria"),
                            "cd_cliente", "left")
     return out
@@ -208,7 +206,7 @@ def csat_over_time(lake: Lake) -> DataFrame:
 
 def agent_ranking(lake: Lake) -> DataFrame:
     """K-16 agents ranked by volume, then score, then id."""
-    df = lake.fact_agent.join(bounded(lake.dim_agent.select("cd_atendente", "nm_atendente", "nu_nivel")),
+    df = lake.fact_agent.join(lake.dim_agent.select("cd_atendente", "nm_atendente", "nu_nivel"),
                               "cd_atendente", "left")
     order = Window.orderBy(F.col("qtd_chamados_atendidos").desc(),
                            F.col("val_nota_media").desc_nulls_last(), F.col("cd_atendente"))
