@@ -360,6 +360,13 @@ def _reject_reason_text(lake: Lake):
     return S.reason_rejects(lake.reasons)
 
 
+@register("schema_enforce", "IO-7 PF-1 PF-7 PF-8", ["f_tickets"],
+          f"SELECT {_sql_cols(O.SILVER_COLS['tickets'])} FROM f_tickets WHERE flag_qualidade = 'OK'")
+def _schema_enforce(lake: Lake):
+    from callstar.plans import schemas
+    return schemas.enforce(lake.tickets.flagged.filter(F.col(Q.VERDICT) == Q.OK), schemas.SILVER["tb_chamado"])
+
+
 @register("route_valid_rejects", "Q-10 PF-5 IO-10", ["f_clients"],
           "SELECT cd_cliente, flag_qualidade, CASE WHEN flag_qualidade = 'OK' THEN 'tb_cliente' "
           "ELSE 'tb_cliente_invalidos' END AS destination FROM f_clients")

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callstar.plans import gold as G
+from callstar.plans import schemas
 from callstar.plans import silver as S
 from callstar.sources import sinks
 from callstar.sources.batches import latest_batch
@@ -70,10 +71,12 @@ def _bronze(spark: SparkSession, name: str) -> DataFrame:
 def _publish_silver(spark: SparkSession, s: S.Silver, table: str, keys: list[str], batch_ts: str):
     staging = sinks.table_path(spark, "_staging", f"{table}/batch={_tag(batch_ts)}")
     valid, rejected = sinks.write_flagged(s.flagged, staging)
-    sinks.upsert_table(valid.select(*s.columns), sinks.table_path(spark, "silver", table), keys)
-    audit = rejected.select(*s.columns, *s.extra_reject_cols, *[r.flag for r in s.rules], "flag_qualidade")
+    sinks.upsert_table(schemas.enforce(valid, schemas.SILVER[table]), sinks.table_path(spark, "silver", table), keys)
     if table == "tb_motivo":
         audit = S.reason_rejects(S.Silver(s.name, rejected, s.columns, s.rules))
+    else:
+        audit = rejected
+    audit = schemas.enforce(audit, schemas.AUDIT[f"{table}_invalidos"])
     sinks.overwrite(audit, sinks.table_path(spark, "silver", f"{table}_invalidos"))
 
 
@@ -102,7 +105,8 @@ def load_gold(spark: SparkSession) -> None:
         "ft_performance_agente": G.fact_agent(tickets, surveys),
     }
     for name, df in outputs.items():
-        sinks.upsert_table(df, sinks.table_path(spark, "gold", name), GOLD_KEYS[name])
+        sinks.upsert_table(schemas.enforce(df, schemas.GOLD[name]), sinks.table_path(spark, "gold", name),
+                           GOLD_KEYS[name])
 
 
 def publish(spark: SparkSession) -> list[str]:

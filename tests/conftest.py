@@ -12,7 +12,8 @@ def spark():
     from callstar.session import build_session
     ckpt = tempfile.mkdtemp(prefix="callstar-test-ckpt-")
     s = build_session("local[4]", app="callstar-tests", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": ckpt, "callstar.warehouse": os.path.join(ckpt, "wh")})
+                      extra={"spark.checkpoint.dir": ckpt, "callstar.warehouse": os.path.join(ckpt, "wh"),
+                             "spark.sql.warehouse.dir": os.path.join(ckpt, "catalog")})
     yield s
     s.stop()
 
