@@ -302,15 +302,15 @@ def _dedup_any(lake: Lake):
 # validation and silver tables
 # ---------------------------------------------------------------------------
 
-_SILVER = {
-    "agent": ("agents", "f_agents", O.AGENT_FLAGS, []),
-    "channel": ("channels", "f_channels", O.CHANNEL_FLAGS, ["st_ativo_raw"]),
-    "client": ("clients", "f_clients", O.CLIENT_FLAGS, []),
-    "ticket_times": ("times", "f_times", O.TIMES_FLAGS, []),
-    "cost": ("costs", "f_costs", O.COST_FLAGS, []),
-    "reason": ("reasons", "f_reasons", O.REASON_FLAGS, []),
-    "survey": ("surveys", "f_surveys", O.SURVEY_FLAGS, []),
-    "ticket": ("tickets", "f_tickets", O.TICKET_FLAGS, []),
+_SILVER = {  # short name: (Lake attribute, oracle CTE, flags, extra audit columns, validate ids, silver ids)
+    "agent": ("agents", "f_agents", O.AGENT_FLAGS, [], "Q-1", "T-1"),
+    "channel": ("channels", "f_channels", O.CHANNEL_FLAGS, ["st_ativo_raw"], "Q-2", "T-2 N-13 N-14"),
+    "client": ("clients", "f_clients", O.CLIENT_FLAGS, [], "Q-3", "T-3 N-12"),
+    "ticket_times": ("times", "f_times", O.TIMES_FLAGS, [], "Q-5", "T-4"),
+    "cost": ("costs", "f_costs", O.COST_FLAGS, [], "Q-6", "T-5"),
+    "reason": ("reasons", "f_reasons", O.REASON_FLAGS, [], "Q-7", "T-6"),
+    "survey": ("surveys", "f_surveys", O.SURVEY_FLAGS, [], "Q-8", "T-7"),
+    "ticket": ("tickets", "f_tickets", O.TICKET_FLAGS, [], "Q-4", "T-8 J-1 J-2 J-3"),
 }
 _TS_COLS = {"dt_ingestion", "dh_abertura", "dh_inicio", "dh_fim"}
 _MONEY_COLS = {"vl_custo"}
@@ -332,19 +332,19 @@ def _audit(s: S.Silver) -> DataFrame:
     return s.flagged.select(*s.columns, *s.extra_reject_cols, *[r.flag for r in s.rules], Q.VERDICT)
 
 
-def _make_silver(short: str, attr: str, cte_name: str, flags, extra):
+def _make_silver(short: str, attr: str, cte_name: str, flags, extra, q_ids: str, t_ids: str):
     cols = O.SILVER_COLS[attr]
     flag_names = [n for n, _ in flags]
-    register(f"validate_{short}", "Q PF-5", [cte_name],
+    register(f"validate_{short}", f"{q_ids} PF-5 PF-10 A-5", [cte_name],
              f"SELECT {_sql_cols(cols + extra + flag_names)}, flag_qualidade FROM {cte_name}")(
         lambda lake: _audit(getattr(lake, attr)))
-    register(f"silver_{short}", "T IO-2 PF-1", [cte_name],
+    register(f"silver_{short}", f"{t_ids} IO-2 IO-3 PF-1 PF-3", [cte_name],
              f"SELECT {_sql_cols(cols)} FROM {cte_name} WHERE flag_qualidade = 'OK'")(
         lambda lake: getattr(lake, attr).valid())
 
 
-for _short, (_attr, _cte, _flags, _extra) in _SILVER.items():
-    _make_silver(_short, _attr, _cte, _flags, _extra)
+for _short, _spec in _SILVER.items():
+    _make_silver(_short, *_spec)
 
 _REASON_LABELS = [(n, lab) for (n, _), lab in zip(O.REASON_FLAGS, ["missing id", "blank name", "blank category",
                                                                     "unknown criticality"])]
