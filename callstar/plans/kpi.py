@@ -212,7 +212,7 @@ def agent_ranking(lake: Lake) -> DataFrame:
                            F.col("val_nota_media").desc_nulls_last(), F.col("cd_atendente"))
     return df.select("cd_atendente", "nm_atendente", "nu_nivel", "qtd_chamados_atendidos",
                      "val_tempo_trabalhado_seg", F.col("val_nota_media").cast("double").alias("val_nota_media"),
-                     F.row_number().over(order).alias("rank"))
+                     F.row_number().over(order).cast("bigint").alias("rank"))
 
 
 def load_by_level(lake: Lake) -> DataFrame:
