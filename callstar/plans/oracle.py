@@ -315,7 +315,6 @@ def with_ctes(deps: list[str], body: str) -> str:
     for d in deps:
         visit(d)
     parts = []
-    fixtures = dict(fixture_ctes([n for n in order if n in FIXTURE_SQL]))
     done = set()
     for n in order:
         if n in FIXTURE_SQL:
@@ -326,7 +325,6 @@ def with_ctes(deps: list[str], body: str) -> str:
         elif n not in done:
             parts.append(f"{n} AS ({CTES[n]})")
             done.add(n)
-    del fixtures
     if not parts:
         return body
     if body.lstrip().upper().startswith("WITH "):

@@ -41,23 +41,16 @@ def ingest_status(frames: dict[str, DataFrame], batch_ts: str = DEFAULT_BATCH) -
     A table whose plan cannot be built (missing columns, bad source) gets a
     FAILED row instead of stopping the others. All counts run as one job.
     """
-    parts = []
-    spark = None
+    spark = next(iter(frames.values())).sparkSession
+    out = None
     for name, df in frames.items():
-        spark = spark or df.sparkSession
         try:
-            stamped = stamp(df, batch_ts, f"landing.{name}")
-            parts.append(stamped.agg(F.count(F.lit(1)).alias("row_count"))
-                         .select(F.lit(name).alias("table_name"), "row_count",
-                                 F.lit("LOADED").alias("status")))
-        except Exception:  # plan-time failure of one table only
-            parts.append(None)
-            failed = name
-            parts[-1] = spark.createDataFrame([(failed, None, "FAILED")],
-                                              "table_name string, row_count bigint, status string")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+            part = (stamp(df, batch_ts, f"landing.{name}").agg(F.count(F.lit(1)).alias("row_count"))
+                    .select(F.lit(name).alias("table_name"), "row_count", F.lit("LOADED").alias("status")))
+        except Exception:  # plan-time failure of this table only
+            part = spark.createDataFrame([(name, None, "FAILED")],
+                                         "table_name string, row_count bigint, status string")
+        out = part if out is None else out.unionByName(part)
     return out
 
 
