@@ -3,6 +3,12 @@
 ``Lake`` wires landing -> bronze -> silver -> gold for one ``sf_dir`` and
 memoises each frame, so one query plan reuses the same sub-plans (Spark's
 exchange reuse then computes a shared sub-plan once per query).
+
+The single-batch bronze frames are stamped here with a known batch, so the
+silver builders are given that batch explicitly (the reprocess path): the
+filter folds to TRUE at plan time instead of running a max() subquery per
+table. Stored bronze history goes through the latest-batch subquery
+(``daily_load``).
 """
 
 from __future__ import annotations
@@ -41,36 +47,36 @@ class Lake:
     # -- silver ------------------------------------------------------------
     @cached_property
     def agents(self) -> S.Silver:
-        return S.silver_agent(self.bronze("l_agents"))
+        return S.silver_agent(self.bronze("l_agents"), batch=self.batch_ts)
 
     @cached_property
     def channels(self) -> S.Silver:
-        return S.silver_channel(self.bronze("l_channels"))
+        return S.silver_channel(self.bronze("l_channels"), batch=self.batch_ts)
 
     @cached_property
     def clients(self) -> S.Silver:
-        return S.silver_client(self.bronze("l_clients"))
+        return S.silver_client(self.bronze("l_clients"), batch=self.batch_ts)
 
     @cached_property
     def times(self) -> S.Silver:
-        return S.silver_ticket_times(self.bronze("l_ticket_times"))
+        return S.silver_ticket_times(self.bronze("l_ticket_times"), batch=self.batch_ts)
 
     @cached_property
     def costs(self) -> S.Silver:
-        return S.silver_cost(self.bronze("l_costs"))
+        return S.silver_cost(self.bronze("l_costs"), batch=self.batch_ts)
 
     @cached_property
     def reasons(self) -> S.Silver:
-        return S.silver_reason(self.bronze("l_reasons"))
+        return S.silver_reason(self.bronze("l_reasons"), batch=self.batch_ts)
 
     @cached_property
     def surveys(self) -> S.Silver:
-        return S.silver_survey(self.bronze("l_surveys"))
+        return S.silver_survey(self.bronze("l_surveys"), batch=self.batch_ts)
 
     @cached_property
     def tickets(self) -> S.Silver:
         return S.silver_ticket(self.bronze("l_tickets"), self.reasons.valid(),
-                               self.channels.valid(), self.times.valid())
+                               self.channels.valid(), self.times.valid(), batch=self.batch_ts)
 
     def all_silver(self) -> list[S.Silver]:
         return [self.agents, self.channels, self.clients, self.times, self.costs,
