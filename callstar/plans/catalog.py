@@ -472,6 +472,32 @@ def _fact_agent(lake: Lake):
     return lake.fact_agent
 
 
+@register("fact_service_fanout", "T-14 J-4 (reference-exact fan-out)", ["v_tickets", "v_times", "v_costs", "v_surveys"],
+          f"SELECT md5(concat_ws('|', {O._ids})) AS pk, t.cd_cliente, t.cd_motivo, t.cd_canal, t.cd_atendente, t.cd_chamado, "
+          f"{DF('CAST(coalesce(tt.dh_inicio, t.dt_ingestion) AS DATE)')} AS dt_referencia, "
+          f"CAST(hour(coalesce(tt.dh_inicio, t.dt_ingestion)) AS SMALLINT) AS nu_hora_dia, "
+          f"CAST(coalesce(t.tm_espera, 0) AS BIGINT) AS val_tempo_espera, "
+          f"CAST(coalesce(t.tm_duracao, 0) AS BIGINT) AS val_tempo_atendimento, "
+          f"CAST(coalesce(c.vl_custo, 0) AS DOUBLE) AS val_custo, CAST(s.nu_nota AS SMALLINT) AS val_nota_csat, "
+          f"CAST(CASE WHEN t.tm_espera > {R.NEGATIVE_WAIT_SECONDS} OR s.nu_nota <= {R.NEGATIVE_SCORE_MAX} THEN 1 ELSE 0 END "
+          f"AS SMALLINT) AS fl_experiencia_negativa, CAST(CASE WHEN t.st_resolvido THEN 1 ELSE 0 END AS SMALLINT) AS st_resolvido "
+          f"FROM v_tickets t LEFT JOIN v_times tt ON t.cd_chamado = tt.cd_chamado "
+          f"LEFT JOIN v_costs c ON t.cd_chamado = c.cd_chamado LEFT JOIN v_surveys s ON t.cd_chamado = s.cd_chamado")
+def _fact_service_fanout(lake: Lake):
+    return G.fact_service_fanout(lake.tickets.valid(), lake.times.valid(), lake.costs.valid(), lake.surveys.valid())
+
+
+@register("fact_agent_fanout", "T-16 J-6 (reference-exact fan-out)", ["v_tickets", "v_surveys"],
+          "SELECT md5(CAST(cd_atendente AS VARCHAR)) AS pk_performance, cd_atendente, qtd_chamados_atendidos, "
+          "val_tempo_trabalhado_seg, CAST(CAST(CASE WHEN n > 0 THEN floor((s * 200 + n) / (n * 2)) END / 100 AS DECIMAL(3,2)) "
+          "AS DOUBLE) AS val_nota_media FROM (SELECT t.cd_atendente, count(*) AS qtd_chamados_atendidos, "
+          "CAST(sum(t.tm_duracao) AS BIGINT) AS val_tempo_trabalhado_seg, CAST(sum(s.nu_nota) AS BIGINT) AS s, "
+          "count(s.nu_nota) AS n FROM v_tickets t LEFT JOIN v_surveys s ON t.cd_chamado = s.cd_chamado "
+          "WHERE t.cd_atendente IS NOT NULL GROUP BY t.cd_atendente) g")
+def _fact_agent_fanout(lake: Lake):
+    return G.fact_agent_fanout(lake.tickets.valid(), lake.surveys.valid())
+
+
 @register("fact_cost_agg", "A-11", ["ft_cost"],
           f"SELECT cd_motivo, cd_canal, {DF('dt_referencia')} AS dt_referencia, "
           f"CAST(sum(val_custo_total) AS DOUBLE) AS val_custo_total, count(*) AS qtd_custos, "

@@ -112,6 +112,42 @@ def fact_service(tickets: DataFrame, times: DataFrame, costs: DataFrame, surveys
         F.when(F.col("st_resolvido"), F.lit(1)).otherwise(F.lit(0)).cast("smallint").alias("st_resolvido"))
 
 
+def fact_service_fanout(tickets: DataFrame, times: DataFrame, costs: DataFrame, surveys: DataFrame) -> DataFrame:
+    """Reference-exact service fact: every cost and every survey row joined
+    as is, so a ticket with n costs and m surveys yields n x m rows (kept for
+    parity; ``fact_service`` is the de-duplicated fact)."""
+    j = (tickets.join(times.select("cd_chamado", "dh_inicio"), "cd_chamado", "left")
+                .join(costs.select("cd_chamado", "vl_custo"), "cd_chamado", "left")
+                .join(surveys.select("cd_chamado", "nu_nota"), "cd_chamado", "left"))
+    ref = F.coalesce(F.col("dh_inicio"), F.col("dt_ingestion"))
+    negative = (F.col("tm_espera") > R.NEGATIVE_WAIT_SECONDS) | (F.col("nu_nota") <= R.NEGATIVE_SCORE_MAX)
+    return j.select(
+        K.surrogate("cd_cliente", "cd_motivo", "cd_canal", "cd_atendente", "cd_chamado").alias("pk"),
+        "cd_cliente", "cd_motivo", "cd_canal", "cd_atendente", "cd_chamado",
+        F.to_date(ref).alias("dt_referencia"),
+        F.hour(ref).cast("smallint").alias("nu_hora_dia"),
+        F.coalesce("tm_espera", F.lit(0)).cast("bigint").alias("val_tempo_espera"),
+        F.coalesce("tm_duracao", F.lit(0)).cast("bigint").alias("val_tempo_atendimento"),
+        F.coalesce("vl_custo", F.lit(0)).cast("decimal(12,10)").alias("val_custo"),
+        F.col("nu_nota").cast("smallint").alias("val_nota_csat"),
+        F.when(negative, F.lit(1)).otherwise(F.lit(0)).cast("smallint").alias("fl_experiencia_negativa"),
+        F.when(F.col("st_resolvido"), F.lit(1)).otherwise(F.lit(0)).cast("smallint").alias("st_resolvido"))
+
+
+def fact_agent_fanout(tickets: DataFrame, surveys: DataFrame) -> DataFrame:
+    """Reference-exact agent fact: tickets joined to every survey row."""
+    j = (tickets.join(surveys.select("cd_chamado", "nu_nota"), "cd_chamado", "left")
+                .filter(F.col("cd_atendente").isNotNull()))
+    g = j.groupBy("cd_atendente").agg(
+        F.count(F.lit(1)).alias("qtd_chamados_atendidos"),
+        F.sum("tm_duracao").cast("bigint").alias("val_tempo_trabalhado_seg"),
+        F.sum("nu_nota").alias("_s"), F.count("nu_nota").alias("_n"))
+    return g.select(
+        F.md5(F.col("cd_atendente").cast("string")).alias("pk_performance"),
+        "cd_atendente", "qtd_chamados_atendidos", "val_tempo_trabalhado_seg",
+        mean_2dp("_s", "_n").alias("val_nota_media"))
+
+
 def fact_cost(tickets: DataFrame, costs: DataFrame) -> DataFrame:
     """One row per valid cost of a valid ticket (inner join)."""
     c = costs.select("cd_custo", "cd_chamado", "vl_custo")
