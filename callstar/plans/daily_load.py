@@ -7,10 +7,12 @@ checkpoint): a lost executor only recomputes the current hop.
 * bronze: append the stamped batch, partitioned by batch day (so the
   latest-batch scalar subquery prunes history at run time);
 * silver: compute the flagged frame once, write it split by verdict, then
-  upsert the valid side (new table version) and overwrite the audit table
-  with the rejected side; lookups (reason, channel, ticket times) are built
-  before tickets;
-* gold: dimensions and facts upserted by their keys from current silver;
+  upsert the valid side into the hash-bucketed table (only touched buckets
+  are rewritten) and overwrite the audit table with the rejected side;
+  lookups (reason, channel, ticket times) are built before tickets;
+* gold: large facts upserted into date partitions (only touched dates,
+  including the old date of a ticket whose date moved); dimensions and the
+  per-agent fact as small versioned tables;
 * views: one published view per gold table.
 """
 
@@ -38,6 +40,8 @@ SILVER_PLAN = [
     ("l_reasons", "tb_motivo", ["cd_motivo"], S.silver_reason),
     ("l_surveys", "tb_pesquisa", ["cd_pesquisa"], S.silver_survey),
 ]
+# large gold tables: partition column for touched-partition upserts
+GOLD_PARTITION = {"ft_atendimento_geral": "dt_referencia", "ft_custo_operacional": "dt_referencia"}
 GOLD_KEYS = {
     "dm_atendente": ["cd_atendente"], "dm_canal": ["cd_canal"], "dm_cliente": ["cd_cliente"],
     "dm_motivo": ["cd_motivo"], "dm_chamado": ["cd_chamado"],
@@ -46,6 +50,11 @@ GOLD_KEYS = {
 }
 
 
+def _buckets(spark: SparkSession) -> int:
+    """Hash buckets per silver table (deployment setting; small default)."""
+    return int(spark.conf.get("callstar.silver.buckets", "16"))
+
+
 def _tag(batch_ts: str) -> str:
     return re.sub(r"[^0-9]", "", batch_ts)
 
@@ -71,7 +80,9 @@ def _bronze(spark: SparkSession, name: str) -> DataFrame:
 def _publish_silver(spark: SparkSession, s: S.Silver, table: str, keys: list[str], batch_ts: str):
     staging = sinks.table_path(spark, "_staging", f"{table}/batch={_tag(batch_ts)}")
     valid, rejected = sinks.write_flagged(s.flagged, staging)
-    sinks.upsert_table(schemas.enforce(valid, schemas.SILVER[table]), sinks.table_path(spark, "silver", table), keys)
+    sinks.upsert_partitioned(schemas.enforce(valid, schemas.SILVER[table]), sinks.table_path(spark, "silver", table),
+                             keys, sinks.BUCKET_COL, sinks.hash_bucket(keys, _buckets(spark)),
+                             key_determines_partition=True)
     if table == "tb_motivo":
         audit = S.reason_rejects(S.Silver(s.name, rejected, s.columns, s.rules))
     else:
@@ -105,8 +116,11 @@ def load_gold(spark: SparkSession) -> None:
         "ft_performance_agente": G.fact_agent(tickets, surveys),
     }
     for name, df in outputs.items():
-        sinks.upsert_table(schemas.enforce(df, schemas.GOLD[name]), sinks.table_path(spark, "gold", name),
-                           GOLD_KEYS[name])
+        typed, path = schemas.enforce(df, schemas.GOLD[name]), sinks.table_path(spark, "gold", name)
+        if name in GOLD_PARTITION:
+            sinks.upsert_partitioned(typed, path, GOLD_KEYS[name], GOLD_PARTITION[name])
+        else:
+            sinks.upsert_table(typed, path, GOLD_KEYS[name])
 
 
 def publish(spark: SparkSession) -> list[str]:

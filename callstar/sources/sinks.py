@@ -1,4 +1,12 @@
-"""Sinks: audit overwrite, flagged write-once, versioned upsert, views.
+"""Sinks: audit overwrite, flagged write-once, upserts, views.
+
+Two upsert layouts:
+
+* ``upsert_partitioned`` for large tables: the table is partitioned (hash
+  bucket of the key, or a date) and an upsert rewrites only the partitions
+  the batch touches;
+* ``upsert_table`` for small tables (dimensions, per-agent facts): each
+  upsert writes a full new ``_version``.
 
 Tables live as parquet directories under a warehouse root (by default a
 folder inside the shared ``spark.checkpoint.dir``). An upserted table is a
@@ -12,6 +20,7 @@ write leaves the previous version untouched.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +30,7 @@ from callstar.operators.upsert import upsert
 from callstar.session import checkpoint_root
 
 VERSION_COL = "_version"
+BUCKET_COL = "_bucket"
 
 
 def warehouse_root(spark: SparkSession) -> str:
@@ -60,10 +70,14 @@ def write_flagged(flagged: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame | None:
-    """Newest version of a versioned table (None if never written)."""
+    """Current rows of a stored table (None if never written): the newest
+    ``_version`` of a versioned table, or a partitioned table without its
+    internal bucket column."""
     if not _exists(spark, path):
         return None
     df = spark.read.parquet(path)
+    if VERSION_COL not in df.columns:
+        return df.drop(BUCKET_COL)
     return spark.sql(f"SELECT * FROM {{t}} WHERE `{VERSION_COL}` = (SELECT max(`{VERSION_COL}`) FROM {{t}})",
                      t=df).drop(VERSION_COL)
 
@@ -82,6 +96,77 @@ def upsert_table(source: DataFrame, path: str, keys: list[str]) -> DataFrame:
     return read_current(spark, path)
 
 
+def upsert_partitioned(source: DataFrame, path: str, keys: list[str], partition_col: str,
+                       partition_expr=None, key_determines_partition: bool = False) -> DataFrame:
+    """MERGE ``source`` into a partitioned parquet table, rewriting only the
+    partitions the batch touches.
+
+    Touched partitions = partitions of the incoming rows, plus (unless the
+    partition is a function of the key, e.g. a hash bucket) the partitions
+    where the incoming keys currently live, so a row whose partition value
+    changed is removed from its old partition. That second set is found by
+    scanning only the key and partition columns. The touched values, at most
+    one per partition, are the only thing brought to the driver; they become
+    a static partition filter on the target. The merged partitions are
+    written to a staging copy in the shared folder (lineage cut) and then
+    swapped in with a dynamic partition overwrite; a failure before the
+    swap leaves the table untouched, and a failure during it is repaired by
+    re-running the swap from the same staging copy.
+    """
+    spark = source.sparkSession
+    src = source if partition_expr is None else source.withColumn(partition_col, partition_expr)
+    if not _exists(spark, path):
+        src.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+        return spark.read.parquet(path)
+    target = spark.read.parquet(path)
+    touched = src.select(partition_col).distinct()
+    if not key_determines_partition:
+        moved = (target.select(*keys, partition_col)
+                       .join(src.select(*keys).distinct(), on=keys, how="left_semi")
+                       .select(partition_col).distinct())
+        touched = touched.unionByName(moved).distinct()
+    values = [r[0] for r in touched.collect()]  # bounded by the number of partitions
+    if not values:
+        return target
+    has_null = any(v is None for v in values)
+    cond = F.col(partition_col).isin([v for v in values if v is not None])
+    if has_null:
+        cond = cond | F.col(partition_col).isNull()
+    merged = upsert(target.filter(cond), src.select(*target.columns), keys)
+    staging = os.path.join(checkpoint_root(spark), "_staging", "upsert", uuid.uuid4().hex)
+    merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
+    staged = spark.read.parquet(staging)
+    (staged.select(*target.columns)
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(partition_col).parquet(path))
+    # a dynamic overwrite never removes a partition the merge emptied
+    present = {str(r[0]) for r in staged.select(partition_col).distinct().collect()}
+    for v in values:
+        if v is not None and str(v) not in present:
+            _delete(spark, os.path.join(path, f"{partition_col}={_path_value(v)}"))
+    return spark.read.parquet(path)
+
+
+def _path_value(v) -> str:
+    text = str(v)
+    if not all(ch.isalnum() or ch in "-_." for ch in text):
+        raise ValueError(f"partition value needs path escaping: {text!r}")
+    return text
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def hash_bucket(keys: list[str], buckets: int):
+    """Bucket id as a pure function of the key (for ``upsert_partitioned``)."""
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int").alias(BUCKET_COL)
+
+
 def publish_views(spark: SparkSession, views: dict[str, DataFrame]) -> None:
     """One-to-one published views (session scope)."""
     for name, df in views.items():

@@ -22,9 +22,11 @@ def test_daily_load_twice_is_idempotent(spark, sf_small):
     fact = sinks.read_current(spark, sinks.table_path(spark, "gold", "ft_atendimento_geral"))
     assert fact.count() == expected["tb_chamado"]
     assert fact.select("cd_chamado").distinct().count() == fact.count()
-    versions = spark.read.parquet(sinks.table_path(spark, "gold", "ft_atendimento_geral")) \
+    versions = spark.read.parquet(sinks.table_path(spark, "gold", "dm_atendente")) \
                     .select(F.max("_version")).first()[0]
     assert versions == 2
+    assert "dt_referencia=" in " ".join(
+        p.name for p in __import__("pathlib").Path(sinks.table_path(spark, "gold", "ft_atendimento_geral")).iterdir())
     assert spark.sql("SELECT count(*) AS n FROM vw_ft_atendimento_geral").first()["n"] == fact.count()
     audit = spark.read.parquet(sinks.table_path(spark, "silver", "tb_motivo_invalidos"))
     assert "motivo_rejeicao" in audit.columns
