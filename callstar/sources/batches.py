@@ -11,6 +11,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,11 +42,17 @@ def batch_diff(old: DataFrame, new: DataFrame, keys: list[str], compare: list[st
 
     Output: keys, change_type in (INSERT, UPDATE, DELETE), then the new
     values (old values for deletes). Unchanged keys produce no row.
+
+    NULL keys never match, so NULL-keyed rows are emitted directly as
+    DELETE (old side) or INSERT (new side) instead of entering the full
+    outer join, where all of them would hash to one task (AQE splits skewed
+    partitions for inner/left joins, not for full outer joins).
     """
-    o = old.select(*keys, row_hash(*compare).alias("_h_old"),
-                   *[F.col(c).alias(f"_o_{c}") for c in compare])
-    n = new.select(*keys, row_hash(*compare).alias("_h_new"),
-                   *[F.col(c).alias(f"_n_{c}") for c in compare])
+    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    o = old.filter(keyed).select(*keys, row_hash(*compare).alias("_h_old"),
+                                 *[F.col(c).alias(f"_o_{c}") for c in compare])
+    n = new.filter(keyed).select(*keys, row_hash(*compare).alias("_h_new"),
+                                 *[F.col(c).alias(f"_n_{c}") for c in compare])
     j = o.join(n, on=keys, how="full_outer")
     change = (F.when(F.col("_h_old").isNull(), F.lit("INSERT"))
                .when(F.col("_h_new").isNull(), F.lit("DELETE"))
@@ -52,4 +60,6 @@ def batch_diff(old: DataFrame, new: DataFrame, keys: list[str], compare: list[st
     out = j.select(*keys, change.alias("change_type"),
                    *[F.when(F.col("_h_new").isNull(), F.col(f"_o_{c}"))
                       .otherwise(F.col(f"_n_{c}")).alias(c) for c in compare])
-    return out.filter(F.col("change_type").isNotNull())
+    deleted = old.filter(~keyed).select(*keys, F.lit("DELETE").alias("change_type"), *compare)
+    inserted = new.filter(~keyed).select(*keys, F.lit("INSERT").alias("change_type"), *compare)
+    return out.filter(F.col("change_type").isNotNull()).unionByName(deleted).unionByName(inserted)

@@ -89,3 +89,11 @@ def test_latest_batch_asof_and_diff(spark):
     new = b.filter(F.to_date("ingestion_timestamp") == "2024-01-02").select("k", "v")
     d = {r["k"]: (r["change_type"], r["v"]) for r in batch_diff(old, new, ["k"], ["v"]).collect()}
     assert d == {1: ("UPDATE", "A"), 2: ("DELETE", "b"), 3: ("INSERT", "c")}
+
+
+def test_batch_diff_null_keys_bypass_the_join(spark):
+    old = spark.createDataFrame([(None, "x"), (1, "a")], "k int, v string")
+    new = spark.createDataFrame([(None, "y"), (1, "a"), (2, "b")], "k int, v string")
+    got = sorted((r["k"] if r["k"] is not None else -1, r["change_type"], r["v"])
+                 for r in batch_diff(old, new, ["k"], ["v"]).collect())
+    assert got == [(-1, "DELETE", "x"), (-1, "INSERT", "y"), (2, "INSERT", "b")]
