@@ -45,6 +45,32 @@ def build_session(master: str | None = None, app: str = "callstar",
     return spark
 
 
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256,
+                 shuffle_fraction: float = 0.25, max_shuffle_partitions: int = 100_000) -> dict:
+    """Partition sizing for a cluster run over ``input_bytes`` of parquet.
+
+    * scans are split at ``target_partition_mb`` (fewer, larger read tasks);
+    * shuffles carry only the projected columns, estimated as
+      ``shuffle_fraction`` of the input; they start with one partition per
+      ``target_partition_mb`` of that (at least 2x the cores, at most
+      ``max_shuffle_partitions`` to bound map-status metadata) and AQE
+      coalesces small ones towards the same advisory size, so a shuffle
+      partition holds a few hundred MB, not the whole key range;
+    * skewed partitions above 4x the advisory size are split by AQE.
+    """
+    mb = 1024 * 1024
+    wanted = -(-int(input_bytes * shuffle_fraction) // (target_partition_mb * mb))
+    initial = min(max_shuffle_partitions, max(2 * total_cores, wanted))
+    return {
+        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * target_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def apply_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of BASE_CONF to an existing session."""
     for k, v in BASE_CONF.items():
