@@ -129,6 +129,15 @@ def publish(spark: SparkSession) -> list[str]:
     return sorted(views)
 
 
+def layer_status(spark: SparkSession) -> DataFrame:
+    """Post-run check: every gold table exists and holds rows."""
+    rows = []
+    for t in GOLD_KEYS:
+        df = sinks.read_current(spark, sinks.table_path(spark, "gold", t))
+        rows.append((t, df is not None, df is not None and df.limit(1).count() > 0))
+    return spark.createDataFrame(rows, "table_name string, exists boolean, loaded boolean")
+
+
 def run(spark: SparkSession, landing: dict[str, DataFrame], batch_ts: str) -> DataFrame:
     """One daily run; returns per-table silver counts read back from storage.
 

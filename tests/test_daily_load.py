@@ -28,5 +28,7 @@ def test_daily_load_twice_is_idempotent(spark, sf_small):
     assert "dt_referencia=" in " ".join(
         p.name for p in __import__("pathlib").Path(sinks.table_path(spark, "gold", "ft_atendimento_geral")).iterdir())
     assert spark.sql("SELECT count(*) AS n FROM vw_ft_atendimento_geral").first()["n"] == fact.count()
+    status = {r["table_name"]: r["loaded"] for r in daily_load.layer_status(spark).collect()}
+    assert all(status.values()) and len(status) == 8
     audit = spark.read.parquet(sinks.table_path(spark, "silver", "tb_motivo_invalidos"))
     assert "motivo_rejeicao" in audit.columns

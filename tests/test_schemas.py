@@ -31,3 +31,19 @@ def test_bronze_schema_adds_lineage(spark, sf_small):
 def test_layer_bootstrap_is_idempotent(spark):
     assert sorted(schemas.ensure_databases(spark)) == sorted(schemas.LAYERS)
     assert sorted(schemas.ensure_databases(spark)) == sorted(schemas.LAYERS)
+
+
+def test_varchar_limit_raises(spark):
+    df = spark.createDataFrame([(1, "x" * 51, True)], "cd_canal long, nm_canal string, st_ativo boolean")
+    df = df.withColumn("dt_ingestion", F.current_timestamp()).withColumn("dc_origem", F.lit("t"))
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        schemas.enforce(df, schemas.SILVER["tb_canal"]).collect()
+    ok = df.withColumn("nm_canal", F.lit("URA"))
+    assert schemas.enforce(ok, schemas.SILVER["tb_canal"]).count() == 1
+
+
+def test_create_if_absent_is_idempotent(spark, tmp_path):
+    path = str(tmp_path / "tb_canal")
+    assert schemas.create_if_absent(spark, path, schemas.SILVER["tb_canal"]) is True
+    assert schemas.create_if_absent(spark, path, schemas.SILVER["tb_canal"]) is False
+    assert spark.read.parquet(path).count() == 0
