@@ -32,3 +32,32 @@ def test_daily_load_twice_is_idempotent(spark, sf_small):
     assert all(status.values()) and len(status) == 8
     audit = spark.read.parquet(sinks.table_path(spark, "silver", "tb_motivo_invalidos"))
     assert "motivo_rejeicao" in audit.columns
+
+
+def test_two_batches_upsert_stored_silver(spark, sf_small):
+    """Day 1 then day 2 of the client feed through the stored write path."""
+    import uuid
+
+    from callstar.plans import silver as S
+    from callstar.sources.ingest import stamp
+    from callstar.operators.upsert import upsert
+
+    spark.conf.set("callstar.warehouse", f"{spark.conf.get('spark.checkpoint.dir')}/wh-{uuid.uuid4().hex}")
+    lake = Lake(spark, sf_small)
+    feed = lake.landing("b_clients")
+    cols = [c for c in feed.columns if c != "batch_day"]
+    day1 = feed.filter(F.col("batch_day") == F.lit("2024-02-01").cast("date")).select(*cols)
+    day2 = feed.filter(F.col("batch_day") == F.lit("2024-02-02").cast("date")).select(*cols)
+    landing = {n: lake.landing(n) for n in LANDING}
+    daily_load.run(spark, {**landing, "l_clients": day1}, "2024-02-01 02:00:00")
+    daily_load.run(spark, {**landing, "l_clients": day2}, "2024-02-02 02:00:00")
+    stored = sinks.read_current(spark, sinks.table_path(spark, "silver", "tb_cliente"))
+
+    # expected: in-memory upsert of the two validated batches
+    v1 = S.silver_client(stamp(day1, "2024-02-01 02:00:00")).valid()
+    v2 = S.silver_client(stamp(day2, "2024-02-02 02:00:00")).valid()
+    expected = upsert(v1, v2, ["cd_cliente"])
+    key = ["cd_cliente", "nm_regiao", "nu_idade", "ds_email"]
+    assert stored.count() == expected.count()
+    assert stored.select(*key).exceptAll(expected.select(*key)).count() == 0
+    assert stored.select("cd_cliente").distinct().count() == stored.count()
