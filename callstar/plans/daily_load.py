@@ -40,6 +40,8 @@ SILVER_PLAN = [
     ("l_reasons", "tb_motivo", ["cd_motivo"], S.silver_reason),
     ("l_surveys", "tb_pesquisa", ["cd_pesquisa"], S.silver_survey),
 ]
+# stored reason/channel tables are broadcast only when proven this small
+LOOKUP_BROADCAST_MAX_ROWS = 1_000_000
 # large gold tables: partition column for touched-partition upserts
 GOLD_PARTITION = {"ft_atendimento_geral": "dt_referencia", "ft_custo_operacional": "dt_referencia"}
 GOLD_KEYS = {
@@ -96,7 +98,8 @@ def load_silver(spark: SparkSession, batch_ts: str) -> None:
         _publish_silver(spark, build(_bronze(spark, landing_name)), table, keys, batch_ts)
     cur = {t: sinks.read_current(spark, sinks.table_path(spark, "silver", t))
            for t in ("tb_motivo", "tb_canal", "tb_chamado_log")}
-    tickets = S.silver_ticket(_bronze(spark, "l_tickets"), cur["tb_motivo"], cur["tb_canal"], cur["tb_chamado_log"])
+    tickets = S.silver_ticket(_bronze(spark, "l_tickets"), cur["tb_motivo"], cur["tb_canal"], cur["tb_chamado_log"],
+                              lookup_max_rows=LOOKUP_BROADCAST_MAX_ROWS)
     _publish_silver(spark, tickets, "tb_chamado", ["cd_chamado"], batch_ts)
 
 
@@ -121,6 +124,7 @@ def load_gold(spark: SparkSession) -> None:
             sinks.upsert_partitioned(typed, path, GOLD_KEYS[name], GOLD_PARTITION[name])
         else:
             sinks.upsert_table(typed, path, GOLD_KEYS[name])
+            sinks.vacuum_versions(spark, path, keep=2)
 
 
 def publish(spark: SparkSession) -> list[str]:

@@ -217,13 +217,18 @@ TICKET_COLS = ["cd_chamado", "cd_cliente", "cd_motivo", "cd_canal", "st_resolvid
 
 
 def silver_ticket(bronze: DataFrame, reasons: DataFrame, channels: DataFrame,
-                  times: DataFrame, batch=None) -> Silver:
+                  times: DataFrame, batch=None, lookup_max_rows: int | None = None) -> Silver:
     """Tickets with reason/channel ids looked up by normalised text and
     durations from ticket times. ``reasons``/``channels``/``times`` are the
-    *valid* silver tables (full tables, not only their latest batch)."""
+    *valid* silver tables (full tables, not only their latest batch).
+    ``lookup_max_rows`` (for stored lookup tables) broadcasts a lookup only
+    after proving it has at most that many rows; otherwise AQE decides from
+    the measured size."""
     t = _batch(bronze, batch)
-    t = lookup(t, reasons, N.text_key(N.repair_reason("reason")), N.text_key("ds_motivo"), ["cd_motivo"])
-    t = lookup(t, channels, N.canonical_channel("channel"), F.col("nm_canal"), ["cd_canal"])
+    t = lookup(t, reasons, N.text_key(N.repair_reason("reason")), N.text_key("ds_motivo"), ["cd_motivo"],
+               max_rows=lookup_max_rows)
+    t = lookup(t, channels, N.canonical_channel("channel"), F.col("nm_canal"), ["cd_canal"],
+               max_rows=lookup_max_rows)
     tt = times.select(F.col("cd_chamado").alias("_tid"), "dh_abertura", "dh_inicio", "dh_fim")
     t = t.withColumn("_id", N.to_number("id_ticket", "bigint"))
     t = t.join(tt, t["_id"] == tt["_tid"], "left")

@@ -144,9 +144,21 @@ def upsert_partitioned(source: DataFrame, path: str, keys: list[str], partition_
     for v in values:
         if v is not None and str(v) not in present:
             _delete(spark, os.path.join(path, f"{partition_col}={_path_value(v)}"))
+    _delete(spark, staging)  # swap done; the staging copy is no longer needed
     return spark.read.parquet(path)
 
 
+def vacuum_versions(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
+    """Remove all but the newest ``keep`` versions of a versioned table."""
+    if not _exists(spark, path):
+        return []
+    versions = sorted(r[0] for r in spark.read.parquet(path).select(VERSION_COL).distinct().collect())
+    old = versions[:-keep] if keep > 0 else versions
+    for v in old:
+        _delete(spark, os.path.join(path, f"{VERSION_COL}={v}"))
+    return old
+
+
 def _path_value(v) -> str:
     text = str(v)
     if not all(ch.isalnum() or ch in "-_." for ch in text):
