@@ -24,7 +24,8 @@ class Rule:
     label: str = ""
 
 
-def _rules(rules):
+def as_rules(rules) -> list[Rule]:
+    """Accept ``Rule`` objects or ``(flag, check[, label])`` tuples."""
     return [r if isinstance(r, Rule) else Rule(*r) for r in rules]
 
 
@@ -37,14 +38,14 @@ def verdict(flags: list[str]) -> Column:
 
 def validate(df: DataFrame, rules, verdict_col: str = VERDICT) -> DataFrame:
     """Append one boolean column per rule plus the OK/ERRO verdict."""
-    rules = _rules(rules)
+    rules = as_rules(rules)
     flagged = df.select("*", *[r.check.alias(r.flag) for r in rules])
     return flagged.withColumn(verdict_col, verdict([r.flag for r in rules]))
 
 
 def rejection_text(rules, sep: str = "; ") -> Column:
     """Labels of every failing (FALSE or NULL) flag, joined by ``sep``."""
-    rules = _rules(rules)
+    rules = as_rules(rules)
     return F.concat_ws(sep, *[
         F.when(~F.coalesce(F.col(r.flag), F.lit(False)), F.lit(r.label or r.flag))
         for r in rules])
@@ -52,7 +53,7 @@ def rejection_text(rules, sep: str = "; ") -> Column:
 
 def first_failure(rules, none: str = "none") -> Column:
     """Label of the first failing rule, in rule order (for histograms)."""
-    rules = _rules(rules)
+    rules = as_rules(rules)
     expr = None
     for r in rules:
         failed = ~F.coalesce(F.col(r.flag), F.lit(False))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -473,7 +473,7 @@ def _fact_agent(lake: Lake):
 
 
 @register("fact_service_fanout", "T-14 J-4 (reference-exact fan-out)", ["v_tickets", "v_times", "v_costs", "v_surveys"],
-          f"SELECT md5(concat_ws('|', {O._ids})) AS pk, t.cd_cliente, t.cd_motivo, t.cd_canal, t.cd_atendente, t.cd_chamado, "
+          f"SELECT md5(concat_ws('|', {O.SERVICE_IDS})) AS pk, t.cd_cliente, t.cd_motivo, t.cd_canal, t.cd_atendente, t.cd_chamado, "
           f"{DF('CAST(coalesce(tt.dh_inicio, t.dt_ingestion) AS DATE)')} AS dt_referencia, "
           f"CAST(hour(coalesce(tt.dh_inicio, t.dt_ingestion)) AS SMALLINT) AS nu_hora_dia, "
           f"CAST(coalesce(t.tm_espera, 0) AS BIGINT) AS val_tempo_espera, "

@@ -269,10 +269,10 @@ cte("cost_pt", ["v_costs"],
 cte("survey_pt", ["v_surveys"],
     "SELECT cd_chamado, nu_nota FROM v_surveys QUALIFY row_number() OVER (PARTITION BY cd_chamado "
     "ORDER BY dt_ingestion DESC NULLS LAST, cd_pesquisa DESC NULLS LAST, nu_nota DESC NULLS LAST) = 1")
-_ids = ", ".join(f"coalesce(CAST(t.{c} AS VARCHAR), '')"
+SERVICE_IDS = ", ".join(f"coalesce(CAST(t.{c} AS VARCHAR), '')"
                  for c in ["cd_cliente", "cd_motivo", "cd_canal", "cd_atendente", "cd_chamado"])
 cte("ft_service", ["v_tickets", "v_times", "cost_pt", "survey_pt"],
-    f"SELECT md5(concat_ws('|', {_ids})) AS pk, t.cd_cliente, t.cd_motivo, t.cd_canal, t.cd_atendente, t.cd_chamado, "
+    f"SELECT md5(concat_ws('|', {SERVICE_IDS})) AS pk, t.cd_cliente, t.cd_motivo, t.cd_canal, t.cd_atendente, t.cd_chamado, "
     f"CAST(coalesce(tt.dh_inicio, t.dt_ingestion) AS DATE) AS dt_referencia, "
     f"CAST(hour(coalesce(tt.dh_inicio, t.dt_ingestion)) AS SMALLINT) AS nu_hora_dia, "
     f"CAST(coalesce(t.tm_espera, 0) AS BIGINT) AS val_tempo_espera, "

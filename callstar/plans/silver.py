@@ -69,7 +69,7 @@ def _finish(name, df, key, order, rules, columns, extra=()) -> Silver:
     deduped = keep_latest(df, keys, ["dt_ingestion", *order])
     deduped = deduped.drop(*order)
     flagged = Q.validate(deduped, rules)
-    return Silver(name, flagged, columns, Q._rules(rules), list(extra))
+    return Silver(name, flagged, columns, Q.as_rules(rules), list(extra))
 
 
 AGENT_COLS = ["cd_atendente", "nm_atendente", "nu_nivel", "dt_ingestion", "dc_origem"]
