@@ -229,20 +229,26 @@ TICKET_FLAGS = [
     ("flag_fk_motivo_valida", "cd_motivo IS NOT NULL"),
     ("flag_fk_canal_valida", "cd_canal IS NOT NULL"),
 ]
-cte("f_tickets", ["br_tickets", "v_reasons", "v_channels", "v_times"], flagged(
-    f"SELECT {num('t.id_ticket', 'BIGINT')} AS cd_chamado, {sha('t.id_client')} AS cd_cliente, r.cd_motivo, c.cd_canal, "
+_RAW_TICKET_ORDER = ", ".join(f"{c} DESC NULLS LAST" for c in
+                              ["ingestion_timestamp", "id_ticket", "id_client", "reason", "channel", "resolved",
+                               "id_agent", "origem"])
+_TICKET_FLAGS_SQL = ", ".join(f"{e} AS {n}" for n, e in TICKET_FLAGS)
+cte("f_tickets", ["br_tickets", "v_reasons", "v_channels", "v_times"],
+    f"SELECT *, CASE WHEN {' AND '.join(n for n, _ in TICKET_FLAGS)} THEN 'OK' ELSE 'ERRO' END AS flag_qualidade FROM ("
+    f"SELECT *, {_TICKET_FLAGS_SQL} FROM ("
+    f"SELECT t._id AS cd_chamado, {sha('t.id_client')} AS cd_cliente, r.cd_motivo, c.cd_canal, "
     f"{yes_no('t.resolved')} AS st_resolvido, "
     f"CAST(epoch(tt.dh_inicio) - epoch(tt.dh_abertura) AS BIGINT) AS tm_espera, "
     f"CAST(epoch(tt.dh_fim) - epoch(tt.dh_inicio) AS BIGINT) AS tm_duracao, "
     f"{num('t.id_agent', 'BIGINT')} AS cd_atendente, t.ingestion_timestamp AS dt_ingestion, "
     f"coalesce(t.origem, 'chamados') AS dc_origem "
-    f"FROM {latest('br_tickets')} t "
+    f"FROM (SELECT * FROM (SELECT *, {num('id_ticket', 'BIGINT')} AS _id FROM {latest('br_tickets')} x) y "
+    f"QUALIFY row_number() OVER (PARTITION BY _id ORDER BY {_RAW_TICKET_ORDER}) = 1) t "
     f"LEFT JOIN (SELECT lower(trim(ds_motivo)) AS k, min(cd_motivo) AS cd_motivo FROM v_reasons GROUP BY 1) r "
     f"ON lower(trim({reason_fix('t.reason')})) = r.k "
     f"LEFT JOIN (SELECT nm_canal AS k, min(cd_canal) AS cd_canal FROM v_channels GROUP BY 1) c "
     f"ON {canon('t.channel')} = c.k "
-    f"LEFT JOIN v_times tt ON {num('t.id_ticket', 'BIGINT')} = tt.cd_chamado",
-    "cd_chamado", [], TICKET_FLAGS))
+    f"LEFT JOIN v_times tt ON t._id = tt.cd_chamado) b) v")
 cte("v_tickets", ["f_tickets"], f"SELECT {', '.join(SILVER_COLS['tickets'])} FROM f_tickets WHERE flag_qualidade = 'OK'")
 
 # -- gold ------------------------------------------------------------------

@@ -221,16 +221,21 @@ def silver_ticket(bronze: DataFrame, reasons: DataFrame, channels: DataFrame,
     """Tickets with reason/channel ids looked up by normalised text and
     durations from ticket times. ``reasons``/``channels``/``times`` are the
     *valid* silver tables (full tables, not only their latest batch).
-    ``lookup_max_rows`` (for stored lookup tables) broadcasts a lookup only
-    after proving it has at most that many rows; otherwise AQE decides from
-    the measured size."""
-    t = _batch(bronze, batch)
+
+    Raw ticket records are deduplicated first (newest stamp, then every raw
+    column as tie-break), so a hot ticket id is cut to one row per map task
+    before the first shuffle, and the ticket-times join sees unique keys that
+    are already hash-partitioned on the ticket id. ``lookup_max_rows`` (for
+    stored lookup tables) broadcasts a lookup only after proving it has at
+    most that many rows; otherwise AQE decides from the measured size.
+    """
+    t = _batch(bronze, batch).withColumn("_id", N.to_number("id_ticket", "bigint"))
+    t = keep_latest(t, ["_id"], [STAMP_COL])
     t = lookup(t, reasons, N.text_key(N.repair_reason("reason")), N.text_key("ds_motivo"), ["cd_motivo"],
                max_rows=lookup_max_rows)
     t = lookup(t, channels, N.canonical_channel("channel"), F.col("nm_canal"), ["cd_canal"],
                max_rows=lookup_max_rows)
     tt = times.select(F.col("cd_chamado").alias("_tid"), "dh_abertura", "dh_inicio", "dh_fim")
-    t = t.withColumn("_id", N.to_number("id_ticket", "bigint"))
     t = t.join(tt, t["_id"] == tt["_tid"], "left")
     df = t.select(
         F.col("_id").alias("cd_chamado"),
@@ -247,4 +252,4 @@ def silver_ticket(bronze: DataFrame, reasons: DataFrame, channels: DataFrame,
         Q.Rule("flag_fk_motivo_valida", F.col("cd_motivo").isNotNull(), "unknown reason"),
         Q.Rule("flag_fk_canal_valida", F.col("cd_canal").isNotNull(), "unknown channel"),
     ]
-    return _finish("tb_chamado", df, "cd_chamado", [], rules, TICKET_COLS)
+    return Silver("tb_chamado", Q.validate(df, rules), TICKET_COLS, Q.as_rules(rules))

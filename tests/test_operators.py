@@ -97,3 +97,23 @@ def test_batch_diff_null_keys_bypass_the_join(spark):
     got = sorted((r["k"] if r["k"] is not None else -1, r["change_type"], r["v"])
                  for r in batch_diff(old, new, ["k"], ["v"]).collect())
     assert got == [(-1, "DELETE", "x"), (-1, "INSERT", "y"), (2, "INSERT", "b")]
+
+
+def test_silver_ticket_hot_key_dedups_before_join(spark):
+    rows = [(1, 10, "Card block", "URA", "Sim", str(i % 7)) for i in range(30)]
+    rows += [(2, 11, "App problem", "chat bot", "nao", None), (3, 12, "x", "y", "", " ")]
+    bronze = spark.createDataFrame(rows, "id_ticket long, id_client long, reason string, channel string, "
+                                         "resolved string, id_agent string")
+    bronze = bronze.select("*", F.to_timestamp(F.lit("2024-01-01 00:00:00")).alias("ingestion_timestamp"),
+                           F.lit("t").alias("origem"))
+    reasons = spark.createDataFrame([(7, "Card block"), (8, "App problem")], "cd_motivo long, ds_motivo string")
+    channels = spark.createDataFrame([(70, "URA"), (80, "CHATBOT")], "cd_canal long, nm_canal string")
+    times = spark.createDataFrame([], "cd_chamado long, dh_abertura timestamp, dh_inicio timestamp, dh_fim timestamp")
+    s = S.silver_ticket(bronze, reasons, channels, times)
+    got = {r["cd_chamado"]: r for r in s.flagged.collect()}
+    assert sorted(got) == [1, 2, 3]
+    assert got[1]["cd_atendente"] == 6 and got[1]["cd_motivo"] == 7 and got[1]["cd_canal"] == 70
+    assert got[2]["cd_canal"] == 80 and got[2]["st_resolvido"] is False and got[2]["cd_atendente"] is None
+    assert got[3]["flag_qualidade"] == "ERRO"
+    plan = s.flagged._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
