@@ -163,14 +163,26 @@ def overflow_rate(lake: Lake) -> DataFrame:
      .withColumn("agent_share_pct", _rate(F.col("tickets_with_agent"), F.col("all_tickets")))
 
 
+def _clients(lake: Lake) -> DataFrame:
+    return lake.dim_client.select("cd_cliente", "nm_regiao", "ds_faixa_etaria")
+
+
 def overflow_by_age(lake: Lake) -> DataFrame:
-    """K-11 overflow volume and rate per age band."""
-    df = _with_dims(lake, lake.fact_service, "channel", "client")
-    df = df.filter(F.col("ds_tipo_interacao") == R.CHANNEL_AUTOMATED)
-    return df.groupBy("ds_faixa_etaria").agg(
-        F.count(F.lit(1)).alias("automated_tickets"),
-        F.count_if(F.col("cd_atendente").isNotNull()).alias("overflow_tickets"),
-    ).withColumn("overflow_pct", _rate(F.col("overflow_tickets"), F.col("automated_tickets")))
+    """K-11 overflow volume and rate per age band.
+
+    The fact is first reduced to one row per client (partial aggregation
+    collapses a hot client map-side), so the join with the client dimension,
+    which grows with the business, moves one row per client, not per ticket.
+    """
+    df = _with_dims(lake, lake.fact_service, "channel")
+    per_client = (df.filter(F.col("ds_tipo_interacao") == R.CHANNEL_AUTOMATED)
+                    .groupBy("cd_cliente")
+                    .agg(F.count(F.lit(1)).alias("n"),
+                         F.count_if(F.col("cd_atendente").isNotNull()).alias("n_overflow")))
+    g = per_client.join(_clients(lake), "cd_cliente", "left").groupBy("ds_faixa_etaria").agg(
+        F.sum("n").cast("bigint").alias("automated_tickets"),
+        F.sum("n_overflow").cast("bigint").alias("overflow_tickets"))
+    return g.withColumn("overflow_pct", _rate(F.col("overflow_tickets"), F.col("automated_tickets")))
 
 
 def peak_hours(lake: Lake) -> DataFrame:
@@ -225,7 +237,10 @@ def load_by_level(lake: Lake) -> DataFrame:
 
 
 def problems_by_profile(lake: Lake) -> DataFrame:
-    """K-18 tickets per age band x region x reason category."""
-    df = _with_dims(lake, lake.fact_service, "client", "reason")
-    return df.groupBy("ds_faixa_etaria", "nm_regiao", "ds_categoria").agg(
-        F.count(F.lit(1)).alias("n_tickets"))
+    """K-18 tickets per age band x region x reason category (pre-aggregated
+    per client and category before the client-dimension join)."""
+    df = _with_dims(lake, lake.fact_service, "reason")
+    per_client = df.groupBy("cd_cliente", "ds_categoria").agg(F.count(F.lit(1)).alias("n"))
+    return (per_client.join(_clients(lake), "cd_cliente", "left")
+                      .groupBy("ds_faixa_etaria", "nm_regiao", "ds_categoria")
+                      .agg(F.sum("n").cast("bigint").alias("n_tickets")))
