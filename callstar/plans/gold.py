@@ -29,42 +29,44 @@ def _bands(col: Column, bands, otherwise) -> Column:
     return expr.otherwise(F.lit(otherwise))
 
 
-def dim_agent(agents: DataFrame) -> DataFrame:
+def dim_agent(agents: DataFrame, specialist_level: int = 2) -> DataFrame:
     return agents.select(
         "cd_atendente", "nm_atendente", F.col("nu_nivel").cast("smallint").alias("nu_nivel"),
-        F.when(F.col("nu_nivel") == 2, F.lit(R.PROFILE_SPECIALIST))
+        F.when(F.col("nu_nivel") == specialist_level, F.lit(R.PROFILE_SPECIALIST))
          .otherwise(F.lit(R.PROFILE_GENERALIST)).alias("ds_perfil"))
 
 
-def automated(name: Column) -> Column:
+def automated(name: Column, patterns=R.AUTOMATED_CHANNEL_LIKE) -> Column:
     up = F.upper(name)
     cond = None
-    for pat in R.AUTOMATED_CHANNEL_LIKE:
+    for pat in patterns:
         cond = up.like(pat) if cond is None else (cond | up.like(pat))
     return cond
 
 
-def dim_channel(channels: DataFrame) -> DataFrame:
+def dim_channel(channels: DataFrame, patterns=R.AUTOMATED_CHANNEL_LIKE) -> DataFrame:
     return channels.select(
         "cd_canal", "nm_canal", "st_ativo",
-        F.when(automated(F.col("nm_canal")), F.lit(R.CHANNEL_AUTOMATED))
+        F.when(automated(F.col("nm_canal"), patterns), F.lit(R.CHANNEL_AUTOMATED))
          .otherwise(F.lit(R.CHANNEL_HUMAN)).alias("ds_tipo_interacao"))
 
 
-def dim_client(clients: DataFrame) -> DataFrame:
+def dim_client(clients: DataFrame, bands=R.AGE_BANDS, otherwise: str = R.AGE_BAND_ELSE) -> DataFrame:
+    """Age bands are a parameter: (inclusive upper bound, label) in order."""
     return clients.select(
         "cd_cliente", "nm_cliente", "ds_email", "nm_regiao",
         F.col("nu_idade").cast("smallint").alias("nu_idade"),
-        _bands(F.col("nu_idade"), R.AGE_BANDS, R.AGE_BAND_ELSE).alias("ds_faixa_etaria"))
+        _bands(F.col("nu_idade"), bands, otherwise).alias("ds_faixa_etaria"))
 
 
-def dim_reason(reasons: DataFrame) -> DataFrame:
+def dim_reason(reasons: DataFrame, potential=R.AUTOMATION_POTENTIAL,
+               otherwise: str = R.AUTOMATION_POTENTIAL_ELSE) -> DataFrame:
     up = F.upper(F.col("ds_criticidade"))
     expr = None
-    for pat, label in R.AUTOMATION_POTENTIAL:
+    for pat, label in potential:
         expr = F.when(up.like(pat), F.lit(label)) if expr is None else expr.when(up.like(pat), F.lit(label))
     return reasons.select("cd_motivo", "ds_motivo", "ds_categoria", "ds_criticidade",
-                          expr.otherwise(F.lit(R.AUTOMATION_POTENTIAL_ELSE)).alias("ds_potencial_automacao"))
+                          expr.otherwise(F.lit(otherwise)).alias("ds_potencial_automacao"))
 
 
 def dim_ticket(tickets: DataFrame) -> DataFrame:
