@@ -24,25 +24,43 @@ from callstar.session import checkpoint_root
 from callstar.sources.ingest import ORIGIN_COL, STAMP_COL
 
 
+_WM_COL = "_event_ts"
+
+
 def _writer(bronze_path: str, origin: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        stamped = batch.select("*", F.current_timestamp().alias(STAMP_COL), F.lit(origin).alias(ORIGIN_COL))
+        stamped = batch.drop(_WM_COL).select("*", F.current_timestamp().alias(STAMP_COL),
+                                             F.lit(origin).alias(ORIGIN_COL))
         stamped.write.mode("overwrite").parquet(os.path.join(bronze_path, f"stream_batch={batch_id}"))
     return write
 
 
 def stream_to_bronze(spark: SparkSession, source_dir: str, schema: StructType, bronze_path: str,
-                     name: str, once: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+                     name: str, once: bool = True, max_files_per_trigger: int | None = None,
+                     dedup_keys: list[str] | None = None, event_time: str | None = None,
+                     watermark: str = "1 day") -> StreamingQuery:
     """Start the landing -> bronze stream for one table.
 
     ``once=True`` processes everything available and stops (scheduled runs);
     ``once=False`` keeps polling. The checkpoint lives under
     ``spark.checkpoint.dir`` so any driver can resume the stream.
+
+    With ``dedup_keys`` and ``event_time``, records re-sent by the source
+    within ``watermark`` of each other are dropped
+    (``dropDuplicatesWithinWatermark``): the dedup state is keyed and
+    expires with the watermark, so it stays bounded however long the
+    stream runs.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.parquet(source_dir)
+    if dedup_keys:
+        if not event_time:
+            raise ValueError("dedup_keys needs an event_time column for the watermark")
+        # watermarks need a zoned TIMESTAMP; local (NTZ) event times are read as UTC
+        src = src.withColumn(_WM_COL, F.col(event_time).cast("timestamp"))
+        src = src.withWatermark(_WM_COL, watermark).dropDuplicatesWithinWatermark(dedup_keys)
     ckpt = os.path.join(checkpoint_root(spark), "streams", f"bronze_{name}")
     w = (src.writeStream.foreachBatch(_writer(bronze_path, f"landing.{name}"))
             .option("checkpointLocation", ckpt).queryName(f"bronze_{name}"))

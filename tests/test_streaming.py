@@ -25,3 +25,19 @@ def test_stream_to_bronze_resumes(spark, sf_small):
     q.awaitTermination()
     assert spark.read.parquet(bronze).count() == events.count()
     assert latest_batch(spark.read.parquet(bronze).drop("stream_batch")).count() == events.count()
+
+
+def test_stream_drops_resent_records_within_watermark(spark, sf_small):
+    from pyspark.sql import functions as F
+    src = tempfile.mkdtemp(prefix="callstar-landing-")
+    bronze = tempfile.mkdtemp(prefix="callstar-bronze-")
+    events = spark.read.parquet(f"{sf_small}/events.parquet")
+    # the source re-sends a third of the records in a second file
+    events.write.mode("overwrite").parquet(os.path.join(src, "f1"))
+    events.filter(F.col("event_id") % 3 == 0).write.mode("overwrite").parquet(os.path.join(src, "f2"))
+    q = stream_to_bronze(spark, os.path.join(src, "*"), events.schema, bronze, "events_dedup",
+                         dedup_keys=["event_id"], event_time="ts", watermark="3650 days")
+    q.awaitTermination()
+    out = spark.read.parquet(bronze)
+    assert out.count() == events.count()
+    assert out.select("event_id").distinct().count() == events.count()
