@@ -7,8 +7,9 @@ checkpoint): a lost executor only recomputes the current hop.
 * bronze: append the stamped batch, partitioned by batch day (so the
   latest-batch scalar subquery prunes history at run time);
 * silver: compute the flagged frame once, write it split by verdict, then
-  upsert the valid side into the hash-bucketed table (only touched buckets
-  are rewritten) and overwrite the audit table with the rejected side;
+  upsert the valid side into the bucketed table (range buckets for tables
+  keyed by increasing ids, hash buckets otherwise; only touched buckets are
+  rewritten) and overwrite the audit table with the rejected side;
   lookups (reason, channel, ticket times) are built before tickets;
 * gold: large facts upserted into date partitions (only touched dates,
   including the old date of a ticket whose date moved); dimensions and the
@@ -52,11 +53,22 @@ GOLD_KEYS = {
 }
 
 
+# silver tables keyed by ever-increasing ids: range buckets (a daily batch of
+# new records touches only the newest buckets); the others: hash buckets
+RANGE_BUCKETED = {"tb_chamado", "tb_chamado_log", "tb_custo_chamado", "tb_pesquisa"}
+
+
 def _buckets(spark: SparkSession) -> int:
     """Hash buckets per silver table (deployment setting; small default)."""
     return int(spark.conf.get("callstar.silver.buckets", "16"))
 
 
+def _bucket_expr(spark: SparkSession, table: str, keys: list[str]):
+    if table in RANGE_BUCKETED and len(keys) == 1:
+        return sinks.range_bucket(keys[0], int(spark.conf.get("callstar.silver.range_width", "100000")))
+    return sinks.hash_bucket(keys, _buckets(spark))
+
+
 def _tag(batch_ts: str) -> str:
     return re.sub(r"[^0-9]", "", batch_ts)
 
@@ -83,7 +95,7 @@ def _publish_silver(spark: SparkSession, s: S.Silver, table: str, keys: list[str
     staging = sinks.table_path(spark, "_staging", f"{table}/batch={_tag(batch_ts)}")
     valid, rejected = sinks.write_flagged(s.flagged, staging)
     sinks.upsert_partitioned(schemas.enforce(valid, schemas.SILVER[table]), sinks.table_path(spark, "silver", table),
-                             keys, sinks.BUCKET_COL, sinks.hash_bucket(keys, _buckets(spark)),
+                             keys, sinks.BUCKET_COL, _bucket_expr(spark, table, keys),
                              key_determines_partition=True)
     if table == "tb_motivo":
         audit = S.reason_rejects(S.Silver(s.name, rejected, s.columns, s.rules))

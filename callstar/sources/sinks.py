@@ -174,6 +174,12 @@ def _delete(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def range_bucket(key: str, width: int):
+    """Bucket id = key // width, for ever-increasing ids: a batch of new
+    records lands in the newest buckets, so an upsert rewrites only those."""
+    return F.floor(F.col(key) / F.lit(width)).cast("long").alias(BUCKET_COL)
+
+
 def hash_bucket(keys: list[str], buckets: int):
     """Bucket id as a pure function of the key (for ``upsert_partitioned``)."""
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int").alias(BUCKET_COL)

@@ -44,3 +44,19 @@ def test_upsert_partitioned_hash_buckets(spark):
     assert out.count() == 1001
     assert out.filter("k = 5").first()["v"] == "y"
     assert out.select("k").distinct().count() == 1001
+
+
+def test_range_buckets_rewrite_only_newest(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="callstar-sink-"), "r")
+    old = spark.range(0, 300).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    sinks.upsert_partitioned(old, path, ["k"], "_bucket", sinks.range_bucket("k", 100),
+                             key_determines_partition=True)
+    before = _files(path)
+    new = spark.range(290, 330).select(F.col("id").alias("k"), F.lit("y").alias("v"))
+    out = sinks.upsert_partitioned(new, path, ["k"], "_bucket", sinks.range_bucket("k", 100),
+                                   key_determines_partition=True)
+    assert out.count() == 330 and out.filter("v = 'y'").count() == 40
+    after = _files(path)
+    for bucket in ("_bucket=0", "_bucket=1"):
+        kept = [f for f in before if bucket + "/" in f]
+        assert kept and all(after.get(f) == before[f] for f in kept)
