@@ -4,16 +4,18 @@ Every hop reads the previous layer from storage, so lineage is cut at each
 layer by a written table in the shared warehouse folder (never by a local
 checkpoint): a lost executor only recomputes the current hop.
 
-* bronze: append the stamped batch, partitioned by batch day (so the
-  latest-batch scalar subquery prunes history at run time);
+* bronze: append the stamped batch, partitioned by batch day; silver then
+  reads exactly that batch's partition (static partition filter);
 * silver: compute the flagged frame once, write it split by verdict, then
   upsert the valid side into the bucketed table (range buckets for tables
   keyed by increasing ids, hash buckets otherwise; only touched buckets are
   rewritten) and overwrite the audit table with the rejected side;
   lookups (reason, channel, ticket times) are built before tickets;
-* gold: large facts upserted into date partitions (only touched dates,
-  including the old date of a ticket whose date moved); dimensions and the
-  per-agent fact as small versioned tables;
+* gold: per-ticket tables (service fact, cost fact, ticket dimension) are
+  recomputed only for the tickets the batch touched and upserted into date
+  partitions / id buckets (only touched ones are rewritten, including the old
+  date of a ticket whose date moved); the small dimensions and the per-agent
+  fact are rebuilt as versioned tables;
 * views: one published view per gold table.
 """
 
@@ -44,7 +46,12 @@ SILVER_PLAN = [
 # stored reason/channel tables are broadcast only when proven this small
 LOOKUP_BROADCAST_MAX_ROWS = 1_000_000
 # large gold tables: partition column for touched-partition upserts
-GOLD_PARTITION = {"ft_atendimento_geral": "dt_referencia", "ft_custo_operacional": "dt_referencia"}
+GOLD_PARTITION = {"ft_atendimento_geral": "dt_referencia", "ft_custo_operacional": "dt_referencia",
+                  "dm_chamado": sinks.BUCKET_COL}
+# gold tables with one row per ticket (or per cost of a ticket): recomputed
+# only for the tickets a batch touched
+PER_TICKET = {"dm_chamado", "ft_atendimento_geral", "ft_custo_operacional"}
+TICKET_TABLES = ("tb_chamado", "tb_chamado_log", "tb_custo_chamado", "tb_pesquisa")
 GOLD_KEYS = {
     "dm_atendente": ["cd_atendente"], "dm_canal": ["cd_canal"], "dm_cliente": ["cd_cliente"],
     "dm_motivo": ["cd_motivo"], "dm_chamado": ["cd_chamado"],
@@ -85,10 +92,15 @@ def load_bronze(spark: SparkSession, landing: dict[str, DataFrame], batch_ts: st
     return spark.createDataFrame(rows, "table_name string, status string, error string")
 
 
-def _bronze(spark: SparkSession, name: str) -> DataFrame:
-    """Bronze history pruned to its newest batch-day partition."""
+def _bronze(spark: SparkSession, name: str, batch_ts: str | None = None) -> DataFrame:
+    """Bronze rows of one batch: a static filter on the batch-day partition
+    (and the stamp) when the batch is known, else the newest partition via
+    the latest-batch subquery."""
     df = spark.read.parquet(sinks.table_path(spark, "bronze", name))
-    return latest_batch(df, "batch_day").drop("batch_day")
+    if batch_ts is None:
+        return latest_batch(df, "batch_day").drop("batch_day")
+    day = F.to_date(F.lit(batch_ts))
+    return df.filter(F.col("batch_day") == day).drop("batch_day")
 
 
 def _publish_silver(spark: SparkSession, s: S.Silver, table: str, keys: list[str], batch_ts: str):
@@ -106,33 +118,63 @@ def _publish_silver(spark: SparkSession, s: S.Silver, table: str, keys: list[str
 
 
 def load_silver(spark: SparkSession, batch_ts: str) -> None:
+    """Silver for exactly the batch just loaded: a table that received no
+    rows in this batch contributes nothing (its silver stays as it was)."""
     for landing_name, table, keys, build in SILVER_PLAN:
-        _publish_silver(spark, build(_bronze(spark, landing_name)), table, keys, batch_ts)
+        _publish_silver(spark, build(_bronze(spark, landing_name, batch_ts), batch=batch_ts), table, keys, batch_ts)
     cur = {t: sinks.read_current(spark, sinks.table_path(spark, "silver", t))
            for t in ("tb_motivo", "tb_canal", "tb_chamado_log")}
-    tickets = S.silver_ticket(_bronze(spark, "l_tickets"), cur["tb_motivo"], cur["tb_canal"], cur["tb_chamado_log"],
-                              lookup_max_rows=LOOKUP_BROADCAST_MAX_ROWS)
+    tickets = S.silver_ticket(_bronze(spark, "l_tickets", batch_ts), cur["tb_motivo"], cur["tb_canal"],
+                              cur["tb_chamado_log"], batch=batch_ts, lookup_max_rows=LOOKUP_BROADCAST_MAX_ROWS)
     _publish_silver(spark, tickets, "tb_chamado", ["cd_chamado"], batch_ts)
 
 
-def load_gold(spark: SparkSession) -> None:
+def touched_tickets(spark: SparkSession, batch_ts: str) -> DataFrame:
+    """Ticket ids whose silver rows this batch inserted or replaced: the
+    valid side of the batch's staged tickets, times, costs and surveys."""
+    out = None
+    for table in TICKET_TABLES:
+        staged = spark.read.schema("cd_chamado bigint, flag_qualidade string").parquet(
+            sinks.table_path(spark, "_staging", f"{table}/batch={_tag(batch_ts)}"))
+        ids = staged.filter(F.col("flag_qualidade") == "OK").select("cd_chamado")
+        out = ids if out is None else out.unionByName(ids)
+    return out.filter(F.col("cd_chamado").isNotNull()).distinct()
+
+
+def load_gold(spark: SparkSession, batch_ts: str | None = None) -> None:
+    """Dimensions and facts from current silver.
+
+    With ``batch_ts`` and an existing gold layer, the per-ticket tables are
+    recomputed only for the tickets the batch touched (each with all of its
+    silver rows) and upserted; untouched dates and buckets are not rewritten.
+    The small dimensions and the per-agent fact are rebuilt whole.
+    """
     def silver(t):
         return sinks.read_current(spark, sinks.table_path(spark, "silver", t))
-    tickets, times, costs, surveys = (silver(t) for t in ("tb_chamado", "tb_chamado_log", "tb_custo_chamado",
-                                                          "tb_pesquisa"))
+    tickets, times, costs, surveys = (silver(t) for t in TICKET_TABLES)
+    incremental = batch_ts is not None and sinks.read_current(
+        spark, sinks.table_path(spark, "gold", "ft_atendimento_geral")) is not None
+    tk, tm, cs, sv = tickets, times, costs, surveys
+    if incremental:
+        touched = touched_tickets(spark, batch_ts)
+        tk, tm, cs, sv = (df.join(touched, "cd_chamado", "left_semi") for df in (tickets, times, costs, surveys))
     outputs = {
         "dm_atendente": G.dim_agent(silver("tb_atendente")),
         "dm_canal": G.dim_channel(silver("tb_canal")),
         "dm_cliente": G.dim_client(silver("tb_cliente")),
         "dm_motivo": G.dim_reason(silver("tb_motivo")),
-        "dm_chamado": G.dim_ticket(tickets),
-        "ft_atendimento_geral": G.fact_service(tickets, times, costs, surveys),
-        "ft_custo_operacional": G.fact_cost(tickets, costs),
+        "dm_chamado": G.dim_ticket(tk),
+        "ft_atendimento_geral": G.fact_service(tk, tm, cs, sv),
+        "ft_custo_operacional": G.fact_cost(tk, cs),
         "ft_performance_agente": G.fact_agent(tickets, surveys),
     }
+    width = int(spark.conf.get("callstar.silver.range_width", "100000"))
     for name, df in outputs.items():
         typed, path = schemas.enforce(df, schemas.GOLD[name]), sinks.table_path(spark, "gold", name)
-        if name in GOLD_PARTITION:
+        if name == "dm_chamado":
+            sinks.upsert_partitioned(typed, path, GOLD_KEYS[name], sinks.BUCKET_COL,
+                                     sinks.range_bucket("cd_chamado", width), key_determines_partition=True)
+        elif name in GOLD_PARTITION:
             sinks.upsert_partitioned(typed, path, GOLD_KEYS[name], GOLD_PARTITION[name])
         else:
             sinks.upsert_table(typed, path, GOLD_KEYS[name])
@@ -162,11 +204,12 @@ def run(spark: SparkSession, landing: dict[str, DataFrame], batch_ts: str) -> Da
     """
     load_bronze(spark, landing, batch_ts)
     load_silver(spark, batch_ts)
-    load_gold(spark)
+    load_gold(spark, batch_ts)
     publish(spark)
     counts = []
     for _, table, _, _ in SILVER_PLAN + [(None, "tb_chamado", None, None)]:
-        staging = spark.read.parquet(sinks.table_path(spark, "_staging", f"{table}/batch={_tag(batch_ts)}"))
+        staging = spark.read.schema("flag_qualidade string").parquet(
+            sinks.table_path(spark, "_staging", f"{table}/batch={_tag(batch_ts)}"))
         counts.append(staging.groupBy(F.lit(table).alias("table_name"))
                              .agg(F.count_if(F.col("flag_qualidade") == "OK").alias("valid_rows"),
                                   F.count_if(F.col("flag_qualidade") != "OK").alias("rejected_rows")))

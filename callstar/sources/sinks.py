@@ -64,7 +64,7 @@ def write_flagged(flagged: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     """
     overwrite(flagged, path, [Q.VERDICT])
     spark = flagged.sparkSession
-    back = spark.read.parquet(path)
+    back = spark.read.schema(flagged.schema).parquet(path)  # explicit: an empty batch writes no files
     return (back.filter(F.col(Q.VERDICT) == Q.OK).drop(Q.VERDICT),
             back.filter(F.col(Q.VERDICT) != Q.OK))
 
@@ -115,6 +115,8 @@ def upsert_partitioned(source: DataFrame, path: str, keys: list[str], partition_
     """
     spark = source.sparkSession
     src = source if partition_expr is None else source.withColumn(partition_col, partition_expr)
+    if not _exists(spark, path) and src.limit(1).count() == 0:
+        return None  # nothing to create yet
     if not _exists(spark, path):
         src.write.mode("overwrite").partitionBy(partition_col).parquet(path)
         return spark.read.parquet(path)
