@@ -20,6 +20,14 @@ def key60(col) -> Column:
     return F.conv(F.substring(F.md5(_c(col)), 1, 15), 16, 10).cast("bigint")
 
 
+def murmur_key(col) -> Column:
+    """The 31-bit channel key of the source: abs(Murmur3 hash) of the
+    lower-cased, trimmed name, as BIGINT. Widened before ``abs`` so the
+    minimum int cannot overflow under ANSI mode; NULL hashes to the seed.
+    ``key60`` is the default key (reproducible outside Spark)."""
+    return F.abs(F.hash(F.lower(F.trim(_c(col)))).cast("bigint"))
+
+
 def surrogate(*cols, sep: str = "|") -> Column:
     """md5 over ids joined by a separator (NULL parts become '').
 

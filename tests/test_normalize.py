@@ -79,3 +79,12 @@ def test_keys(spark):
     a = one(spark, K.surrogate(F.lit("1"), F.lit("23")), None)
     b = one(spark, K.surrogate(F.lit("12"), F.lit("3")), None)
     assert a != b
+
+
+def test_murmur_key_matches_spark_hash_and_never_overflows(spark):
+    df = spark.createDataFrame([(" Chatbot ",), ("chatbot",), (None,)], "x string")
+    got = [r["k"] for r in df.select(K.murmur_key("x").alias("k")).collect()]
+    expected = spark.sql("SELECT abs(CAST(hash('chatbot') AS BIGINT)) AS k").first()["k"]
+    assert got[0] == got[1] == expected
+    assert got[2] == 42
+    assert all(0 <= k < 2 ** 31 + 1 for k in got)
