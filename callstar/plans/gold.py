@@ -114,13 +114,30 @@ def fact_service(tickets: DataFrame, times: DataFrame, costs: DataFrame, surveys
         F.when(F.col("st_resolvido"), F.lit(1)).otherwise(F.lit(0)).cast("smallint").alias("st_resolvido"))
 
 
+def _left_fanout(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``left LEFT JOIN right`` for a right side that may hold a hot key.
+
+    Written as (left INNER JOIN right) UNION (left ANTI JOIN right keys): AQE
+    can split a skewed partition on either side of an inner join, while the
+    right side of a left outer join cannot be split; the anti join only sees
+    distinct right keys. Same rows as the outer join.
+    """
+    matched = left.join(right, key, "inner")
+    keys = right.select(key).filter(F.col(key).isNotNull()).distinct()
+    unmatched = left.join(keys, key, "left_anti")
+    for f in right.schema.fields:
+        if f.name != key:
+            unmatched = unmatched.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return matched.unionByName(unmatched)
+
+
 def fact_service_fanout(tickets: DataFrame, times: DataFrame, costs: DataFrame, surveys: DataFrame) -> DataFrame:
     """Reference-exact service fact: every cost and every survey row joined
     as is, so a ticket with n costs and m surveys yields n x m rows (kept for
     parity; ``fact_service`` is the de-duplicated fact)."""
-    j = (tickets.join(times.select("cd_chamado", "dh_inicio"), "cd_chamado", "left")
-                .join(costs.select("cd_chamado", "vl_custo"), "cd_chamado", "left")
-                .join(surveys.select("cd_chamado", "nu_nota"), "cd_chamado", "left"))
+    j = tickets.join(times.select("cd_chamado", "dh_inicio"), "cd_chamado", "left")
+    j = _left_fanout(j, costs.select("cd_chamado", "vl_custo"), "cd_chamado")
+    j = _left_fanout(j, surveys.select("cd_chamado", "nu_nota"), "cd_chamado")
     ref = F.coalesce(F.col("dh_inicio"), F.col("dt_ingestion"))
     negative = (F.col("tm_espera") > R.NEGATIVE_WAIT_SECONDS) | (F.col("nu_nota") <= R.NEGATIVE_SCORE_MAX)
     return j.select(
@@ -138,8 +155,8 @@ def fact_service_fanout(tickets: DataFrame, times: DataFrame, costs: DataFrame,
 
 def fact_agent_fanout(tickets: DataFrame, surveys: DataFrame) -> DataFrame:
     """Reference-exact agent fact: tickets joined to every survey row."""
-    j = (tickets.join(surveys.select("cd_chamado", "nu_nota"), "cd_chamado", "left")
-                .filter(F.col("cd_atendente").isNotNull()))
+    j = _left_fanout(tickets.filter(F.col("cd_atendente").isNotNull()),
+                     surveys.select("cd_chamado", "nu_nota"), "cd_chamado")
     g = j.groupBy("cd_atendente").agg(
         F.count(F.lit(1)).alias("qtd_chamados_atendidos"),
         F.sum("tm_duracao").cast("bigint").alias("val_tempo_trabalhado_seg"),

@@ -117,3 +117,13 @@ def test_silver_ticket_hot_key_dedups_before_join(spark):
     assert got[3]["flag_qualidade"] == "ERRO"
     plan = s.flagged._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_left_fanout_equals_left_join_with_hot_key(spark):
+    from callstar.plans.gold import _left_fanout
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n"), (4, "d")], "k int, l string")
+    right_rows = [(1, i) for i in range(50)] + [(2, 7), (None, 9), (3, 5)]
+    right = spark.createDataFrame(right_rows, "k int, r int")
+    want = sorted(map(tuple, left.join(right, "k", "left").select("k", "l", "r").collect()), key=str)
+    got = sorted(map(tuple, _left_fanout(left, right, "k").select("k", "l", "r").collect()), key=str)
+    assert got == want and len(got) == 53
