@@ -66,9 +66,26 @@ def register(name: str, ids: str, deps: list[str] | None = None, sql: str | None
     return deco
 
 
+_LAKES: dict[tuple[int, str], Lake] = {}
+
+
+def lake_for(spark: SparkSession, sf_dir: str) -> Lake:
+    """One lazily built star schema per session and data directory.
+
+    Queries share its DataFrames, so the driver analyses the common
+    landing -> silver -> gold sub-plans once; nothing is cached in memory,
+    every query still executes its whole plan over the files.
+    """
+    key = (id(spark), sf_dir)
+    lake = _LAKES.get(key)
+    if lake is None or lake.spark is not spark:
+        lake = _LAKES[key] = Lake(spark, sf_dir)
+    return lake
+
+
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     apply_conf(spark)
-    return report(REGISTRY[name].build(Lake(spark, sf_dir)))
+    return report(REGISTRY[name].build(lake_for(spark, sf_dir)))
 
 
 def oracle(name: str) -> str | None:
