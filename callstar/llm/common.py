@@ -80,6 +80,8 @@ _STEP = 0x9E3779B97F4A7C15
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_STEP))
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: For plain words: every ASCII character but letters and digits is a gap.
+PUNCTUATION = np.array([b < 128 and not (48 <= b < 58 or 65 <= b < 91 or 97 <= b < 123) for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _powers: dict[str, np.ndarray] = {}
@@ -95,25 +97,25 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, gap: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and 64-bit hash of each word of a byte run.
 
     Words are maximal runs of bytes other than blank, tab, newline, vertical
-    tab, form feed and return; A-Z count as a-z. Runs are cut at white space
+    tab, form feed and return (or those that ``gap`` marks); A-Z count as a-z. Runs are cut at white space
     into slices, so memory does not grow with the length of a text.
     """
     out, at, n = [], 0, len(data)
     while at < n:
         to = min(n, at + SLICE)
         while to < n:  # on to the next white space
-            gap = np.flatnonzero(_SPACE[data[to:to + 65536]])
-            if len(gap):
-                to += int(gap[0])
+            found = np.flatnonzero(gap[data[to:to + 65536]])
+            if len(found):
+                to += int(found[0])
                 break
             to = min(n, to + 65536)
         low = _LOWER[data[at:to]]
         inside = np.zeros(len(low) + 2, np.int8)
-        inside[1:-1] = ~_SPACE[low]
+        inside[1:-1] = ~gap[low]
         edge = np.diff(inside)
         start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         up, down = _power(len(low) + 1)
@@ -128,23 +130,27 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def row_words(offsets: np.ndarray, data: np.ndarray, size: int = 4 * SLICE) -> Iterator[tuple[int, list[np.ndarray]]]:
+def blank_joined(offsets: np.ndarray, data: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of rows ``lo`` to ``hi`` with a blank after each, and where each row ends in them."""
+    lens = np.diff(offsets[lo:hi + 1])
+    ends = np.cumsum(lens + 1)
+    keep = np.ones(int(ends[-1]), bool)
+    keep[ends - 1] = False
+    buf = np.full(len(keep), 32, np.uint8)
+    buf[keep] = data[offsets[lo]:offsets[hi]]
+    return buf, ends
+
+
+def row_words(offsets: np.ndarray, data: np.ndarray, gap: np.ndarray = _SPACE, size: int = SLICE) -> Iterator[tuple[int, list[np.ndarray]]]:
     """For ranges of rows: the first row, and the word hashes of each row in it.
 
     A row's end is a word's end, so words never join across rows.
     """
     for lo, hi in spans(offsets, size):
         if hi - lo == 1:
-            yield lo, [word_hashes(data[offsets[lo]:offsets[hi]])[2]]
+            yield lo, [word_hashes(data[offsets[lo]:offsets[hi]], gap)[2]]
             continue
-        base, n = offsets[lo], hi - lo
-        lens = np.diff(offsets[lo:hi + 1])
-        buf = np.full(int(lens.sum()) + n, 32, np.uint8)  # a blank after each row
-        at = np.arange(len(buf))
-        ends = np.cumsum(lens + 1)
-        keep = np.ones(len(buf), bool)
-        keep[ends - 1] = False
-        buf[at[keep]] = data[base:offsets[hi]]
-        start, _, h = word_hashes(buf)
+        buf, ends = blank_joined(offsets, data, lo, hi)
+        start, _, h = word_hashes(buf, gap)
         cut = np.searchsorted(start, ends)
         yield lo, np.split(h, cut[:-1])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callstar.llm import op2_exact, op3_pack, op7_rotate, op8_hilbert
+from callstar.llm import op2_exact, op3_pack, op4_toxicity, op5_langid, op7_rotate, op8_hilbert, op9_pii
 from callstar.llm.common import table
 
 
@@ -16,6 +16,14 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_pack.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op7_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_rotate.rotate(table(spark, sf_dir, "conversations"))
 
@@ -24,7 +32,11 @@ def op8_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_hilbert.shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_packing, op7_perspectives, op8_hilbert_shards)}
+def op9_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9_pii.find(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_packing, op4_toxicity_scores, op5_language_id, op7_perspectives, op8_hilbert_shards, op9_weak_pii)}
 
 #: Exact duplicates need no fingerprint in SQL: grouping by the text is the definition.
 EXACT_SQL = """
