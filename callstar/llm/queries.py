@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callstar.llm import op2_exact, op3_pack, op4_toxicity, op5_langid, op7_rotate, op8_hilbert, op9_pii
+from callstar.llm import op2_exact, op3_pack, op4_toxicity, op5_langid, op6_decontaminate, op7_rotate, op8_hilbert, op9_pii
 from callstar.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6_decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_rotate.rotate(table(spark, sf_dir, "conversations"))
 
@@ -36,7 +40,7 @@ def op9_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_pii.find(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_packing, op4_toxicity_scores, op5_language_id, op7_perspectives, op8_hilbert_shards, op9_weak_pii)}
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_packing, op4_toxicity_scores, op5_language_id, op6_decontamination, op7_perspectives, op8_hilbert_shards, op9_weak_pii)}
 
 #: Exact duplicates need no fingerprint in SQL: grouping by the text is the definition.
 EXACT_SQL = """
