@@ -73,7 +73,7 @@ def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _chunks(size: Column, chunk: int) -> Column:
     """Start of each chunk; one for the empty text."""
-    return F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(size / chunk) - 1, F.lit(0)).cast("long")) 
+    return F.sequence(F.lit(0).cast("long"), F.greatest(F.ceil(size / chunk) - 1, F.lit(0)).cast("long"))
 
 
 def fingerprints(rows: DataFrame, chunk: int = CHUNK) -> DataFrame:
@@ -99,7 +99,8 @@ def exact_groups(documents: DataFrame, chunk: int = CHUNK) -> DataFrame:
     rows = with_row_id(documents.select("doc_id", F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8").alias("bytes")), "uid")
     print_key = ["n_bytes", "f1", "f2"]
     prints = stage(fingerprints(rows, chunk), "prints")
-    groups = prints.groupBy(*print_key).agg(F.count("*").alias("size"), F.max(F.struct("doc_id", "uid")).alias("top"))
+    # staged, so that the join below reads plain exchanges, which Spark splits where a group is hot
+    groups = stage(prints.groupBy(*print_key).agg(F.count("*").alias("size"), F.max(F.struct("doc_id", "uid")).alias("top")), "groups")
     tagged = stage(prints.join(groups, print_key)
                    .select("uid", "doc_id", "n_bytes", "sha", "size", F.col("top.doc_id").alias("keep_id"), F.col("top.uid").alias("keep_uid")), "tagged")
     several = tagged.filter("size > 1").drop("doc_id")

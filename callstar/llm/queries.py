@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callstar.llm import op2_exact, op3_pack, op4_toxicity, op5_langid, op6_decontaminate, op7_rotate, op8_hilbert, op9_pii
+from callstar.llm import op2_exact, op3_pack, op4_toxicity, op5_langid, op6_decontaminate, op7_rotate, op8_hilbert, op9_pii, op10_jaccard
 from callstar.llm.common import table
 
 
@@ -40,7 +40,11 @@ def op9_weak_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_pii.find(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_packing, op4_toxicity_scores, op5_language_id, op6_decontamination, op7_perspectives, op8_hilbert_shards, op9_weak_pii)}
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_jaccard.jaccard_groups(table(spark, sf_dir, "documents")).drop("uid", "kept")
+
+
+QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_packing, op4_toxicity_scores, op5_language_id, op6_decontamination, op7_perspectives, op8_hilbert_shards, op9_weak_pii, op10_ngram_jaccard)}
 
 #: Exact duplicates need no fingerprint in SQL: grouping by the text is the definition.
 EXACT_SQL = """
