@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callstar.llm import op2_exact, op3_pack, op4_toxicity, op5_langid, op6_decontaminate, op7_rotate, op8_hilbert, op9_pii, op10_jaccard
+from callstar.llm import op1_wrapper, op2_exact, op3_pack, op4_toxicity, op5_langid, op6_decontaminate, op7_rotate, op8_hilbert, op9_pii, op10_jaccard
 from callstar.llm.common import table
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_wrapper.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_exact.exact_groups(table(spark, sf_dir, "documents")).drop("uid")
 
@@ -44,7 +48,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_jaccard.jaccard_groups(table(spark, sf_dir, "documents")).drop("uid", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op3_packing, op4_toxicity_scores, op5_language_id, op6_decontamination, op7_perspectives, op8_hilbert_shards, op9_weak_pii, op10_ngram_jaccard)}
+QUERIES = {f.__name__: f for f in (op1_main_text, op2_exact_dedup, op3_packing, op4_toxicity_scores, op5_language_id, op6_decontamination, op7_perspectives, op8_hilbert_shards, op9_weak_pii, op10_ngram_jaccard)}
 
 #: Exact duplicates need no fingerprint in SQL: grouping by the text is the definition.
 EXACT_SQL = """
