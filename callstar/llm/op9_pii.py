@@ -47,7 +47,7 @@ WIDE = {
     "phone": r"(?<![0-9A-Za-z+.-])(?:\([0-9]{2,4}\)[\x20.-]?|00[1-9][0-9]?[\x20.-]|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9.-])",
 }
 #: A text without these characters has no match.
-NEEDS = {"email": r"@|[\(\[]at[\)\]]", "ip": "[0-9][.:][0-9]|:[0-9A-Fa-f]", "card": "[0-9]{4}|[0-9][\\x20-][0-9]", "phone": "[0-9]{3}"}
+NEEDS = {"email": r"@|[\(\[]at[\)\]]", "ip": "[0-9][.:][0-9]|:[0-9A-Fa-f]", "card": "[0-9]{4}|[0-9][\\x20-][0-9]", "phone": r"\+[0-9]|[0-9]{3}"}
 
 # gazetteers
 TOP_DOMAINS = ("com", "org", "net", "edu", "gov", "info", "io", "de", "fr", "es", "uk", "it", "nl", "eu", "ch", "at")
