@@ -37,7 +37,7 @@ def canonical_channel(col, folds=R.CHANNEL_FOLDS) -> Column:
     return clean_upper(fold(col, folds, prepare=clean_upper))
 
 
-def repair_reason(col, folds=R.REASON_FOLDS) -> Column:
+def repair_reason(col, folds=R.REASON_FOLDS + R.ENGLISH_REASON_FOLDS) -> Column:
     return fold(col, folds)
 
 

@@ -7,6 +7,7 @@ DOUBLE so results compare across engines; the oracle SQL does the same.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -26,8 +27,9 @@ from callstar.plans import kpi
 from callstar.plans import oracle as O
 from callstar.plans import quality_kpi as QK
 from callstar.plans import silver as S
-from callstar.plans.lake import Lake
-from callstar.session import apply_conf
+from callstar.plans.lake import Lake, StoredLake
+from callstar.session import apply_conf, checkpoint_root
+from callstar.sources import sinks
 from callstar.sources.batches import as_of, batch_diff, latest_batch
 from callstar.sources.ingest import DEFAULT_BATCH, ingest_status, stamp
 from callstar.sources.landing import LANDING
@@ -66,21 +68,9 @@ def register(name: str, ids: str, deps: list[str] | None = None, sql: str | None
     return deco
 
 
-_LAKES: dict[tuple[int, str], Lake] = {}
-
-
 def lake_for(spark: SparkSession, sf_dir: str) -> Lake:
-    """One lazily built star schema per session and data directory.
-
-    Queries share its DataFrames, so the driver analyses the common
-    landing -> silver -> gold sub-plans once; nothing is cached in memory,
-    every query still executes its whole plan over the files.
-    """
-    key = (id(spark), sf_dir)
-    lake = _LAKES.get(key)
-    if lake is None or lake.spark is not spark:
-        lake = _LAKES[key] = Lake(spark, sf_dir)
-    return lake
+    """A lazily built star schema over the files that are there now."""
+    return Lake(spark, sf_dir)
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,6 +134,15 @@ _diff_sel = ", ".join(f"CASE WHEN n.id_client IS NULL THEN o.{c} ELSE n.{c} END
 _diff_chg = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in _DIFF_COLS)
 
 
+@register("asof_two_batches", "IO-18", ["bb_clients"],
+          f"SELECT {_BCOLS}, {DF('batch_day')} AS batch_day, {TS('ingestion_timestamp')} AS ingestion_timestamp, origem "
+          f"FROM bb_clients WHERE ingestion_timestamp <= TIMESTAMP '2024-02-03 00:00:00' "
+          f"QUALIFY row_number() OVER (PARTITION BY id_client ORDER BY ingestion_timestamp DESC, client_name DESC NULLS LAST, email DESC NULLS LAST, region DESC NULLS LAST, age DESC NULLS LAST) = 1")
+def _asof_two_batches(lake: Lake):
+    """Both batches are visible: the latest row of each key wins."""
+    return as_of(lake.bronze("b_clients"), ["id_client"], "2024-02-03 00:00:00")
+
+
 @register("batch_diff", "IO-17", ["b_clients"],
           f"SELECT * FROM (SELECT coalesce(n.id_client, o.id_client) AS id_client, "
           f"CASE WHEN o.id_client IS NULL THEN 'INSERT' WHEN n.id_client IS NULL THEN 'DELETE' "
@@ -388,10 +387,112 @@ def _schema_enforce(lake: Lake):
           "SELECT cd_cliente, flag_qualidade, CASE WHEN flag_qualidade = 'OK' THEN 'tb_cliente' "
           "ELSE 'tb_cliente_invalidos' END AS destination FROM f_clients")
 def _route_valid_rejects(lake: Lake):
-    f = lake.clients.flagged
-    return f.select("cd_cliente", Q.VERDICT,
-                    F.when(F.col(Q.VERDICT) == Q.OK, F.lit("tb_cliente"))
-                     .otherwise(F.lit("tb_cliente_invalidos")).alias("destination"))
+    """Written split by verdict and read back from the two sides."""
+    path = f"{checkpoint_root(lake.spark)}/route/{uuid.uuid4().hex}"
+    valid, rejected = sinks.write_flagged(lake.clients.flagged, path)
+    return (valid.select("cd_cliente", F.lit(Q.OK).alias(Q.VERDICT), F.lit("tb_cliente").alias("destination"))
+            .unionByName(rejected.select("cd_cliente", F.col(Q.VERDICT), F.lit("tb_cliente_invalidos").alias("destination"))))
+
+
+_TWO_COLS = ("cd_chamado, cd_cliente, cd_motivo, cd_canal, cd_atendente, val_tempo_espera, val_tempo_atendimento, "
+             "CAST(val_custo AS DOUBLE) AS val_custo, val_nota_csat, fl_experiencia_negativa, st_resolvido")
+
+
+@register("load_two_batches", "IO-9 IO-12 IO-13 T-14", ["ft_service"], f"SELECT {_TWO_COLS} FROM ft_service")
+def _load_two_batches(lake: Lake):
+    """The stored service fact after two daily loads: later tickets, times, costs and surveys come on the second day."""
+    from callstar.plans import daily_load
+    spark, key = lake.spark, "callstar.warehouse"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, f"{checkpoint_root(spark)}/two_batches/{uuid.uuid4().hex}")
+    try:
+        landing = {n: lake.landing(n) for n in LANDING}
+        first = {"l_tickets": "id_ticket % 3 <> 0", "l_ticket_times": "id_ticket % 2 = 0", "l_costs": "id_ticket % 5 <> 0", "l_surveys": "id_ticket % 7 <> 0"}
+        day1 = {n: df.filter(first[n]) if n in first else df for n, df in landing.items()}
+        day2 = {n: df.filter(f"not coalesce({first[n]}, false)") if n in first else df for n, df in landing.items()}
+        for part, stamp_text in ((day1, "2024-03-01 02:00:00"), (day2, "2024-03-02 02:00:00")):
+            failed = daily_load.run(spark, part, stamp_text).filter("status = 'FAILED'").collect()
+            if failed:
+                raise RuntimeError(str(failed))
+        return StoredLake(spark).fact_service.selectExpr(*_TWO_COLS.split(", "))
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
+
+
+@register("upsert_null_keys", "J-7 IO-12", [],
+          "WITH t AS (SELECT CASE WHEN s_suppkey % 5 <> 0 THEN s_suppkey END AS k, s_name AS v FROM supplier), "
+          "n AS (SELECT CASE WHEN s_suppkey % 7 <> 0 THEN s_suppkey + 3 END AS k, concat('new ', s_name) AS v FROM supplier WHERE s_suppkey % 3 = 0) "
+          "SELECT k, v FROM t WHERE k IS NULL OR k NOT IN (SELECT k FROM n WHERE k IS NOT NULL) UNION ALL SELECT k, v FROM n")
+def _upsert_null_keys(lake: Lake):
+    """Stored upsert: rows without key are kept on both sides and never match."""
+    s = lake.table("supplier")
+    target = s.selectExpr("CASE WHEN s_suppkey % 5 <> 0 THEN s_suppkey END AS k", "s_name AS v")
+    source = s.filter("s_suppkey % 3 = 0").selectExpr("CASE WHEN s_suppkey % 7 <> 0 THEN s_suppkey + 3 END AS k", "concat('new ', s_name) AS v")
+    path = f"{checkpoint_root(lake.spark)}/null_keys/{uuid.uuid4().hex}"
+    for batch in (target, source):
+        out = sinks.upsert_partitioned(batch, path, ["k"], sinks.BUCKET_COL, sinks.hash_bucket(["k"], 8),
+                                       key_determines_partition=True, layout="hash k 8")
+    return out.drop(sinks.BUCKET_COL)
+
+
+# ---------------------------------------------------------------------------
+# rules against expected values written out by hand
+# ---------------------------------------------------------------------------
+
+
+def _cases(n: str, texts: list) -> str:
+    """SQL CASE that picks the n-th text (a literal) of a list."""
+    lit = lambda t: "NULL" if t is None else f"'{t}'" if isinstance(t, str) else str(t).lower()
+    return f"CASE {n} % {len(texts)} " + " ".join(f"WHEN {i} THEN {lit(t)}" for i, t in enumerate(texts)) + " END"
+
+
+# dirty text and what the folds must make of it, in order: wildcards for broken accents, a greedy tail,
+# a swallowed tail, a case that must not match, and two rules that meet in one text
+_REASON_CASES = [
+    ("Bloqueio de cart?o", "Bloqueio de cartão"), ("Bloqueio de cartao e do aplicativo novo hoje", "Bloqueio de cartãoje"),
+    ("bloqueio de cartao", "bloqueio de cartao"), ("Contesta??o de fatura", "Contestação de fatura"),
+    ("D?vidas gerais sobre programa de pontos", "Dúvidas gerais sobre programa de pontos"), ("Compra n@o autorizada", "Compra não autorizada"),
+    ("Contrata??o de cart?o adicional", "Contratação de cartão adicional"),
+    ("Altera??o de dados cadastrais e mais", "Alteração de dados cadastrais (vencimento da fatura, telefone, email)"),
+    ("Desbloqueio de cart?o", "Desbloqueio de cartão"), ("Transfer?ncia de ag?ncia", "Transferência de agência"),
+    ("Renegocia??o de d?vida", "Renegociação de dívida"), ("Altera??o de dados cadastrais: Problema com aplicativo", "Alteração de dados cadastrais (vencimento da fatura, telefone, email)"),
+    ("Bloqueio de cart?o, depois Desbloqueio de cart?o", "Bloqueio de cartão"), ("card blxck", "Card block"), ("", ""), (None, None),
+]
+
+
+@register("regex_fold_expected", "N-7 F-1", [],
+          f"SELECT p_partkey, {_cases('p_partkey', [d for d, _ in _REASON_CASES])} AS reason, "
+          f"{_cases('p_partkey', [c for _, c in _REASON_CASES])} AS folded FROM part")
+def _regex_fold_expected(lake: Lake):
+    dirty = F.expr(_cases("p_partkey", [d for d, _ in _REASON_CASES])).cast("string")
+    return lake.table("part").select("p_partkey", dirty.alias("reason"), N.repair_reason(dirty).alias("folded"))
+
+
+_STATUS_CASES = [
+    ("ativo", True), ("ativoo", True), ("atvo", True), ("atvivo", True), ("atvio", True), ("ativ", True), ("atv", True), ("at1vo", True),
+    ("a tivo", True), ("ATIVO", True), ("inativo", False), ("inatvo", False), ("invativo", False), ("inativoo", False), ("inativ", False),
+    ("inativ0", False), ("in ativo", False), ("inat1vo", False), ("in at1vo", False), ("InAtivo", False), (" ativo", None), ("talvez", None), (None, None),
+]
+
+
+@register("status_spellings", "N-4", [],
+          f"SELECT p_partkey, {_cases('p_partkey', [d for d, _ in _STATUS_CASES])} AS spelling, "
+          f"CAST({_cases('p_partkey', [c for _, c in _STATUS_CASES])} AS BOOLEAN) AS active FROM part")
+def _status_spellings(lake: Lake):
+    dirty = F.expr(_cases("p_partkey", [d for d, _ in _STATUS_CASES])).cast("string")
+    return lake.table("part").select("p_partkey", dirty.alias("spelling"), N.status_flag(dirty).alias("active"))
+
+
+_EMAIL_CASES = [("a@x.com", True), ("a.b%c+d@x-y.co.uk", True), ("a@x..com", True), ("a@.x.com", True), ("a@x.c", False), ("a@x", False),
+                ("a b@x.com", False), ("@x.com", False), ("a@x.com ", False), ("a@x_y.com", False), ("a@x.c0m", False)]
+
+
+@register("email_expected", "Q-3", [],
+          f"SELECT p_partkey, {_cases('p_partkey', [d for d, _ in _EMAIL_CASES])} AS email, "
+          f"{_cases('p_partkey', [c for _, c in _EMAIL_CASES])} AS valid FROM part")
+def _email_expected(lake: Lake):
+    email = F.expr(_cases("p_partkey", [d for d, _ in _EMAIL_CASES])).cast("string")
+    return lake.table("part").select("p_partkey", email.alias("email"), email.rlike(R.EMAIL_VALID).alias("valid"))
 
 
 @register("reject_sample", "IO-20 SL-2", ["f_tickets"],
@@ -534,14 +635,23 @@ def _fact_agent_daily(lake: Lake):
     return G.fact_agent_daily(lake.tickets.valid(), lake.times.valid(), lake.surveys.valid())
 
 
-@register("published_view", "IO-14 IO-16 A-4", ["v_tickets"],
-          "SELECT count(*) FILTER (WHERE cd_atendente IS NOT NULL) AS tickets_with_agent, count(*) AS all_tickets "
-          "FROM v_tickets")
+_VIEWS = {"vw_dm_atendente": ("dim_agent", "d_agent"), "vw_dm_canal": ("dim_channel", "d_channel"), "vw_dm_cliente": ("dim_client", "d_client"),
+          "vw_dm_motivo": ("dim_reason", "d_reason"), "vw_dm_chamado": ("dim_ticket", "v_tickets"), "vw_ft_atendimento_geral": ("fact_service", "ft_service"),
+          "vw_ft_custo_operacional": ("fact_cost", "ft_cost"), "vw_ft_performance_agente": ("fact_agent", "ft_agent")}
+
+
+@register("published_view", "IO-14 IO-16 A-4", [t for _, t in _VIEWS.values()],
+          " UNION ALL ".join(f"SELECT '{v}' AS view_name, count(*) AS row_count FROM {t}" for v, (_, t) in _VIEWS.items()))
 def _published_view(lake: Lake):
-    from callstar.sources.sinks import publish_views
-    publish_views(lake.spark, {"vw_tb_chamado": lake.tickets.valid()})
-    return lake.spark.sql("SELECT count_if(cd_atendente IS NOT NULL) AS tickets_with_agent, "
-                          "count(*) AS all_tickets FROM vw_tb_chamado")
+    """All eight gold views, read through their names."""
+    sinks.publish_views(lake.spark, {v: getattr(lake, attr) for v, (attr, _) in _VIEWS.items()})
+    return lake.spark.sql(" UNION ALL ".join(f"SELECT '{v}' AS view_name, count(*) AS row_count FROM {v}" for v in _VIEWS))
+
+
+@register("fact_cost_source_key", "T-15 F-17", ["ft_cost"],
+          f"SELECT md5(concat(CAST(cd_chamado AS VARCHAR), 'CUSTO')) AS pk_custo, cd_custo, cd_chamado, CAST(val_custo_total AS DOUBLE) AS val_custo_total FROM ft_cost")
+def _fact_cost_source_key(lake: Lake):
+    return G.fact_cost_source_key(lake.tickets.valid(), lake.costs.valid()).select("pk_custo", "cd_custo", "cd_chamado", F.col("val_custo_total").cast("double").alias("val_custo_total"))
 
 
 # ---------------------------------------------------------------------------
@@ -561,7 +671,7 @@ _WASTE = f"(r.ds_criticidade = 'BAIXA' AND c.ds_tipo_interacao = '{R.CHANNEL_HUM
           f"{O.rate('total_cost', 'sum(total_cost) OVER ()')} AS share_pct, "
           f"{O.rate('sum(total_cost) OVER (ORDER BY total_cost DESC, cd_motivo ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)', 'sum(total_cost) OVER ()')} AS cum_share_pct "
           "FROM (SELECT f.cd_motivo, r.ds_motivo, sum(f.val_custo_total) AS total_cost, count(*) AS n_costs "
-          "FROM ft_cost f LEFT JOIN d_reason r ON f.cd_motivo = r.cd_motivo GROUP BY 1, 2) g")
+          "FROM ft_cost f LEFT JOIN d_reason r ON f.cd_motivo = r.cd_motivo GROUP BY 1, 2) g ORDER BY total_cost DESC, cd_motivo")
 def _kpi_cost_by_reason(lake: Lake):
     return kpi.cost_by_reason(lake)
 
@@ -671,11 +781,25 @@ def _kpi_resolution_by_channel(lake: Lake):
 
 @register("kpi_cost_per_ticket_by_type", "K-14", ["ft_service", "d_channel"],
           f"SELECT c.ds_tipo_interacao, CAST(sum(f.val_custo) AS DOUBLE) AS total_cost, count(*) AS n_tickets, "
-          f"{O.r6('avg(CAST(f.val_custo AS DOUBLE))')} AS avg_cost_per_ticket FROM {_FS}{_J_C} GROUP BY 1")
+          f"{O.r6('CAST(sum(f.val_custo) AS DOUBLE) / count(*)')} AS avg_cost_per_ticket FROM {_FS}{_J_C} GROUP BY 1")
 def _kpi_cost_per_ticket_by_type(lake: Lake):
     return kpi.cost_per_ticket_by_type(lake)
 
 
+@register("kpi_cost_per_ticket_by_channel", "K-14", ["ft_service", "d_channel"],
+          f"SELECT f.cd_canal, c.nm_canal, CAST(sum(f.val_custo) AS DOUBLE) AS total_cost, count(*) AS n_tickets, "
+          f"{O.r6('CAST(sum(f.val_custo) AS DOUBLE) / count(*)')} AS avg_cost_per_ticket FROM {_FS}{_J_C} GROUP BY 1, 2")
+def _kpi_cost_per_ticket_by_channel(lake: Lake):
+    return kpi.cost_per_ticket_by_channel(lake)
+
+
+@register("kpi_resolution_by_agent", "K-13", ["ft_service", "d_agent"],
+          f"SELECT *, {O.rate('n_resolved', 'n_tickets')} AS resolved_pct FROM (SELECT f.cd_atendente, a.nm_atendente, "
+          f"count(*) AS n_tickets, CAST(sum(f.st_resolvido) AS BIGINT) AS n_resolved FROM {_FS}{_J_A} WHERE f.cd_atendente IS NOT NULL GROUP BY 1, 2) g")
+def _kpi_resolution_by_agent(lake: Lake):
+    return kpi.resolution_by_agent(lake)
+
+
 @register("kpi_csat_over_time", "K-15 A-7", ["ft_service"],
           f"SELECT {DF('dt_referencia')} AS dt_referencia, {O.r6('avg(val_nota_csat)')} AS avg_csat, "
           f"count(val_nota_csat) AS n_rated, count(*) AS n_tickets FROM ft_service GROUP BY dt_referencia")
@@ -693,7 +817,8 @@ def _kpi_agent_ranking(lake: Lake):
 
 
 @register("kpi_load_by_level", "K-17", ["ft_service", "d_agent"],
-          f"SELECT *, {O.rate('n_tickets', 'sum(n_tickets) OVER ()')} AS ticket_share_pct FROM (SELECT a.nu_nivel, "
+          f"SELECT *, {O.rate('n_tickets', 'sum(n_tickets) OVER ()')} AS ticket_share_pct, "
+          f"{O.rate('handling_sec', 'sum(handling_sec) OVER ()')} AS handling_share_pct FROM (SELECT a.nu_nivel, "
           f"count(*) AS n_tickets, CAST(sum(f.val_tempo_atendimento) AS BIGINT) AS handling_sec "
           f"FROM {_FS}{_J_A} WHERE f.cd_atendente IS NOT NULL GROUP BY 1) g")
 def _kpi_load_by_level(lake: Lake):
@@ -707,5 +832,12 @@ def _kpi_problems_by_profile(lake: Lake):
     return kpi.problems_by_profile(lake)
 
 
+@register("kpi_reasons_by_profile", "K-18", ["ft_service", "d_client", "d_reason"],
+          f"SELECT cl.ds_faixa_etaria, cl.nm_regiao, f.cd_motivo, r.ds_motivo, count(*) AS n_tickets "
+          f"FROM {_FS}{_J_CL}{_J_R} GROUP BY 1, 2, 3, 4")
+def _kpi_reasons_by_profile(lake: Lake):
+    return kpi.reasons_by_profile(lake)
+
+
 # quality KPIs are registered from their own module
 QK.register_all(register)

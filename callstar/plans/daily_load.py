@@ -4,34 +4,41 @@ Every hop reads the previous layer from storage, so lineage is cut at each
 layer by a written table in the shared warehouse folder (never by a local
 checkpoint): a lost executor only recomputes the current hop.
 
-* bronze: append the stamped batch, partitioned by batch day; silver then
-  reads exactly that batch's partition (static partition filter);
+* bronze: the stamped batch is one partition, replaced if it is loaded again;
+  silver reads exactly that partition, with the landing table's schema;
 * silver: compute the flagged frame once, write it split by verdict, then
   upsert the valid side into the bucketed table (range buckets for tables
   keyed by increasing ids, hash buckets otherwise; only touched buckets are
   rewritten) and overwrite the audit table with the rejected side;
   lookups (reason, channel, ticket times) are built before tickets;
+* tickets also follow what arrives late: raw tickets whose reason or channel
+  was unknown wait in a pending table and are tried again with every batch, and
+  stored tickets whose times arrive or change get their durations anew;
 * gold: per-ticket tables (service fact, cost fact, ticket dimension) are
-  recomputed only for the tickets the batch touched and upserted into date
-  partitions / id buckets (only touched ones are rewritten, including the old
-  date of a ticket whose date moved); the small dimensions and the per-agent
-  fact are rebuilt as versioned tables;
+  recomputed only for the tickets the batch touched, the per-agent fact for
+  the agents of those tickets, and upserted (only touched partitions are
+  rewritten, including the old date of a ticket whose date moved); the small
+  dimensions are rebuilt as versioned tables;
 * views: one published view per gold table.
+
+A table that fails at any hop is reported with its error and keeps its stored
+state; the others go on.
 """
 
 from __future__ import annotations
 
-import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from callstar.operators.quality import OK, VERDICT
 from callstar.plans import gold as G
 from callstar.plans import schemas
 from callstar.plans import silver as S
 from callstar.sources import sinks
-from callstar.sources.batches import latest_batch
-from callstar.sources.ingest import STAMP_COL, append_batch, stamp
+from callstar.sources.ingest import BATCH_COL, PART_COL, STAMP_COL, append_batch, batch_id, bronze_schema, read_batches, stamp
 
 # landing name -> (silver table, key, builder)
 SILVER_PLAN = [
@@ -65,68 +72,110 @@ GOLD_KEYS = {
 RANGE_BUCKETED = {"tb_chamado", "tb_chamado_log", "tb_custo_chamado", "tb_pesquisa"}
 
 
-def _buckets(spark: SparkSession) -> int:
-    """Hash buckets per silver table (deployment setting; small default)."""
-    return int(spark.conf.get("callstar.silver.buckets", "16"))
+def _bucket(spark: SparkSession, table: str, keys: list[str]):
+    """Bucket expression of a silver table and the layout to keep with it (deployment settings at its creation)."""
+    if table in RANGE_BUCKETED and len(keys) == 1:
+        width = int(spark.conf.get("callstar.silver.range_width", "100000"))
+        return sinks.range_bucket(keys[0], width), f"range {keys[0]} {width}"
+    n = int(spark.conf.get("callstar.silver.buckets", "16"))
+    return sinks.hash_bucket(keys, n), f"hash {' '.join(keys)} {n}"
 
 
-def _bucket_expr(spark: SparkSession, table: str, keys: list[str]):
-    if table in RANGE_BUCKETED and len(keys) == 1:
-        return sinks.range_bucket(keys[0], int(spark.conf.get("callstar.silver.range_width", "100000")))
-    return sinks.hash_bucket(keys, _buckets(spark))
+def _current(spark: SparkSession, layer: str, table: str) -> DataFrame | None:
+    return sinks.read_current(spark, sinks.table_path(spark, layer, table))
 
 
-def _tag(batch_ts: str) -> str:
-    return re.sub(r"[^0-9]", "", batch_ts)
+def _staging(spark: SparkSession, table: str, batch_ts: str) -> str:
+    return sinks.table_path(spark, "_staging", f"{table}/batch={batch_id(batch_ts)}")
 
 
 def load_bronze(spark: SparkSession, landing: dict[str, DataFrame], batch_ts: str) -> DataFrame:
-    """Append every landing table; one status row per table (errors isolated)."""
+    """Write every landing table's batch; one status row per table (errors isolated, in full)."""
     rows = []
     for name, df in landing.items():
         try:
-            append_batch(stamp(df, batch_ts, f"landing.{name}"), sinks.table_path(spark, "bronze", name))
+            append_batch(stamp(df, batch_ts, f"landing.{name}"), sinks.table_path(spark, "bronze", name), batch_ts)
             rows.append((name, "LOADED", None))
         except Exception as e:  # one bad table must not stop the others
-            rows.append((name, "FAILED", str(e)[:500]))
+            rows.append((name, "FAILED", str(e)))
     return spark.createDataFrame(rows, "table_name string, status string, error string")
 
 
-def _bronze(spark: SparkSession, name: str, batch_ts: str | None = None) -> DataFrame:
-    """Bronze rows of one batch: a static filter on the batch-day partition
-    (and the stamp) when the batch is known, else the newest partition via
-    the latest-batch subquery."""
-    df = spark.read.parquet(sinks.table_path(spark, "bronze", name))
-    if batch_ts is None:
-        return latest_batch(df, "batch_day").drop("batch_day")
-    day = F.to_date(F.lit(batch_ts))
-    return df.filter(F.col("batch_day") == day).drop("batch_day")
+def bronze_batch(spark: SparkSession, name: str, schema: T.StructType, batch_ts: str) -> DataFrame:
+    """Bronze rows of one batch (daily and streamed parts), by a static partition filter."""
+    df = read_batches(spark, sinks.table_path(spark, "bronze", name), bronze_schema(schema))
+    return df.filter(F.col(BATCH_COL) == batch_id(batch_ts)).drop(BATCH_COL, PART_COL)
 
 
-def _publish_silver(spark: SparkSession, s: S.Silver, table: str, keys: list[str], batch_ts: str):
-    staging = sinks.table_path(spark, "_staging", f"{table}/batch={_tag(batch_ts)}")
-    valid, rejected = sinks.write_flagged(s.flagged, staging)
+def _publish_silver(spark: SparkSession, s: S.Silver, table: str, keys: list[str], batch_ts: str) -> tuple[DataFrame, DataFrame]:
+    valid, rejected = sinks.write_flagged(s.flagged, _staging(spark, table, batch_ts))
+    bucket, layout = _bucket(spark, table, keys)
     sinks.upsert_partitioned(schemas.enforce(valid, schemas.SILVER[table]), sinks.table_path(spark, "silver", table),
-                             keys, sinks.BUCKET_COL, _bucket_expr(spark, table, keys),
-                             key_determines_partition=True)
+                             keys, sinks.BUCKET_COL, bucket, key_determines_partition=True, layout=layout)
     if table == "tb_motivo":
         audit = S.reason_rejects(S.Silver(s.name, rejected, s.columns, s.rules))
     else:
         audit = rejected
     audit = schemas.enforce(audit, schemas.AUDIT[f"{table}_invalidos"])
     sinks.overwrite(audit, sinks.table_path(spark, "silver", f"{table}_invalidos"))
+    return valid, rejected
+
+
+def _load_tickets(spark: SparkSession, schema: T.StructType, batch_ts: str) -> None:
+    """Tickets of the batch and those still pending; then late times of stored tickets."""
+    raw = bronze_batch(spark, "l_tickets", schema, batch_ts)
+    pending_path = sinks.table_path(spark, "silver", "_pending_tickets")
+    pending = sinks.read_current(spark, pending_path)
+    if pending is not None:
+        raw = raw.unionByName(pending)  # keep-latest prefers the batch's own record of a ticket
+    need = {t: _current(spark, "silver", t) for t in ("tb_motivo", "tb_canal", "tb_chamado_log")}
+    missing = [t for t, df in need.items() if df is None]
+    if missing:
+        raise RuntimeError(f"tickets need {', '.join(missing)}, which no batch has loaded yet")
+    tickets = S.silver_ticket(raw, need["tb_motivo"], need["tb_canal"], need["tb_chamado_log"],
+                              lookup_max_rows=LOOKUP_BROADCAST_MAX_ROWS, selected=True)
+    # a pending ticket keeps its own stamp; the newest record of a ticket wins
+    _, rejected = _publish_silver(spark, tickets, "tb_chamado", ["cd_chamado"], batch_ts)
+    waiting = rejected.filter(F.col("cd_chamado").isNotNull() & ~(F.col("flag_fk_motivo_valida") & F.col("flag_fk_canal_valida"))).select("cd_chamado")
+    number = S._num(raw, "id_ticket", "bigint")
+    still = raw.withColumn("_id", number).join(waiting, F.col("_id") == F.col("cd_chamado"), "left_semi").drop("_id")
+    version = (spark.read.parquet(pending_path).agg(F.max(sinks.VERSION_COL)).first()[0] or 0) + 1 if pending is not None else 1
+    still.withColumn(sinks.VERSION_COL, F.lit(int(version))).write.mode("append").partitionBy(sinks.VERSION_COL).parquet(pending_path)
+
+    # stored tickets whose times this batch brought: durations anew
+    late = (spark.read.schema("cd_chamado bigint, flag_qualidade string").parquet(_staging(spark, "tb_chamado_log", batch_ts))
+            .filter(F.col(VERDICT) == OK).select("cd_chamado").distinct())
+    bucket, layout = _bucket(spark, "tb_chamado", ["cd_chamado"])
+    path = sinks.table_path(spark, "silver", "tb_chamado")
+    stored = sinks.in_buckets(spark, path, late.select(bucket))
+    if stored is None:
+        return
+    old = stored.join(late, "cd_chamado", "left_semi")
+    new = S.with_durations(old, need["tb_chamado_log"].join(late, "cd_chamado", "left_semi")).select(old.columns)
+    sinks.upsert_partitioned(schemas.enforce(new.exceptAll(old), schemas.SILVER["tb_chamado"]), path, ["cd_chamado"],
+                             sinks.BUCKET_COL, bucket, key_determines_partition=True, layout=layout)
+
+
+def load_silver(spark: SparkSession, landing: dict[str, T.StructType], batch_ts: str) -> dict[str, str]:
+    """Silver for exactly the batch just loaded (``landing``: the tables that bronze took, with their schemas).
+
+    Returns the error of each silver table that failed; it keeps its stored rows.
+    """
+    errors: dict[str, str] = {}
 
+    def attempt(table: str, work: Callable[[], object]) -> None:
+        try:
+            work()
+        except Exception as e:
+            errors[table] = str(e)
 
-def load_silver(spark: SparkSession, batch_ts: str) -> None:
-    """Silver for exactly the batch just loaded: a table that received no
-    rows in this batch contributes nothing (its silver stays as it was)."""
-    for landing_name, table, keys, build in SILVER_PLAN:
-        _publish_silver(spark, build(_bronze(spark, landing_name, batch_ts), batch=batch_ts), table, keys, batch_ts)
-    cur = {t: sinks.read_current(spark, sinks.table_path(spark, "silver", t))
-           for t in ("tb_motivo", "tb_canal", "tb_chamado_log")}
-    tickets = S.silver_ticket(_bronze(spark, "l_tickets", batch_ts), cur["tb_motivo"], cur["tb_canal"],
-                              cur["tb_chamado_log"], batch=batch_ts, lookup_max_rows=LOOKUP_BROADCAST_MAX_ROWS)
-    _publish_silver(spark, tickets, "tb_chamado", ["cd_chamado"], batch_ts)
+    for name, table, keys, build in SILVER_PLAN:
+        if name in landing:
+            attempt(table, lambda: _publish_silver(spark, build(bronze_batch(spark, name, landing[name], batch_ts), batch=batch_ts),
+                                                   table, keys, batch_ts))
+    if "l_tickets" in landing:
+        attempt("tb_chamado", lambda: _load_tickets(spark, landing["l_tickets"], batch_ts))
+    return errors
 
 
 def touched_tickets(spark: SparkSession, batch_ts: str) -> DataFrame:
@@ -134,55 +183,78 @@ def touched_tickets(spark: SparkSession, batch_ts: str) -> DataFrame:
     valid side of the batch's staged tickets, times, costs and surveys."""
     out = None
     for table in TICKET_TABLES:
-        staged = spark.read.schema("cd_chamado bigint, flag_qualidade string").parquet(
-            sinks.table_path(spark, "_staging", f"{table}/batch={_tag(batch_ts)}"))
+        if not sinks._exists(spark, _staging(spark, table, batch_ts)):
+            continue  # it brought nothing, or failed
+        staged = spark.read.schema("cd_chamado bigint, flag_qualidade string").parquet(_staging(spark, table, batch_ts))
         ids = staged.filter(F.col("flag_qualidade") == "OK").select("cd_chamado")
         out = ids if out is None else out.unionByName(ids)
+    if out is None:
+        return spark.createDataFrame([], "cd_chamado bigint")
     return out.filter(F.col("cd_chamado").isNotNull()).distinct()
 
 
-def load_gold(spark: SparkSession, batch_ts: str | None = None) -> None:
-    """Dimensions and facts from current silver.
+def load_gold(spark: SparkSession, batch_ts: str | None = None) -> dict[str, str]:
+    """Dimensions and facts from current silver; returns the error of each table that failed.
 
     With ``batch_ts`` and an existing gold layer, the per-ticket tables are
     recomputed only for the tickets the batch touched (each with all of its
-    silver rows) and upserted; untouched dates and buckets are not rewritten.
-    The small dimensions and the per-agent fact are rebuilt whole.
+    silver rows), the per-agent fact for their agents (those before and after
+    the batch), and upserted; untouched dates and buckets are not rewritten.
+    The small dimensions are rebuilt whole.
     """
     def silver(t):
-        return sinks.read_current(spark, sinks.table_path(spark, "silver", t))
-    tickets, times, costs, surveys = (silver(t) for t in TICKET_TABLES)
-    incremental = batch_ts is not None and sinks.read_current(
-        spark, sinks.table_path(spark, "gold", "ft_atendimento_geral")) is not None
-    tk, tm, cs, sv = tickets, times, costs, surveys
-    if incremental:
-        touched = touched_tickets(spark, batch_ts)
-        tk, tm, cs, sv = (df.join(touched, "cd_chamado", "left_semi") for df in (tickets, times, costs, surveys))
-    outputs = {
-        "dm_atendente": G.dim_agent(silver("tb_atendente")),
-        "dm_canal": G.dim_channel(silver("tb_canal")),
-        "dm_cliente": G.dim_client(silver("tb_cliente")),
-        "dm_motivo": G.dim_reason(silver("tb_motivo")),
-        "dm_chamado": G.dim_ticket(tk),
-        "ft_atendimento_geral": G.fact_service(tk, tm, cs, sv),
-        "ft_custo_operacional": G.fact_cost(tk, cs),
-        "ft_performance_agente": G.fact_agent(tickets, surveys),
+        df = _current(spark, "silver", t)
+        if df is None:
+            raise RuntimeError(f"{t} has not been loaded yet")
+        return df
+
+    incremental = batch_ts is not None and _current(spark, "gold", "ft_atendimento_geral") is not None
+    touched = touched_tickets(spark, batch_ts) if incremental else None
+
+    def tickets_of(t):
+        return silver(t).join(touched, "cd_chamado", "left_semi") if incremental else silver(t)
+
+    def agents():
+        tickets, surveys = silver("tb_chamado"), silver("tb_pesquisa")
+        if incremental:
+            before = _current(spark, "gold", "ft_atendimento_geral").select("cd_chamado", "cd_atendente")
+            moved = (before.unionByName(tickets.select("cd_chamado", "cd_atendente")).join(touched, "cd_chamado", "left_semi")
+                     .select("cd_atendente").filter("cd_atendente is not null").distinct())
+            tickets = tickets.join(moved, "cd_atendente", "left_semi")
+        return G.fact_agent(tickets, surveys)
+
+    outputs: dict[str, Callable[[], DataFrame]] = {  # the agent fact first: it looks at the service fact before this batch
+        "ft_performance_agente": agents,
+        "dm_atendente": lambda: G.dim_agent(silver("tb_atendente")),
+        "dm_canal": lambda: G.dim_channel(silver("tb_canal")),
+        "dm_cliente": lambda: G.dim_client(silver("tb_cliente")),
+        "dm_motivo": lambda: G.dim_reason(silver("tb_motivo")),
+        "dm_chamado": lambda: G.dim_ticket(tickets_of("tb_chamado")),
+        "ft_atendimento_geral": lambda: G.fact_service(*(tickets_of(t) for t in TICKET_TABLES)),
+        "ft_custo_operacional": lambda: G.fact_cost(tickets_of("tb_chamado"), tickets_of("tb_custo_chamado")),
     }
-    width = int(spark.conf.get("callstar.silver.range_width", "100000"))
-    for name, df in outputs.items():
-        typed, path = schemas.enforce(df, schemas.GOLD[name]), sinks.table_path(spark, "gold", name)
-        if name == "dm_chamado":
-            sinks.upsert_partitioned(typed, path, GOLD_KEYS[name], sinks.BUCKET_COL,
-                                     sinks.range_bucket("cd_chamado", width), key_determines_partition=True)
-        elif name in GOLD_PARTITION:
-            sinks.upsert_partitioned(typed, path, GOLD_KEYS[name], GOLD_PARTITION[name])
-        else:
-            sinks.upsert_table(typed, path, GOLD_KEYS[name])
-            sinks.vacuum_versions(spark, path, keep=2)
+    errors: dict[str, str] = {}
+    for name, build in outputs.items():
+        try:
+            typed, path = schemas.enforce(build(), schemas.GOLD[name]), sinks.table_path(spark, "gold", name)
+            if name == "dm_chamado":
+                bucket, layout = _bucket(spark, "tb_chamado", ["cd_chamado"])
+                sinks.upsert_partitioned(typed, path, GOLD_KEYS[name], sinks.BUCKET_COL, bucket,
+                                         key_determines_partition=True, layout=layout)
+            elif name in GOLD_PARTITION:
+                sinks.upsert_partitioned(typed, path, GOLD_KEYS[name], GOLD_PARTITION[name])
+            else:
+                sinks.upsert_table(typed, path, GOLD_KEYS[name])
+                sinks.vacuum_versions(spark, path, keep=2)
+        except Exception as e:
+            errors[name] = str(e)
+    return errors
 
 
 def publish(spark: SparkSession) -> list[str]:
-    views = {f"vw_{t}": sinks.read_current(spark, sinks.table_path(spark, "gold", t)) for t in GOLD_KEYS}
+    """A view for each gold table that exists."""
+    views = {f"vw_{t}": _current(spark, "gold", t) for t in GOLD_KEYS}
+    views = {n: df for n, df in views.items() if df is not None}
     sinks.publish_views(spark, views)
     return sorted(views)
 
@@ -191,29 +263,33 @@ def layer_status(spark: SparkSession) -> DataFrame:
     """Post-run check: every gold table exists and holds rows."""
     rows = []
     for t in GOLD_KEYS:
-        df = sinks.read_current(spark, sinks.table_path(spark, "gold", t))
+        df = _current(spark, "gold", t)
         rows.append((t, df is not None, df is not None and df.limit(1).count() > 0))
     return spark.createDataFrame(rows, "table_name string, exists boolean, loaded boolean")
 
 
 def run(spark: SparkSession, landing: dict[str, DataFrame], batch_ts: str) -> DataFrame:
-    """One daily run; returns per-table silver counts read back from storage.
-
-    Bronze load status (one row per landing table) is returned by
-    ``load_bronze``; a failed table keeps its previous silver/gold version.
-    """
-    load_bronze(spark, landing, batch_ts)
-    load_silver(spark, batch_ts)
-    load_gold(spark, batch_ts)
+    """One daily run: a row per landing table (as its silver table) and gold table with
+    layer, status (LOADED, FAILED), error and, for silver, the counts read back from storage."""
+    bronze = {r["table_name"]: r for r in load_bronze(spark, landing, batch_ts).collect()}  # a row per table
+    loaded = {n: df.schema for n, df in landing.items() if bronze[n]["status"] == "LOADED"}
+    silver_errors = load_silver(spark, loaded, batch_ts)
+    gold_errors = load_gold(spark, batch_ts)
     publish(spark)
-    counts = []
-    for _, table, _, _ in SILVER_PLAN + [(None, "tb_chamado", None, None)]:
-        staging = spark.read.schema("flag_qualidade string").parquet(
-            sinks.table_path(spark, "_staging", f"{table}/batch={_tag(batch_ts)}"))
-        counts.append(staging.groupBy(F.lit(table).alias("table_name"))
-                             .agg(F.count_if(F.col("flag_qualidade") == "OK").alias("valid_rows"),
-                                  F.count_if(F.col("flag_qualidade") != "OK").alias("rejected_rows")))
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out.withColumn("batch", F.lit(batch_ts)).withColumn(STAMP_COL, F.to_timestamp(F.lit(batch_ts)))
+    names = [(n, t) for n, t, _, _ in SILVER_PLAN] + [("l_tickets", "tb_chamado")]
+    rows, counts = [], None
+    for name, table in names:
+        error = silver_errors.get(table) or (bronze[name]["error"] if name in bronze else "no landing table")
+        rows.append((table, "silver", "FAILED" if error else "LOADED", error))
+        if not error:
+            staging = spark.read.schema("flag_qualidade string").parquet(_staging(spark, table, batch_ts))
+            part = staging.groupBy(F.lit(table).alias("table_name")).agg(
+                F.count_if(F.col("flag_qualidade") == "OK").alias("valid_rows"),
+                F.count_if(F.col("flag_qualidade") != "OK").alias("rejected_rows"))
+            counts = part if counts is None else counts.unionByName(part)
+    rows += [(t, "gold", "FAILED" if t in gold_errors else "LOADED", gold_errors.get(t)) for t in GOLD_KEYS]
+    status = spark.createDataFrame(rows, "table_name string, layer string, status string, error string")
+    if counts is None:
+        counts = spark.createDataFrame([], "table_name string, valid_rows bigint, rejected_rows bigint")
+    return (status.join(counts, "table_name", "left").withColumn("batch", F.lit(batch_ts))
+            .withColumn(STAMP_COL, F.to_timestamp(F.lit(batch_ts))))

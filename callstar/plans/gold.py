@@ -178,6 +178,11 @@ def fact_cost(tickets: DataFrame, costs: DataFrame) -> DataFrame:
         F.to_date("dt_ingestion").alias("dt_referencia"))
 
 
+def fact_cost_source_key(tickets: DataFrame, costs: DataFrame) -> DataFrame:
+    """The cost fact under the source's own key, md5 of ticket id and 'CUSTO': the costs of one ticket share it."""
+    return fact_cost(tickets, costs).withColumn("pk_custo", F.md5(F.concat(F.col("cd_chamado").cast("string"), F.lit("CUSTO"))))
+
+
 def _served(tickets: DataFrame, surveys: DataFrame) -> DataFrame:
     """Tickets handled by a person (agent not NULL) with their survey score."""
     return (tickets.filter(F.col("cd_atendente").isNotNull())
@@ -200,8 +205,8 @@ def mean_2dp(total: str, n: str) -> Column:
     """sum/n rounded half-up to 2 places, in exact integer arithmetic
     (no binary-double rounding surprises), as DECIMAL(3,2)."""
     s, c = F.col(total).cast("bigint"), F.col(n).cast("bigint")
-    cents = F.when(c > 0, (s * 200 + c).cast("bigint") / (c * 2))
-    return (F.floor(cents).cast("decimal(20,0)") / 100).cast("decimal(3,2)")
+    cents = F.when(c > 0, F.call_function("div", s * 200 + c, c * 2))
+    return (cents.cast("decimal(20,0)") / 100).cast("decimal(3,2)")
 
 
 def fact_cost_agg(fact_cost_df: DataFrame) -> DataFrame:

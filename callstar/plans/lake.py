@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from callstar.plans import gold as G
 from callstar.plans import silver as S
+from callstar.sources import sinks
 from callstar.sources.ingest import DEFAULT_BATCH, stamp, stamp_from
 from callstar.sources.landing import landing, read_table
 
@@ -115,3 +116,22 @@ class Lake:
     @cached_property
     def fact_agent(self) -> DataFrame:
         return G.fact_agent(self.tickets.valid(), self.surveys.valid())
+
+
+class StoredLake:
+    """The star schema as the daily load stored it: the same frames as ``Lake``, read from the gold tables."""
+
+    TABLES = {"dim_agent": "dm_atendente", "dim_channel": "dm_canal", "dim_client": "dm_cliente", "dim_reason": "dm_motivo",
+              "dim_ticket": "dm_chamado", "fact_service": "ft_atendimento_geral", "fact_cost": "ft_custo_operacional",
+              "fact_agent": "ft_performance_agente"}
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in self.TABLES:
+            raise AttributeError(name)
+        df = sinks.read_current(self.spark, sinks.table_path(self.spark, "gold", self.TABLES[name]))
+        if df is None:
+            raise RuntimeError(f"{self.TABLES[name]} has not been loaded yet")
+        return df

@@ -39,7 +39,7 @@ def canon(x: str) -> str:
 
 
 def reason_fix(x: str) -> str:
-    return fold(x, R.REASON_FOLDS)
+    return fold(x, R.REASON_FOLDS + R.ENGLISH_REASON_FOLDS)
 
 
 def key60(x: str) -> str:

@@ -7,9 +7,10 @@ per-batch aggregated rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from callstar.functions import normalize as N
 from callstar.functions import rules as R
 from callstar.operators import quality as Q
 from callstar.plans import oracle as O
@@ -80,11 +81,11 @@ def reject_recurrence(lake: Lake) -> DataFrame:
 def time_to_fix(lake: Lake) -> DataFrame:
     """Per key: first rejected batch, first later batch where it is valid."""
     h = client_history(lake).flagged.select("cd_cliente", "dt_ingestion", Q.VERDICT)
-    first_bad = (h.filter(F.col(Q.VERDICT) != Q.OK).groupBy("cd_cliente")
-                  .agg(F.min("dt_ingestion").alias("first_rejected")))
-    fixed = (h.filter(F.col(Q.VERDICT) == Q.OK).join(first_bad, "cd_cliente")
-              .filter(F.col("dt_ingestion") > F.col("first_rejected"))
-              .groupBy("cd_cliente", "first_rejected").agg(F.min("dt_ingestion").alias("first_fixed")))
+    bad = F.when(F.col(Q.VERDICT) != Q.OK, F.col("dt_ingestion"))
+    good = F.when(F.col(Q.VERDICT) == Q.OK, F.col("dt_ingestion"))
+    g = h.groupBy("cd_cliente").agg(F.min(bad).alias("first_rejected"), F.collect_set(good).alias("valid_in"))  # one stamp per batch
+    fixed = g.withColumn("first_fixed", F.array_min(F.filter("valid_in", lambda t: t > F.col("first_rejected"))))
+    fixed = fixed.filter(F.col("first_fixed").isNotNull() & F.col("cd_cliente").isNotNull())
     return fixed.select("cd_cliente", F.to_date("first_rejected").alias("first_rejected"),
                         F.to_date("first_fixed").alias("first_fixed"),
                         F.datediff(F.col("first_fixed"), F.col("first_rejected")).alias("days_to_fix"))
@@ -101,25 +102,50 @@ def negative_duration_check(lake: Lake) -> DataFrame:
 
 def client_checks_ext(lake: Lake) -> DataFrame:
     f = lake.clients.flagged
-    return f.select("cd_cliente",
+    return f.select("cd_cliente", F.col("cd_cliente").isNotNull().alias("flag_id_valido"),
                     (F.col("nm_cliente").isNotNull() & (F.trim("nm_cliente") != "")).alias("flag_nome_valido"),
                     (F.col("nu_idade") >= 0).alias("flag_idade_valida"),
                     Q.VERDICT)
 
 
-def reconcile_layers(lake: Lake) -> DataFrame:
+#: Raw key of each table: what one silver row stands for.
+_RAW_KEYS = {"tb_atendente": "id_agent", "tb_canal": "channel_name", "tb_cliente": "id_client", "tb_chamado_log": "id_ticket",
+             "tb_custo_chamado": "id_cost", "tb_motivo": "id_reason", "tb_pesquisa": "id_survey", "tb_chamado": "id_ticket"}
+_NO_KEY = "<null>"
+
+
+def _raw_key(table: str) -> Column:
+    raw = _RAW_KEYS[table]
+    if table == "tb_canal":
+        key = N.canonical_channel(raw)
+    elif table == "tb_cliente":
+        key = F.col(raw).cast("string")
+    else:
+        key = N.to_number(raw, "bigint").cast("string")
+    return F.coalesce(key, F.lit(_NO_KEY))
+
+
+def reconcile(silver: list[S.Silver], bronze: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each layer per table. ``balanced``: silver, valid and rejected, has exactly one row
+    for each distinct raw key, counted in bronze on its own (NULL is one key)."""
     parts = []
-    for s in lake.all_silver():
-        bronze = (latest_batch(lake.bronze(_BRONZE[s.name])).agg(F.count(F.lit(1)).alias("bronze_rows"))
-                  .withColumn("table_name", F.lit(s.name)))
-        parts.append(s.counts().join(bronze, "table_name"))  # one row each side
-    u = _union(parts)
-    dropped = F.col("bronze_rows") - F.col("total_rows")
-    return u.select("table_name", "bronze_rows", "valid_rows", "rejected_rows", dropped.alias("duplicates_dropped"),
-                    (F.col("bronze_rows") == F.col("valid_rows") + F.col("rejected_rows") + dropped).alias("balanced"),
+    for s in silver:
+        counted = bronze[s.name].agg(F.count(F.lit(1)).alias("bronze_rows"), F.count_distinct(_raw_key(s.name)).alias("bronze_keys"))
+        parts.append(counted.select(F.lit(s.name).alias("table_name"), "bronze_rows", "bronze_keys",
+                                    *(F.lit(None).cast("bigint").alias(c) for c in ("valid_rows", "rejected_rows"))))
+        parts.append(s.counts().select("table_name", *(F.lit(None).cast("bigint").alias(c) for c in ("bronze_rows", "bronze_keys")),
+                                       "valid_rows", "rejected_rows"))
+    u = _union(parts).groupBy("table_name").agg(*(F.max(c).alias(c) for c in ("bronze_rows", "bronze_keys", "valid_rows", "rejected_rows")))
+    return u.select("table_name", "bronze_rows", "valid_rows", "rejected_rows",
+                    (F.col("bronze_rows") - F.col("bronze_keys")).alias("duplicates_dropped"),
+                    (F.col("bronze_keys") == F.col("valid_rows") + F.col("rejected_rows")).alias("balanced"),
                     (F.col("bronze_rows") > 0).alias("bronze_loaded"))
 
 
+def reconcile_layers(lake: Lake) -> DataFrame:
+    return reconcile(lake.all_silver(), {t: latest_batch(lake.bronze(b)) for t, b in _BRONZE.items()})
+
+
 def freshness_lag(lake: Lake) -> DataFrame:
     t = lake.times.valid()
     lag = F.unix_timestamp("dt_ingestion") - F.unix_timestamp("dh_fim")
@@ -139,6 +165,13 @@ _TICKET_LABELS = ["missing id", "missing client", "unknown reason", "unknown cha
 _HIST = O.flagged(O.client_base("bb_clients"), "cd_cliente, dt_ingestion", [], O.CLIENT_FLAGS)
 
 
+def _key_sql(table: str) -> str:
+    raw = _RAW_KEYS[table]
+    if table == "tb_canal":
+        return O.canon(raw)
+    return f"CAST({raw} AS VARCHAR)" if table == "tb_cliente" else f"CAST({O.num(raw, 'BIGINT')} AS VARCHAR)"
+
+
 def register_all(register) -> None:
     fs = [f for _, f, _ in _SILVER_SQL]
     register("quality_rate", "Q-11 IO-15", fs, _RATE_SQL)(quality_rate)
@@ -172,16 +205,17 @@ def register_all(register) -> None:
              "count(*) FILTER (WHERE tm_duracao < 0) AS n_negative_duration, "
              "count(*) FILTER (WHERE tm_espera IS NULL) AS n_missing_times FROM v_tickets")(negative_duration_check)
     register("client_checks_ext", "Q-17", ["f_clients"],
-             "SELECT cd_cliente, nm_cliente IS NOT NULL AND trim(nm_cliente) <> '' AS flag_nome_valido, "
+             "SELECT cd_cliente, cd_cliente IS NOT NULL AS flag_id_valido, nm_cliente IS NOT NULL AND trim(nm_cliente) <> '' AS flag_nome_valido, "
              "nu_idade >= 0 AS flag_idade_valida, flag_qualidade FROM f_clients")(client_checks_ext)
     recon = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {O.latest(b)} x) AS bronze_rows, "
+        f"(SELECT count(DISTINCT coalesce({_key_sql(t)}, '{_NO_KEY}')) FROM {O.latest(b)} x) AS bronze_keys, "
         f"count(*) FILTER (WHERE flag_qualidade = 'OK') AS valid_rows, "
         f"count(*) FILTER (WHERE flag_qualidade <> 'OK') AS rejected_rows, count(*) AS total_rows FROM {f}"
         for t, f, b in _SILVER_SQL)
     register("reconcile_layers", "Q-18 IO-15 A-3", fs + [b for _, _, b in _SILVER_SQL],
-             f"SELECT table_name, bronze_rows, valid_rows, rejected_rows, bronze_rows - total_rows AS duplicates_dropped, "
-             f"bronze_rows = valid_rows + rejected_rows + (bronze_rows - total_rows) AS balanced, "
+             f"SELECT table_name, bronze_rows, valid_rows, rejected_rows, bronze_rows - bronze_keys AS duplicates_dropped, "
+             f"bronze_keys = valid_rows + rejected_rows AS balanced, "
              f"bronze_rows > 0 AS bronze_loaded FROM ({recon}) r")(reconcile_layers)
     lag = "CAST(epoch(dt_ingestion) - epoch(dh_fim) AS BIGINT)"
     register("freshness_lag", "Q-19", ["v_times"],

@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callstar.functions import keys as K
 from callstar.functions import normalize as N
@@ -53,6 +54,13 @@ def _batch(bronze: DataFrame, batch) -> DataFrame:
     return bronze.filter(F.col(STAMP_COL) == F.lit(batch).cast("timestamp"))
 
 
+def _num(bronze: DataFrame, name: str, to: str) -> Column:
+    """A number: an integer column as it is (filters on it reach the scan), text without blanks, try-cast."""
+    if isinstance(bronze.schema[name].dataType, T.IntegralType):
+        return F.col(name).try_cast(to)
+    return N.to_number(name, to)
+
+
 def _stamp_cols(origin_default: str | None = None) -> list[Column]:
     origin = F.col(ORIGIN_COL)
     if origin_default is not None:
@@ -77,9 +85,9 @@ AGENT_COLS = ["cd_atendente", "nm_atendente", "nu_nivel", "dt_ingestion", "dc_or
 
 def silver_agent(bronze: DataFrame, batch=None) -> Silver:
     df = _batch(bronze, batch).select(
-        N.to_number("id_agent", "bigint").alias("cd_atendente"),
+        _num(bronze, "id_agent", "bigint").alias("cd_atendente"),
         F.trim("agent_name").alias("nm_atendente"),
-        N.to_number("support_level", "smallint").alias("nu_nivel"),
+        _num(bronze, "support_level", "smallint").alias("nu_nivel"),
         *_stamp_cols())
     rules = [
         Q.Rule("flag_id_valido", F.col("cd_atendente").isNotNull(), "missing id"),
@@ -119,7 +127,7 @@ def silver_client(bronze: DataFrame, batch=None, history: bool = False) -> Silve
         F.trim("client_name").alias("nm_cliente"),
         N.strip_email_alias("email").alias("ds_email"),
         F.trim("region").alias("nm_regiao"),
-        N.to_number("age", "smallint").alias("nu_idade"),
+        _num(bronze, "age", "smallint").alias("nu_idade"),
         *_stamp_cols())
     rules = [
         Q.Rule("flag_id_valido", F.col("cd_cliente").isNotNull(), "missing id"),
@@ -135,7 +143,7 @@ TIMES_COLS = ["cd_chamado", "cd_cliente", "dh_abertura", "dh_inicio", "dh_fim",
 
 def silver_ticket_times(bronze: DataFrame, batch=None) -> Silver:
     df = _batch(bronze, batch).select(
-        N.to_number("id_ticket", "bigint").alias("cd_chamado"),
+        _num(bronze, "id_ticket", "bigint").alias("cd_chamado"),
         K.pseudonym("id_client").alias("cd_cliente"),
         N.dirty_timestamp("opened_at").alias("dh_abertura"),
         N.dirty_timestamp("started_at").alias("dh_inicio"),
@@ -155,8 +163,8 @@ COST_COLS = ["cd_custo", "cd_chamado", "vl_custo", "dt_ingestion", "dc_origem"]
 
 def silver_cost(bronze: DataFrame, batch=None) -> Silver:
     df = _batch(bronze, batch).select(
-        N.to_number("id_cost", "bigint").alias("cd_custo"),
-        N.to_number("id_ticket", "bigint").alias("cd_chamado"),
+        _num(bronze, "id_cost", "bigint").alias("cd_custo"),
+        _num(bronze, "id_ticket", "bigint").alias("cd_chamado"),
         N.money("cost_text").alias("vl_custo"),
         *_stamp_cols(), "tie_1", "tie_2", "tie_3", "cost_text")
     rules = [
@@ -174,7 +182,7 @@ REASON_REJECT_TEXT = "motivo_rejeicao"
 def silver_reason(bronze: DataFrame, batch=None) -> Silver:
     name = N.repair_reason(F.trim("reason_name"))
     df = _batch(bronze, batch).select(
-        N.to_number("id_reason", "bigint").alias("cd_motivo"),
+        _num(bronze, "id_reason", "bigint").alias("cd_motivo"),
         name.alias("ds_motivo"),
         N.category(name).alias("ds_categoria"),
         N.criticality("criticality").alias("ds_criticidade"),
@@ -200,9 +208,9 @@ SURVEY_COLS = ["cd_pesquisa", "cd_chamado", "nu_nota", "dt_ingestion", "dc_orige
 
 def silver_survey(bronze: DataFrame, batch=None) -> Silver:
     df = _batch(bronze, batch).select(
-        N.to_number("id_survey", "bigint").alias("cd_pesquisa"),
-        N.to_number("id_ticket", "bigint").alias("cd_chamado"),
-        N.to_number("score", "smallint").alias("nu_nota"),
+        _num(bronze, "id_survey", "bigint").alias("cd_pesquisa"),
+        _num(bronze, "id_ticket", "bigint").alias("cd_chamado"),
+        _num(bronze, "score", "smallint").alias("nu_nota"),
         *_stamp_cols("pesquisa_satisfacao"))
     rules = [
         Q.Rule("flag_pk_valida", F.col("cd_pesquisa").isNotNull(), "missing id"),
@@ -212,12 +220,21 @@ def silver_survey(bronze: DataFrame, batch=None) -> Silver:
     return _finish("tb_pesquisa", df, "cd_pesquisa", [], rules, SURVEY_COLS)
 
 
+def with_durations(tickets: DataFrame, times: DataFrame) -> DataFrame:
+    """Tickets with waiting and handling time recomputed from ``times`` (unique per ticket)."""
+    tt = times.select("cd_chamado", "dh_abertura", "dh_inicio", "dh_fim")
+    return (tickets.drop("tm_espera", "tm_duracao").join(tt, "cd_chamado", "left")
+            .select(*[c for c in tickets.columns if c not in ("tm_espera", "tm_duracao")],
+                    N.seconds_between("dh_abertura", "dh_inicio").alias("tm_espera"),
+                    N.seconds_between("dh_inicio", "dh_fim").alias("tm_duracao")))
+
+
 TICKET_COLS = ["cd_chamado", "cd_cliente", "cd_motivo", "cd_canal", "st_resolvido", "tm_espera",
                "tm_duracao", "cd_atendente", "dt_ingestion", "dc_origem"]
 
 
 def silver_ticket(bronze: DataFrame, reasons: DataFrame, channels: DataFrame,
-                  times: DataFrame, batch=None, lookup_max_rows: int | None = None) -> Silver:
+                  times: DataFrame, batch=None, lookup_max_rows: int | None = None, selected: bool = False) -> Silver:
     """Tickets with reason/channel ids looked up by normalised text and
     durations from ticket times. ``reasons``/``channels``/``times`` are the
     *valid* silver tables (full tables, not only their latest batch).
@@ -228,8 +245,9 @@ def silver_ticket(bronze: DataFrame, reasons: DataFrame, channels: DataFrame,
     are already hash-partitioned on the ticket id. ``lookup_max_rows`` (for
     stored lookup tables) broadcasts a lookup only after proving it has at
     most that many rows; otherwise AQE decides from the measured size.
+    ``selected`` takes all given records instead of one batch of them.
     """
-    t = _batch(bronze, batch).withColumn("_id", N.to_number("id_ticket", "bigint"))
+    t = (bronze if selected else _batch(bronze, batch)).withColumn("_id", _num(bronze, "id_ticket", "bigint"))
     t = keep_latest(t, ["_id"], [STAMP_COL])
     t = lookup(t, reasons, N.text_key(N.repair_reason("reason")), N.text_key("ds_motivo"), ["cd_motivo"],
                max_rows=lookup_max_rows)
@@ -244,7 +262,7 @@ def silver_ticket(bronze: DataFrame, reasons: DataFrame, channels: DataFrame,
         N.yes_no("resolved").alias("st_resolvido"),
         N.seconds_between("dh_abertura", "dh_inicio").alias("tm_espera"),
         N.seconds_between("dh_inicio", "dh_fim").alias("tm_duracao"),
-        N.to_number("id_agent", "bigint").alias("cd_atendente"),
+        _num(bronze, "id_agent", "bigint").alias("cd_atendente"),
         *_stamp_cols("chamados"))
     rules = [
         Q.Rule("flag_pk_valida", F.col("cd_chamado").isNotNull(), "missing id"),

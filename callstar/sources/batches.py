@@ -6,7 +6,7 @@
 * ``as_of``: the table as it looked after batch ``t`` (latest row per key
   among batches <= t) — the data side of time travel.
 * ``batch_diff``: insert / update / delete rows between two batches by key,
-  one full outer join with a row hash instead of column-by-column compares.
+  one full outer join and null-safe compares.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callstar.functions.keys import row_hash
 from callstar.operators.dedup import keep_latest
 from callstar.sources.ingest import STAMP_COL
 
@@ -49,16 +48,17 @@ def batch_diff(old: DataFrame, new: DataFrame, keys: list[str], compare: list[st
     partitions for inner/left joins, not for full outer joins).
     """
     keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    o = old.filter(keyed).select(*keys, row_hash(*compare).alias("_h_old"),
+    o = old.filter(keyed).select(*keys, F.lit(True).alias("_old"),
                                  *[F.col(c).alias(f"_o_{c}") for c in compare])
-    n = new.filter(keyed).select(*keys, row_hash(*compare).alias("_h_new"),
+    n = new.filter(keyed).select(*keys, F.lit(True).alias("_new"),
                                  *[F.col(c).alias(f"_n_{c}") for c in compare])
     j = o.join(n, on=keys, how="full_outer")
-    change = (F.when(F.col("_h_old").isNull(), F.lit("INSERT"))
-               .when(F.col("_h_new").isNull(), F.lit("DELETE"))
-               .when(F.col("_h_old") != F.col("_h_new"), F.lit("UPDATE")))
+    same = reduce(lambda a, b: a & b, [F.col(f"_o_{c}").eqNullSafe(F.col(f"_n_{c}")) for c in compare], F.lit(True))
+    change = (F.when(F.col("_old").isNull(), F.lit("INSERT"))
+               .when(F.col("_new").isNull(), F.lit("DELETE"))
+               .when(~same, F.lit("UPDATE")))
     out = j.select(*keys, change.alias("change_type"),
-                   *[F.when(F.col("_h_new").isNull(), F.col(f"_o_{c}"))
+                   *[F.when(F.col("_new").isNull(), F.col(f"_o_{c}"))
                       .otherwise(F.col(f"_n_{c}")).alias(c) for c in compare])
     deleted = old.filter(~keyed).select(*keys, F.lit("DELETE").alias("change_type"), *compare)
     inserted = new.filter(~keyed).select(*keys, F.lit("INSERT").alias("change_type"), *compare)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+BATCH_COL = "batch_id"
+PART_COL = "part"
 STAMP_COL = "ingestion_timestamp"
 ORIGIN_COL = "origem"
 
@@ -54,11 +57,22 @@ def ingest_status(frames: dict[str, DataFrame], batch_ts: str = DEFAULT_BATCH) -
     return out
 
 
-def append_batch(df: DataFrame, path: str, batch_col: str = STAMP_COL) -> None:
-    """Append one stamped batch, partitioned by its batch day.
+def batch_id(batch_ts: str | datetime) -> str:
+    """Partition value of a batch: the digits of its whole stamp."""
+    return re.sub(r"[^0-9]", "", str(batch_ts))
 
-    Partitioning by the batch lets the latest-batch filter prune whole
-    directories instead of scanning history.
+
+def append_batch(df: DataFrame, path: str, batch_ts: str | datetime, part: int = 0) -> None:
+    """Write one stamped batch as its own partition ``batch_id=.../part=...``.
+
+    Loading the same batch again replaces it. Batches come from the daily
+    load (part 0) and from the stream (a part for each micro-batch), in one
+    layout; a batch filter prunes whole directories.
     """
-    (df.withColumn("batch_day", F.to_date(F.col(batch_col)))
-       .write.mode("append").partitionBy("batch_day").parquet(path))
+    df.write.mode("overwrite").parquet(f"{path}/{BATCH_COL}={batch_id(batch_ts)}/{PART_COL}={part}")
+
+
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All stored batches of a bronze table, with a declared schema (an empty table has no file to infer from)."""
+    fields = [*schema.fields, T.StructField(BATCH_COL, T.StringType()), T.StructField(PART_COL, T.IntegerType())]
+    return spark.read.schema(T.StructType(fields)).parquet(path)

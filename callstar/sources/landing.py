@@ -17,23 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
-_READS: dict[tuple[str, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The input table as a DataFrame, memoised per application and path.
-
-    Input tables are read-only, so the file listing and footer schema read
-    are done once per application instead of once per query. The DataFrame
-    stays lazy: every action still scans the files.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    df = _READS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _READS[key] = df
-    return df
+    """The input table as a DataFrame; each call lists the files anew."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _ts_text(col: str) -> str:

@@ -8,11 +8,12 @@ Two upsert layouts:
 * ``upsert_table`` for small tables (dimensions, per-agent facts): each
   upsert writes a full new ``_version``.
 
-Tables live as parquet directories under a warehouse root (by default a
-folder inside the shared ``spark.checkpoint.dir``). An upserted table is a
+Tables live as parquet directories under the root that the conf
+``callstar.warehouse`` names. An upserted table is a
 dataset partitioned by ``_version``; each upsert writes the next version and
 readers take the newest one through a scalar-subquery filter, which Spark
-turns into partition pruning. Writing a new version instead of overwriting
+turns into partition pruning. Durable tables never fall back to a scratch
+folder: the warehouse must be named. Writing a new version instead of overwriting
 in place avoids reading and writing the same files in one job, and a failed
 write leaves the previous version untouched.
 """
@@ -31,11 +32,14 @@ from callstar.session import checkpoint_root
 
 VERSION_COL = "_version"
 BUCKET_COL = "_bucket"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def warehouse_root(spark: SparkSession) -> str:
     root = spark.conf.get("callstar.warehouse", None)
-    return root or os.path.join(checkpoint_root(spark), "callstar-warehouse")
+    if not root:
+        raise RuntimeError("set callstar.warehouse to the folder that holds the stored tables")
+    return root
 
 
 def table_path(spark: SparkSession, layer: str, table: str) -> str:
@@ -82,9 +86,42 @@ def read_current(spark: SparkSession, path: str) -> DataFrame | None:
                      t=df).drop(VERSION_COL)
 
 
+def _staged(source: DataFrame, keys: list[str]) -> tuple[DataFrame, str]:
+    """``source`` computed once into the shared staging folder; two rows of one key are refused, as a MERGE does."""
+    spark = source.sparkSession
+    path = os.path.join(checkpoint_root(spark), "_staging", "source", uuid.uuid4().hex)
+    source.write.parquet(path)
+    back = spark.read.schema(source.schema).parquet(path)
+    keyed = back.dropna(subset=keys)
+    twice = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1).limit(1).collect()
+    if twice:
+        _delete(spark, path)
+        raise ValueError(f"the source holds a key twice: {twice[0].asDict()}")
+    return back, path
+
+
+def _layout(spark: SparkSession, path: str, layout: str | None, create: bool) -> None:
+    """Keep the layout (bucket count or width) beside a table and refuse another one later."""
+    if layout is None:
+        return
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_layout"))
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if create or not fs.exists(p):
+        out = fs.create(p, True)
+        out.writeUTF(layout)
+        out.close()
+        return
+    stream = fs.open(p)
+    stored = stream.readUTF()
+    stream.close()
+    if stored != layout:
+        raise ValueError(f"{path} is laid out as {stored}, not as {layout}")
+
+
 def upsert_table(source: DataFrame, path: str, keys: list[str]) -> DataFrame:
     """MERGE ``source`` into the table at ``path`` by writing a new version."""
     spark = source.sparkSession
+    source, staged = _staged(source, keys)
     current = read_current(spark, path)
     if current is None:
         version, merged = 1, source
@@ -93,11 +130,13 @@ def upsert_table(source: DataFrame, path: str, keys: list[str]) -> DataFrame:
         version, merged = int(last) + 1, upsert(current, source, keys)
     (merged.withColumn(VERSION_COL, F.lit(version))
            .write.mode("append").partitionBy(VERSION_COL).parquet(path))
+    _delete(spark, staged)
     return read_current(spark, path)
 
 
 def upsert_partitioned(source: DataFrame, path: str, keys: list[str], partition_col: str,
-                       partition_expr=None, key_determines_partition: bool = False) -> DataFrame:
+                       partition_expr=None, key_determines_partition: bool = False,
+                       layout: str | None = None) -> DataFrame:
     """MERGE ``source`` into a partitioned parquet table, rewriting only the
     partitions the batch touches.
 
@@ -110,16 +149,23 @@ def upsert_partitioned(source: DataFrame, path: str, keys: list[str], partition_
     a static partition filter on the target. The merged partitions are
     written to a staging copy in the shared folder (lineage cut) and then
     swapped in with a dynamic partition overwrite; a failure before the
-    swap leaves the table untouched, and a failure during it is repaired by
-    re-running the swap from the same staging copy.
+    swap leaves the table untouched. The batch can be loaded again at any
+    time: an upsert of the same rows gives the same table. The source is
+    computed once; two rows of one key raise; ``layout`` names the bucket rule
+    and is kept with the table.
     """
     spark = source.sparkSession
+    source, source_path = _staged(source, keys)
     src = source if partition_expr is None else source.withColumn(partition_col, partition_expr)
     if not _exists(spark, path) and src.limit(1).count() == 0:
+        _delete(spark, source_path)
         return None  # nothing to create yet
     if not _exists(spark, path):
-        src.write.mode("overwrite").partitionBy(partition_col).parquet(path)
+        _by_partition(src, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(path)
+        _layout(spark, path, layout, create=True)
+        _delete(spark, source_path)
         return spark.read.parquet(path)
+    _layout(spark, path, layout, create=False)
     target = spark.read.parquet(path)
     touched = src.select(partition_col).distinct()
     if not key_determines_partition:
@@ -129,6 +175,7 @@ def upsert_partitioned(source: DataFrame, path: str, keys: list[str], partition_
         touched = touched.unionByName(moved).distinct()
     values = [r[0] for r in touched.collect()]  # bounded by the number of partitions
     if not values:
+        _delete(spark, source_path)
         return target
     has_null = any(v is None for v in values)
     cond = F.col(partition_col).isin([v for v in values if v is not None])
@@ -136,20 +183,34 @@ def upsert_partitioned(source: DataFrame, path: str, keys: list[str], partition_
         cond = cond | F.col(partition_col).isNull()
     merged = upsert(target.filter(cond), src.select(*target.columns), keys)
     staging = os.path.join(checkpoint_root(spark), "_staging", "upsert", uuid.uuid4().hex)
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
-    staged = spark.read.parquet(staging)
-    (staged.select(*target.columns)
+    _by_partition(merged, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(staging)
+    staged = spark.read.schema(target.schema).parquet(staging)
+    (_by_partition(staged.select(*target.columns), partition_col)
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition_col).parquet(path))
     # a dynamic overwrite never removes a partition the merge emptied
-    present = {str(r[0]) for r in staged.select(partition_col).distinct().collect()}
+    present = {r[0] for r in staged.select(partition_col).distinct().collect()}
     for v in values:
-        if v is not None and str(v) not in present:
-            _delete(spark, os.path.join(path, f"{partition_col}={_path_value(v)}"))
-    _delete(spark, staging)  # swap done; the staging copy is no longer needed
+        if v not in present:
+            _delete(spark, os.path.join(path, f"{partition_col}={NULL_PARTITION if v is None else _path_value(v)}"))
+    _delete(spark, staging)  # swap done; the staging copies are no longer needed
+    _delete(spark, source_path)
     return spark.read.parquet(path)
 
 
+def _by_partition(df: DataFrame, partition_col: str) -> DataFrame:
+    """Rows of a partition together, so that a write opens few files; Spark splits large partitions."""
+    return df.hint("rebalance", partition_col)
+
+
+def in_buckets(spark: SparkSession, path: str, buckets: DataFrame) -> DataFrame | None:
+    """Stored rows of the partitions that ``buckets`` lists (one value per partition comes to the driver); None without a table."""
+    if not _exists(spark, path):
+        return None
+    values = [r[0] for r in buckets.distinct().collect()]
+    return spark.read.parquet(path).filter(F.col(BUCKET_COL).isin(values)).drop(BUCKET_COL)
+
+
 def vacuum_versions(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
     """Remove all but the newest ``keep`` versions of a versioned table."""
     if not _exists(spark, path):

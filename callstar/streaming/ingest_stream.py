@@ -6,63 +6,48 @@ incrementally: new landing files are picked up by a file stream, each
 micro-batch becomes one stamped bronze batch, and the stream checkpoint in
 the shared folder makes restarts resume where they stopped.
 
-Each micro-batch is written to its own ``stream_batch=<id>`` directory in
-overwrite mode, so a micro-batch replayed after a failure replaces its own
-output instead of appending a second copy (idempotent sink).
+Each micro-batch is one part of the stream's batch, in the layout of the daily
+load, and is written in overwrite mode: replayed after a failure, it replaces
+its own output (idempotent sink). Raw bronze keeps every record, late and
+re-sent ones too; silver keeps the latest record of a key.
 """
 
 from __future__ import annotations
 
-import os
+from datetime import datetime, timezone
+from os import path as paths
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from callstar.session import checkpoint_root
-from callstar.sources.ingest import ORIGIN_COL, STAMP_COL
+from callstar.sources.ingest import append_batch, stamp
 
 
-_WM_COL = "_event_ts"
-
-
-def _writer(bronze_path: str, origin: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        stamped = batch.drop(_WM_COL).select("*", F.current_timestamp().alias(STAMP_COL),
-                                             F.lit(origin).alias(ORIGIN_COL))
-        stamped.write.mode("overwrite").parquet(os.path.join(bronze_path, f"stream_batch={batch_id}"))
+def _writer(bronze_path: str, origin: str, batch_ts: str):
+    def write(batch: DataFrame, micro_batch: int) -> None:
+        append_batch(stamp(batch, batch_ts, origin), bronze_path, batch_ts, part=micro_batch + 1)
     return write
 
 
 def stream_to_bronze(spark: SparkSession, source_dir: str, schema: StructType, bronze_path: str,
-                     name: str, once: bool = True, max_files_per_trigger: int | None = None,
-                     dedup_keys: list[str] | None = None, event_time: str | None = None,
-                     watermark: str = "1 day") -> StreamingQuery:
+                     name: str, batch_ts: str | None = None, once: bool = True,
+                     max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the landing -> bronze stream for one table.
 
-    ``once=True`` processes everything available and stops (scheduled runs);
-    ``once=False`` keeps polling. The checkpoint lives under
-    ``spark.checkpoint.dir`` so any driver can resume the stream.
-
-    With ``dedup_keys`` and ``event_time``, records re-sent by the source
-    within ``watermark`` of each other are dropped
-    (``dropDuplicatesWithinWatermark``): the dedup state is keyed and
-    expires with the watermark, so it stays bounded however long the
-    stream runs.
+    ``batch_ts`` is the batch the records join (by default today's, at
+    midnight), so the daily load of that batch reads them. ``once=True``
+    processes everything available and stops (scheduled runs); ``once=False``
+    keeps polling. The checkpoint lives under ``spark.checkpoint.dir`` so any
+    driver can resume the stream.
     """
+    batch_ts = batch_ts or datetime.now(timezone.utc).strftime("%Y-%m-%d 00:00:00")
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.parquet(source_dir)
-    if dedup_keys:
-        if not event_time:
-            raise ValueError("dedup_keys needs an event_time column for the watermark")
-        # watermarks need a zoned TIMESTAMP; local (NTZ) event times are read as UTC
-        src = src.withColumn(_WM_COL, F.col(event_time).cast("timestamp"))
-        src = src.withWatermark(_WM_COL, watermark).dropDuplicatesWithinWatermark(dedup_keys)
-    ckpt = os.path.join(checkpoint_root(spark), "streams", f"bronze_{name}")
-    w = (src.writeStream.foreachBatch(_writer(bronze_path, f"landing.{name}"))
+    ckpt = paths.join(checkpoint_root(spark), "streams", f"bronze_{name}")
+    w = (reader.parquet(source_dir).writeStream.foreachBatch(_writer(bronze_path, f"landing.{name}", batch_ts))
             .option("checkpointLocation", ckpt).queryName(f"bronze_{name}"))
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime="1 minute")
     return w.start()
