@@ -283,9 +283,9 @@ def run(spark: SparkSession, landing: dict[str, DataFrame], batch_ts: str) -> Da
         rows.append((table, "silver", "FAILED" if error else "LOADED", error))
         if not error:
             staging = spark.read.schema("flag_qualidade string").parquet(_staging(spark, table, batch_ts))
-            part = staging.groupBy(F.lit(table).alias("table_name")).agg(
-                F.count_if(F.col("flag_qualidade") == "OK").alias("valid_rows"),
-                F.count_if(F.col("flag_qualidade") != "OK").alias("rejected_rows"))
+            part = staging.agg(F.count_if(F.col("flag_qualidade") == "OK").alias("valid_rows"),
+                               F.count_if(F.col("flag_qualidade") != "OK").alias("rejected_rows"))
+            part = part.select(F.lit(table).alias("table_name"), "valid_rows", "rejected_rows")
             counts = part if counts is None else counts.unionByName(part)
     rows += [(t, "gold", "FAILED" if t in gold_errors else "LOADED", gold_errors.get(t)) for t in GOLD_KEYS]
     status = spark.createDataFrame(rows, "table_name string, layer string, status string, error string")

@@ -1,8 +1,12 @@
 """Write path: bronze append, silver flagged-once + versioned upsert, gold, views."""
+import uuid
+
 from pyspark.sql import functions as F
 
-from callstar.plans import daily_load
-from callstar.plans.lake import Lake
+from callstar.plans import daily_load, kpi
+from callstar.plans import gold as G
+from callstar.plans import schemas
+from callstar.plans.lake import Lake, StoredLake
 from callstar.sources import sinks
 from callstar.sources.landing import LANDING
 
@@ -10,12 +14,18 @@ from callstar.sources.landing import LANDING
 def test_daily_load_twice_is_idempotent(spark, sf_small):
     lake = Lake(spark, sf_small)
     landing = {n: lake.landing(n) for n in LANDING}
-    first = {r["table_name"]: r["valid_rows"] for r in daily_load.run(spark, landing, "2024-03-01 02:00:00").collect()}
+    report = daily_load.run(spark, landing, "2024-03-01 02:00:00").collect()
+    assert {r["status"] for r in report} == {"LOADED"}
+    first = {r["table_name"]: r["valid_rows"] for r in report if r["layer"] == "silver"}
     expected = {s.name: s.valid().count() for s in lake.all_silver()}
     assert first == expected
 
-    # the same batch loaded again: bronze holds two copies, silver/gold unchanged
+    # the same batch loaded again replaces its partition: nothing is stored twice
+    def bronze_rows(name):
+        return daily_load.bronze_batch(spark, name, landing[name].schema, "2024-03-01 02:00:00").count()
+    before = bronze_rows("l_tickets")
     daily_load.run(spark, landing, "2024-03-01 02:00:00")
+    assert bronze_rows("l_tickets") == before == landing["l_tickets"].count()
     for table, n in expected.items():
         cur = sinks.read_current(spark, sinks.table_path(spark, "silver", table))
         assert cur.count() == n, table
@@ -33,11 +43,15 @@ def test_daily_load_twice_is_idempotent(spark, sf_small):
     audit = spark.read.parquet(sinks.table_path(spark, "silver", "tb_motivo_invalidos"))
     assert "motivo_rejeicao" in audit.columns
 
+    # KPIs over the stored star equal those over the raw files
+    stored = StoredLake(spark)
+    for name in ("cost_by_reason", "waste", "csat_by_wait", "overflow_by_age", "load_by_level", "resolution_by_agent"):
+        a, b = (sorted(map(str, getattr(kpi, name)(x).collect())) for x in (lake, stored))
+        assert a == b, name
+
 
 def test_two_batches_upsert_stored_silver(spark, sf_small):
     """Day 1 then day 2 of the client feed through the stored write path."""
-    import uuid
-
     from callstar.plans import silver as S
     from callstar.sources.ingest import stamp
     from callstar.operators.upsert import upsert
@@ -63,9 +77,6 @@ def test_two_batches_upsert_stored_silver(spark, sf_small):
     assert stored.select("cd_cliente").distinct().count() == stored.count()
 
     # incremental gold equals a full rebuild from the final silver tables
-    from callstar.plans import gold as G
-    from callstar.plans import schemas
-
     def silver(t):
         return sinks.read_current(spark, sinks.table_path(spark, "silver", t))
     full = schemas.enforce(G.fact_service(silver("tb_chamado"), silver("tb_chamado_log"),
@@ -77,11 +88,6 @@ def test_two_batches_upsert_stored_silver(spark, sf_small):
 
 
 def test_incremental_gold_with_partial_batch(spark, sf_small):
-    import uuid
-
-    from callstar.plans import gold as G
-    from callstar.plans import schemas
-
     spark.conf.set("callstar.warehouse", f"{spark.conf.get('spark.checkpoint.dir')}/wh-{uuid.uuid4().hex}")
     lake = Lake(spark, sf_small)
     landing = {n: lake.landing(n) for n in LANDING}
@@ -104,3 +110,69 @@ def test_incremental_gold_with_partial_batch(spark, sf_small):
         full = schemas.enforce(build(), schemas.GOLD[name])
         gold = sinks.read_current(spark, sinks.table_path(spark, "gold", name)).select(*full.columns)
         assert gold.exceptAll(full).count() == 0 and full.exceptAll(gold).count() == 0, name
+
+
+def _fresh(spark):
+    spark.conf.set("callstar.warehouse", f"{spark.conf.get('spark.checkpoint.dir')}/wh-{uuid.uuid4().hex}")
+
+
+def _silver(spark, t):
+    return sinks.read_current(spark, sinks.table_path(spark, "silver", t))
+
+
+def test_late_times_and_lookups_equal_a_rebuild(spark, sf_small):
+    """Half of the times, and two reasons, arrive a day after their tickets."""
+    _fresh(spark)
+    lake = Lake(spark, sf_small)
+    landing = {n: lake.landing(n) for n in LANDING}
+    parts = {"l_ticket_times": "id_ticket % 2 = 0", "l_reasons": "id_reason > 2"}
+    day1 = {n: df.filter(parts[n]) if n in parts else df for n, df in landing.items()}
+    none = {n: df.limit(0) for n, df in landing.items()}
+    day2 = {**none, **{n: landing[n].filter(f"not ({c})") for n, c in parts.items()}}
+    daily_load.run(spark, day1, "2024-03-01 02:00:00")
+    waiting = _silver(spark, "_pending_tickets").count()
+    before = _silver(spark, "tb_chamado").count()
+    report = daily_load.run(spark, day2, "2024-03-02 02:00:00").collect()
+    assert {r["status"] for r in report} == {"LOADED"}, [r for r in report if r["error"]]
+    assert waiting > _silver(spark, "_pending_tickets").count()
+    want = lake.tickets.valid()
+    assert before < _silver(spark, "tb_chamado").count() == want.count()
+    cols = ["cd_chamado", "cd_motivo", "cd_canal", "tm_espera", "tm_duracao"]
+    assert _silver(spark, "tb_chamado").select(*cols).exceptAll(want.select(*cols)).count() == 0
+    gold, whole = StoredLake(spark).fact_service, lake.fact_service
+    total = lambda df: df.agg(F.sum("val_tempo_espera"), F.sum("fl_experiencia_negativa"), F.sum("val_custo"), F.count("*")).first()
+    assert total(gold) == total(whole)
+    agents = ["cd_atendente", "qtd_chamados_atendidos", "val_tempo_trabalhado_seg", "val_nota_media"]
+    assert StoredLake(spark).fact_agent.select(*agents).exceptAll(lake.fact_agent.select(*agents)).count() == 0
+
+
+def test_failing_and_empty_tables_do_not_stop_the_others(spark, sf_small):
+    _fresh(spark)
+    lake = Lake(spark, sf_small)
+    landing = {n: lake.landing(n) for n in LANDING}
+    boom = F.raise_error(F.lit("bad source")).cast("string")
+    broken = landing["l_costs"].withColumn("amount", boom) if "amount" in landing["l_costs"].columns else landing["l_costs"].withColumn("x", boom)
+    report = daily_load.run(spark, {**landing, "l_costs": broken, "l_surveys": landing["l_surveys"].limit(0)}, "2024-03-01 02:00:00").collect()
+    silver = {r["table_name"]: r for r in report if r["layer"] == "silver"}
+    assert silver["tb_custo_chamado"]["status"] == "FAILED" and "bad source" in silver["tb_custo_chamado"]["error"]
+    assert {t: r["status"] for t, r in silver.items() if t != "tb_custo_chamado"} == {t: "LOADED" for t in silver if t != "tb_custo_chamado"}
+    assert silver["tb_pesquisa"]["valid_rows"] == 0 and silver["tb_chamado"]["valid_rows"] == lake.tickets.valid().count()
+    assert {r["table_name"] for r in report if r["layer"] == "gold" and r["status"] == "FAILED"} >= {"ft_custo_operacional"}
+    again = daily_load.run(spark, landing, "2024-03-02 02:00:00").collect()
+    assert {r["status"] for r in again} == {"LOADED"}
+    assert StoredLake(spark).fact_cost.count() == lake.fact_cost.count()
+
+
+def test_streamed_records_reach_the_daily_load(spark, sf_small, tmp_path):
+    from callstar.plans import silver as S
+    from callstar.streaming.ingest_stream import stream_to_bronze
+    _fresh(spark)
+    batch = "2024-03-05 02:00:00"
+    agents = Lake(spark, sf_small).landing("l_agents")
+    agents.write.parquet(str(tmp_path / "in"))
+    schema = spark.read.parquet(str(tmp_path / "in")).schema
+    stream_to_bronze(spark, str(tmp_path / "in"), schema, sinks.table_path(spark, "bronze", "l_agents"), f"agents_{uuid.uuid4().hex}", batch).awaitTermination()
+    bronze = daily_load.bronze_batch(spark, "l_agents", schema, batch)
+    assert bronze.count() == agents.count()
+    assert daily_load.load_silver(spark, {"l_agents": schema}, batch) == {}
+    assert _silver(spark, "tb_atendente").count() == S.silver_agent(bronze, batch=batch).valid().count()

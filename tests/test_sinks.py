@@ -2,6 +2,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from callstar.sources import sinks
@@ -60,3 +61,53 @@ def test_range_buckets_rewrite_only_newest(spark):
     for bucket in ("_bucket=0", "_bucket=1"):
         kept = [f for f in before if bucket + "/" in f]
         assert kept and all(after.get(f) == before[f] for f in kept)
+
+
+def test_a_null_partition_that_empties_is_removed(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="callstar-sink-"), "n")
+    sinks.upsert_partitioned(spark.createDataFrame([(1, "a", None), (2, "b", "x")], "k int, v string, d string"), path, ["k"], "d")
+    out = sinks.upsert_partitioned(spark.createDataFrame([(1, "A", "x")], "k int, v string, d string"), path, ["k"], "d")
+    assert sorted((r["k"], r["v"], r["d"]) for r in out.collect()) == [(1, "A", "x"), (2, "b", "x")]
+
+
+def test_a_source_with_one_key_twice_is_refused(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="callstar-sink-"), "u")
+    twice = spark.createDataFrame([(1, "a", "x"), (1, "b", "x")], "k int, v string, d string")
+    with pytest.raises(ValueError, match="twice"):
+        sinks.upsert_partitioned(twice, path, ["k"], "d")
+    with pytest.raises(ValueError, match="twice"):
+        sinks.upsert_table(twice, path, ["k"])
+    nulls = spark.createDataFrame([(None, "a", "x"), (None, "b", "x")], "k int, v string, d string")
+    assert sinks.upsert_partitioned(nulls, path, ["k"], "d").count() == 2
+
+
+def test_another_bucket_count_is_refused(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="callstar-sink-"), "l")
+    df = spark.range(0, 100).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+
+    def load(n):
+        return sinks.upsert_partitioned(df, path, ["k"], "_bucket", sinks.hash_bucket(["k"], n), key_determines_partition=True, layout=f"hash k {n}")
+
+    load(8)
+    with pytest.raises(ValueError, match="laid out"):
+        load(16)
+    assert load(8).count() == 100
+
+
+def test_a_table_grows_after_it_was_read(spark):
+    from callstar.sources.landing import read_table
+    root = tempfile.mkdtemp(prefix="callstar-landing-")
+    spark.range(5).write.parquet(os.path.join(root, "t.parquet"))
+    assert read_table(spark, root, "t").count() == 5
+    spark.range(7).write.mode("append").parquet(os.path.join(root, "t.parquet"))
+    assert read_table(spark, root, "t").count() == 12
+
+
+def test_durable_tables_need_a_named_warehouse(spark):
+    before = spark.conf.get("callstar.warehouse")
+    spark.conf.unset("callstar.warehouse")
+    try:
+        with pytest.raises(RuntimeError, match="callstar.warehouse"):
+            sinks.table_path(spark, "silver", "t")
+    finally:
+        spark.conf.set("callstar.warehouse", before)
