@@ -56,3 +56,13 @@ def test_fact_keys_unique_and_layers_reconcile(spark, sf_small):
         valid = s.valid()
         assert valid.select(key).distinct().count() == valid.count(), s.name
     assert lake.tickets.valid().filter(F.col("cd_chamado").isNull()).count() == 0
+
+
+def test_reconciliation_alarms_when_a_row_is_lost(spark, sf_small):
+    from callstar.plans.quality_kpi import reconcile
+    lake = Lake(spark, sf_small)
+    agents = lake.agents
+    bronze = {agents.name: lake.bronze("l_agents")}
+    assert reconcile([agents], bronze).first()["balanced"]
+    agents.flagged = agents.flagged.filter("cd_atendente != 1")
+    assert not reconcile([agents], bronze).first()["balanced"]

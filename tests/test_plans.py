@@ -26,3 +26,25 @@ def test_scan_prunes_columns(spark, sf_small):
     plan = lake.tickets.valid().select("cd_chamado")._jdf.queryExecution().executedPlan().toString()
     # the orders scan reads only the columns the ticket derivation uses
     assert "o_totalprice" not in plan and "o_orderpriority" not in plan
+
+
+def test_kpis_join_dimensions_after_aggregating(spark, sf_small):
+    """With broadcasts off, no exchange of fact rows on a dimension key: each such exchange carries an aggregate."""
+    import re
+
+    from callstar.plans import kpi
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lake = Lake(spark, sf_small)
+        for frame in (kpi.waste(lake), kpi.cost_by_reason(lake), kpi.wait_by_channel_type(lake), kpi.overflow_rate(lake), kpi.resolution_by_channel(lake)):
+            lines = _plan(frame).split("\n")
+            for i, line in enumerate(lines):
+                keys = re.search(r"Exchange hashpartitioning\((cd_motivo|cd_canal)#", line)
+                if keys and "vl_custo" not in "".join(lines[i:i + 2]):
+                    below = next(x for x in lines[i + 1:] if re.search("Aggregate|Join|Scan|WindowGroupLimit|Window", x))
+                    assert re.search("Aggregate|Window", below), (line, below)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
