@@ -50,10 +50,10 @@ def main() -> None:
         daily_load.load_bronze(spark, landing, batch)
         t["bronze"] = time.perf_counter() - t0
         t0 = time.perf_counter()
-        daily_load.load_silver(spark, batch)
+        daily_load.load_silver(spark, {n: df.schema for n, df in landing.items()}, batch)
         t["silver"] = time.perf_counter() - t0
         t0 = time.perf_counter()
-        daily_load.load_gold(spark)
+        daily_load.load_gold(spark, batch)
         t["gold"] = time.perf_counter() - t0
         t0 = time.perf_counter()
         daily_load.publish(spark)
