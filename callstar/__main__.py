@@ -1,6 +1,6 @@
 """Command line: ``python -m callstar <command>``.
 
-  load  SF_DIR BATCH_TS     run the daily load for the landing tables derived from SF_DIR
+  load  SF_DIR BATCH_TS WAREHOUSE   run the daily load for the landing tables derived from SF_DIR
   query NAME SF_DIR [N]     show N rows of a registered query
   list                      list registered queries with their operator ids
 """
@@ -25,6 +25,7 @@ def main(argv: list[str]) -> int:
         from callstar.plans import daily_load
         from callstar.plans.lake import Lake
         from callstar.sources.landing import LANDING
+        spark.conf.set("callstar.warehouse", argv[3])
         lake = Lake(spark, argv[1])
         daily_load.run(spark, {n: lake.landing(n) for n in LANDING}, argv[2]).show(truncate=False)
         daily_load.layer_status(spark).show(truncate=False)

@@ -46,7 +46,7 @@ def build_session(master: str | None = None, app: str = "callstar",
 
 
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256,
-                 shuffle_fraction: float = 0.25, max_shuffle_partitions: int = 100_000) -> dict:
+                 shuffle_fraction: float = 0.25, max_shuffle_partitions: int = 400_000) -> dict:
     """Partition sizing for a cluster run over ``input_bytes`` of parquet.
 
     * scans are split at ``target_partition_mb`` (fewer, larger read tasks);
