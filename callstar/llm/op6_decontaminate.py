@@ -1,32 +1,36 @@
 """Benchmark decontamination by edit distance.
 
-The CGK random walk maps a word sequence to a longer one: step j writes the
-current word and moves on to the next if a random bit of (j, word) says so. Two
-sequences of small edit distance stay in step after an edit with good odds, so
-their images have a small Hamming distance. Bit-sampling LSH keys a window by a
-few random steps of its walk; ``repetitions`` independent walks reach the target
-recall. Windows start at every ``STRIDE``-th word of a document and at every
-word of a benchmark item, and run over as many words as the walk takes, up to
-the item's length. Every candidate is verified exactly: the edit distance
-between the item and the best-fitting stretch of the document around it, by
-dynamic programming on characters (bit-parallel).
+A document holds an item if some stretch of it is within ``EDITS`` of the item's
+characters in edit distance. Candidates come from shared grams of characters:
+each gram that an item and a document share votes for the diagonal (place in the
+document less place in the item) that it lies on. A copy with edits keeps many
+grams on few neighbouring diagonals, chance scatters them over all. For each
+item the gram length and the votes asked for are chosen by a model of random
+substitutions, insertions and deletions, so that a copy with the full ``EDITS``
+of its characters edited is a candidate with chance ``RECALL``; an item too short
+for that takes the grams of the pigeonhole bound, which miss nothing.
+
+Every candidate is verified: first many at a time by bit-parallel columns on
+characters folded to a byte (which can only lower a distance), then the ones
+left exactly.
 
 The benchmark is a stated query set: it comes to the workers in blocks of at
 most ``BLOCK`` items, each against all documents.
 
-Defined cases: null or empty texts match nothing; an item of fewer words than a
-walk needs is keyed by its whole word sequence; words are lower-cased runs of
-letters and digits, so markup and white space do not count; repeated rows are
-reported once each; an item that occurs several times in a document is
-reported with its best place; very long texts are walked whole, in slices;
-empty tables give no hits.
+Defined cases: null or empty texts match nothing; an item too short for any edit
+is found as whole words; words are lower-cased runs of letters and digits, so
+markup and white space do not count; repeated rows are reported once each; an
+item that occurs several times in a document is reported with its best place; an
+item longer than ``PIECE`` is looked up by its pieces; very long texts are read
+whole, in slices; empty tables give no hits.
 """
 
 from __future__ import annotations
 
-import math
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -34,53 +38,60 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callstar.llm.common import PUNCTUATION, SLICE, blank_joined, mix, spans, utf8, word_hashes
+from callstar.llm.common import SLICE, spans, utf8
 
 #: Share of an item's characters that may be edited.
 EDITS = 0.2
-#: Steps of a walk, sampled steps of a key, words between windows.
-STEPS = 16
-SAMPLED = 8
-STRIDE = 4
-#: Chance that a copy with 5 % of its words edited is found.
-RECALL = 0.99
-WORD_EDITS = 0.05
+#: Chance that a copy with ``EDITS`` of its characters edited is a candidate.
+RECALL = 0.995
+#: Lengths of grams, longest first, and the least votes for which one is taken.
+GRAMS = (8, 6, 5, 4)
+VOTES = 6
+#: Trials of the model for one item length.
+TRIALS = 1000
+#: Diagonals of a bucket; votes count over two neighbouring buckets.
+BUCKET = 16
+#: Characters of an item that vote together.
+PIECE = 512
+#: Characters of the text that vote at once.
+SEGMENT = 1 << 15
+#: Candidates that are verified at once.
+BATCH = 4096
 #: Benchmark items that go to the workers at once.
 BLOCK = 20_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
-
-
-def repetitions(recall: float = RECALL, edits: float = WORD_EDITS, items_words: int = 16) -> int:
-    """Walks needed: a window of w words is free of edits with (1 - edits)**w, and an item holds several windows."""
-    words = STEPS / 2 + 1
-    windows = max(1, int((items_words - words) // STRIDE))
-    miss = (1 - (1 - edits) ** words) ** windows
-    return max(1, math.ceil(math.log(1 - recall) / math.log(max(miss, 1e-9))))
-
-
-def sampled_steps(rep: int) -> np.ndarray:
-    """The steps that make a key; the last one of a walk always does."""
-    order = np.argsort(mix(np.arange(1, STEPS, dtype=np.uint64) * _GOLD + np.uint64(rep + 1)))
-    return np.sort(np.append(order[:SAMPLED - 1], STEPS - 1))
-
-
-def walk_keys(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, rep: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the walks from ``starts``, and whether each stayed before its ``ends``."""
-    at = starts.copy()
-    key = np.full(len(at), rep + 1, np.uint64)
-    picked = set(sampled_steps(rep).tolist())
-    coins = mix(np.arange(rep * STEPS + 1, (rep + 1) * STEPS + 1, dtype=np.uint64) * _GOLD)
-    inside = at < ends
-    last = max(0, len(words) - 1)
-    for j in range(STEPS):
-        w = words[np.minimum(at, last)] if len(words) else np.zeros(len(at), np.uint64)
-        if j in picked:
-            key = (key ^ w) * _GOLD
-            key ^= key >> np.uint64(29)
-            inside &= at < ends
-        # a random bit of step and word
-        at += (((w ^ coins[j]) * _GOLD) >> np.uint64(63)).astype(np.int64)
-    return key, inside
+_BITS = 20
+
+
+def allowed(m: int) -> int:
+    """Edits that an item of m characters may have."""
+    return int(EDITS * m)
+
+
+def gram_plan(m: int) -> tuple[int, int]:
+    """Gram length and votes for m characters: the longest gram that leaves ``VOTES`` votes to all but 1 - ``RECALL`` of the copies."""
+    k = allowed(m)
+    rng = np.random.default_rng(m)
+    at = rng.random((TRIALS, m)).argsort(axis=1)[:, :k]  # edited places
+    kind = rng.integers(0, 3, at.shape)
+    edited, drift = np.zeros((TRIALS, m), np.int64), np.zeros((TRIALS, m), np.int64)
+    np.put_along_axis(edited, at, 1, axis=1)
+    np.put_along_axis(drift, at, kind - 1, axis=1)  # deletion, substitution, insertion
+    bucket = (drift.cumsum(axis=1) + rng.integers(0, BUCKET, (TRIALS, 1)) + 64 * BUCKET) // BUCKET
+    before = np.concatenate([np.zeros((TRIALS, 1), np.int64), edited.cumsum(axis=1)], axis=1)
+    for gram in GRAMS:
+        if gram >= m:
+            continue
+        whole = before[:, gram:] == before[:, :-gram]
+        where = bucket[:, :m - gram + 1]
+        first = where.min(axis=1, keepdims=True)
+        votes = np.zeros(TRIALS, np.int64)
+        for b in range(int((where - first).max()) + 1):
+            votes = np.maximum(votes, (whole & (where - first >= b) & (where - first <= b + 1)).sum(axis=1))
+        least = int(np.quantile(votes, 1 - RECALL, method="lower"))
+        if least >= VOTES:
+            return gram, least
+    return max(1, min(8, m // (k + 1))), 1  # one of k + 1 pieces is without edits
 
 
 def best_fit(item: str, text: str) -> tuple[int, int]:
@@ -110,73 +121,137 @@ def best_fit(item: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def pieces(m: int) -> list[tuple[int, int]]:
+    """Where the pieces of an item of m characters begin and end."""
+    n = -(-m // PIECE)
+    return [(m * i // n, m * (i + 1) // n) for i in range(n)]
+
+
+def make_plans(texts: list[str]) -> dict[int, tuple[int, int]]:
+    """``gram_plan`` for the lengths of all pieces of the items: at most ``PIECE`` of them."""
+    lengths = {len(" ".join(plain(t))) for t in texts}
+    return {n: gram_plan(n) for n in sorted({b - a for m in lengths for a, b in pieces(m)})}
+
+
+def grams_at(codes: np.ndarray, gram: int) -> np.ndarray:
+    """The grams that begin at each place; ``codes`` ends in 8 bytes of padding."""
+    every = np.ndarray((len(codes) - 8,), "<u8", codes.tobytes(), strides=(1,))
+    return every & np.uint64((1 << 8 * gram) - 1) if gram < 8 else every
+
+
+def slots(grams: np.ndarray) -> np.ndarray:
+    return ((grams * _GOLD) >> np.uint64(64 - _BITS)).view(np.int64)
+
+
 class Index:
-    """Walk keys of the windows of benchmark items."""
-
-    def __init__(self, ids: list, texts: list[str], reps: int):
-        self.ids, self.texts, self.reps = ids, [" ".join(plain(t)) for t in texts], reps
-        keys, owner, place = [], [], []
-        short = defaultdict(list)
-        for k, text in enumerate(self.texts):
-            words = word_hashes(np.frombuffer(text.encode(), np.uint8), PUNCTUATION)[2]
-            if not len(words):
+    """Grams of benchmark items."""
+
+    def __init__(self, ids: list, texts: list[str], plans: dict[int, tuple[int, int]]):
+        self.ids, self.texts = ids, [" ".join(plain(t)) for t in texts]
+        self.codes = [fold(points(t)) for t in self.texts]
+        self.owner, self.offset, self.need = [], [], []
+        found = defaultdict(list)
+        for k, codes in enumerate(self.codes):
+            for a, b in pieces(len(codes)):
+                gram, need = plans[b - a]
+                padded = np.concatenate([codes[a:b], np.zeros(8, np.uint8)])
+                grams = grams_at(padded, gram)[:b - a - gram + 1]
+                found[gram].append((grams, np.full(len(grams), len(self.owner)), np.arange(len(grams))))
+                self.owner.append(k)
+                self.offset.append(a)
+                self.need.append(need)
+        self.need = np.array(self.need, np.int64)
+        self.longest = PIECE + allowed(PIECE) + BUCKET  # of a copy of a piece
+        self.buckets = (SEGMENT + 2 * self.longest) // BUCKET + 4
+        self.tables = []
+        for gram, parts in found.items():
+            grams, piece, place = (np.concatenate(x) for x in zip(*parts))
+            slot = slots(grams)
+            order = np.argsort(slot, kind="stable")
+            starts = np.searchsorted(slot[order], np.arange((1 << _BITS) + 1)).astype(np.int32)
+            # a vote's bucket is (place in the segment + shift) // BUCKET
+            shift = piece * self.buckets * BUCKET + self.longest - place
+            self.tables.append((gram, starts[1:] > starts[:-1], starts, shift[order]))
+
+    def candidates(self, codes: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(item, first and last place where it would begin); ``codes`` ends in 8 bytes of padding."""
+        n, step = len(codes) - 8, SEGMENT
+        for lo in range(0, max(n, 1), step):
+            part = codes[lo:lo + step + self.longest + 8]  # a copy that crosses the border is whole in one segment
+            votes = []
+            for gram, used, starts, shift in self.tables:
+                slot = slots(grams_at(part, gram))
+                at = np.flatnonzero(used[slot])
+                slot = slot[at]
+                first = starts[slot].astype(np.int64)
+                count = starts[slot + 1] - first
+                which = np.arange(int(count.sum())) + np.repeat(first - (np.cumsum(count) - count), count)
+                votes.append((np.repeat(at, count) + shift[which]) // BUCKET)
+            if not votes:
+                return
+            cell, count = np.unique(np.concatenate(votes), return_counts=True)
+            both = count.copy()
+            both[:-1] += np.where(cell[1:] == cell[:-1] + 1, count[1:], 0)
+            cell = cell[both >= self.need[cell // self.buckets]]
+            if not len(cell):
                 continue
-            starts = np.arange(len(words))
-            found = 0
-            for rep in range(reps):
-                key, inside = walk_keys(words, starts, np.full(len(starts), len(words)), rep)
-                found += int(inside.sum())
-                keys.append(key[inside])
-                owner.append(np.full(int(inside.sum()), k))
-                place.append(starts[inside])
-            if len(words) < STEPS:  # its walks may leave it: key the whole sequence as well
-                short[len(words)].append((int(whole_keys(words, np.zeros(1, np.int64), len(words))[0]), k))
-        key = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-        order = np.argsort(key, kind="stable")
-        self.keys = key[order]
-        self.owner = np.concatenate(owner)[order] if keys else np.zeros(0, np.int64)
-        self.place = np.concatenate(place)[order] if keys else np.zeros(0, np.int64)
-        self.short = {n: dict_of_lists(pairs) for n, pairs in short.items()}
-        bits = 22
-        self.shift = np.uint64(64 - bits)
-        self.mask = np.zeros(1 << bits, bool)
-        self.mask[(self.keys >> self.shift).astype(np.int64)] = True
-
-    def candidates(self, words: np.ndarray, ends: np.ndarray) -> set[tuple[int, int]]:
-        """(item, word place where the item would begin) of windows; ``ends`` is, for each word, the end of its row."""
-        out = set()
-        starts = np.arange(0, len(words), STRIDE)
-        for rep in range(self.reps):
-            key, inside = walk_keys(words, starts, ends[starts], rep)
-            maybe = np.flatnonzero(inside & self.mask[(key >> self.shift).astype(np.int64)])
-            if not len(maybe):
-                continue
-            lo = np.searchsorted(self.keys, key[maybe])
-            hi = np.searchsorted(self.keys, key[maybe], side="right")
-            for s, a, b in zip(starts[maybe], lo, hi):
-                for x in range(a, b):
-                    out.add((int(self.owner[x]), int(s), int(s - self.place[x])))
-        for n, table in self.short.items():
-            starts_n = np.flatnonzero(np.arange(len(words)) + n <= ends) if len(words) else np.zeros(0, np.int64)
-            key = whole_keys(words, starts_n, n)
-            known = np.fromiter(table, np.uint64, len(table))
-            for s, h in zip(starts_n[np.isin(key, known)], key[np.isin(key, known)]):
-                out.update((k, int(s), int(s)) for k in table[int(h)])
-        return out
-
-
-def dict_of_lists(pairs: list[tuple[int, int]]) -> dict[int, list[int]]:
-    out = defaultdict(list)
-    for h, k in pairs:
-        out[h].append(k)
-    return dict(out)
-
-
-def whole_keys(words: np.ndarray, starts: np.ndarray, n: int) -> np.ndarray:
-    key = np.full(len(starts), n, np.uint64)
-    for j in range(n):
-        key = mix(key ^ words[starts + j])
-    return key
+            piece, bucket = cell // self.buckets, cell % self.buckets
+            new = np.flatnonzero(np.concatenate([[True], (np.diff(piece) != 0) | (np.diff(bucket) != 1)]))
+            last = np.concatenate([new[1:], [len(piece)]]) - 1
+            for p, a, b in zip(piece[new].tolist(), bucket[new].tolist(), bucket[last].tolist()):
+                base = lo - self.longest - self.offset[p]
+                yield self.owner[p], base + a * BUCKET, base + (b + 2) * BUCKET
+
+
+def points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
+
+
+def fold(chars: np.ndarray) -> np.ndarray:
+    """Characters as bytes; a few rare ones share a byte. 0 is none of them."""
+    return np.where(chars < 256, chars, chars % 251 + 1).astype(np.uint8)
+
+
+def least_distances(items: list[np.ndarray], stretches: list[np.ndarray]) -> np.ndarray:
+    """Least edit distance between each item and a part of its stretch: ``best_fit`` on folded characters, for many pairs."""
+    c, width = len(items), -(-max(map(len, items)) // 64)
+    known = {id(x): x for x in items}
+    number = {i: k for k, i in enumerate(known)}
+    masks = np.zeros((width, len(known) * 256), np.uint64)
+    for i, x in known.items():
+        at = np.arange(len(x))
+        np.bitwise_or.at(masks, (at // 64, number[i] * 256 + x.astype(np.int64)), np.uint64(1) << (at % 64).astype(np.uint64))
+    row = np.array([number[id(x)] for x in items]) * 256
+    m = np.array([len(x) for x in items])
+    top_word, top_bit, one = (m - 1) // 64, ((m - 1) % 64).astype(np.uint64), np.uint64(1)
+    text = np.zeros((max(map(len, stretches)), c), np.uint8)
+    for k, x in enumerate(stretches):
+        text[:len(x), k] = x
+    up, down = np.full((width, c), ~np.uint64(0)), np.zeros((width, c), np.uint64)
+    score = m.copy()
+    best, each = m.copy(), np.arange(c)
+    for codes in text:
+        eq = masks[:, row + codes]
+        added, carry = np.empty_like(up), np.zeros(c, np.uint64)
+        for w in range(width):
+            both = eq[w] & up[w]
+            total = both + up[w]
+            over = total < both
+            added[w] = total + carry
+            carry = (over | (added[w] < carry)).astype(np.uint64)
+        diagonal = (added ^ up) | eq | down
+        right_up = down | ~(diagonal | up)
+        right_down = up & diagonal
+        score += ((right_up[top_word, each] >> top_bit) & one).astype(np.int64)
+        score -= ((right_down[top_word, each] >> top_bit) & one).astype(np.int64)
+        for x in (right_up, right_down):
+            high = x[:-1] >> np.uint64(63)
+            x <<= one
+            x[1:] |= high
+        up = right_down | ~(eq | down | right_up)
+        down = right_up & (eq | down)
+        np.minimum(best, score, out=best)
+    return best
 
 
 def plain(text: str) -> list[str]:
@@ -184,43 +259,76 @@ def plain(text: str) -> list[str]:
     return "".join(c if c.isalnum() or ord(c) > 127 else " " for c in text).lower().split()
 
 
-def hits_in(buf: np.ndarray, found: set[tuple[int, int]], starts: np.ndarray, ends: np.ndarray, index: Index) -> list[tuple]:
-    """(item_id, distance, similarity, first word) of the items of one row that pass the exact check; word places are the row's own."""
-    best: dict[int, tuple] = {}
-    tried = set()
-    for k, first in sorted(found):
-        item = index.texts[k]
-        m = len(item)
-        words = item.count(" ") + 1
-        room = max(2, int(EDITS * words) + 1)
-        lo, hi = max(0, first - room), min(len(starts) - 1, first + words + room)
-        if (k, lo // 4) in tried:
-            continue
-        tried.add((k, lo // 4))
-        stretch = " ".join(plain(buf[starts[lo]:ends[hi]].tobytes().decode("utf-8", "replace")))
-        distance, _ = best_fit(item, stretch)
-        if distance <= EDITS * m and (k not in best or distance < best[k][0]):
-            best[k] = (distance, lo)
-    return [(index.ids[k], d, 1 - d / len(index.texts[k]), w) for k, (d, w) in sorted(best.items())]
+_GAPS = np.array([c for c in range(0x3001) if c < 128 and not chr(c).isalnum() or chr(c).isspace()], np.uint32)
+_GAP = np.zeros(0x3002, bool)
+_GAP[_GAPS] = True
+
+
+def plain_rows(offsets: np.ndarray, data: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+    """``" ".join(plain(text))`` of rows, each with a blank after it, as characters, and where each row ends in them."""
+    parts = [points(data[offsets[r]:offsets[r + 1]].tobytes().decode("utf-8", "replace").lower()) for r in range(lo, hi)]
+    blank = np.full(1, 32, np.uint32)
+    chars = np.concatenate([x for p in parts for x in (p, blank)])
+    ends = np.cumsum([len(p) + 1 for p in parts])
+    starts = np.concatenate([[0], ends[:-1]])
+    gap = _GAP[np.minimum(chars, 0x3001)]
+    keep = ~gap
+    keep[1:] |= ~gap[:-1]  # the first gap after a word
+    keep[ends - 1] = True
+    return np.where(gap, np.uint32(32), chars)[keep], np.cumsum(np.add.reduceat(keep, starts, dtype=np.int64))
+
+
+def exact(index: Index, k: int, stretch: str) -> tuple[int, int]:
+    """Distance between an item and its best place in the stretch, and where that begins."""
+    item = index.texts[k]
+    distance, end = best_fit(item, stretch)
+    return distance, end - best_fit(item[::-1], stretch[:end][::-1])[1]
 
 
 def scan(offsets: np.ndarray, data: np.ndarray, index: Index) -> Iterator[tuple[int, list[tuple]]]:
-    """Rows with hits."""
-    for lo, hi in spans(offsets, SLICE):
+    """Rows with hits: (item_id, distance, similarity, first word)."""
+    for lo, hi in spans(offsets, 8 * SLICE):
         if offsets[hi] == offsets[lo]:
             continue
-        buf, row_ends = blank_joined(offsets, data, lo, hi)
-        begin, end, words = word_hashes(buf, PUNCTUATION)
-        if not len(words):
-            continue
-        cut = np.searchsorted(begin, row_ends)  # words before the end of each row
-        row = np.searchsorted(row_ends, begin, side="right")
-        found = defaultdict(set)
-        for k, s, first in index.candidates(words, cut[row]):
-            found[int(row[s])].add((k, s, first))
-        for r, places in found.items():
-            w0 = int(cut[r - 1]) if r else 0
-            yield lo + r, hits_in(buf, {(k, f - w0) for k, _, f in places}, begin[w0:cut[r]], end[w0:cut[r]], index)
+        chars, row_ends = plain_rows(offsets, data, lo, hi)
+        codes = np.concatenate([fold(chars), np.zeros(8, np.uint8)])
+        todo = set()
+        for k, first, last in index.candidates(codes):
+            m = len(index.codes[k])
+            room = allowed(m)
+            a, b = max(0, first - room), min(len(chars), last + m + room)
+            for r in range(int(np.searchsorted(row_ends, a, side="right")), int(np.searchsorted(row_ends, max(a, b - 1), side="right")) + 1):
+                if r < len(row_ends):
+                    c, d = max(a, int(row_ends[r - 1]) if r else 0), min(b, int(row_ends[r]) - 1)
+                    if d - c >= m - room:
+                        todo.add((1 << (m // 64).bit_length(), d - c, k, r, c, d))
+        best: dict[int, dict[int, tuple]] = defaultdict(dict)
+        for some in batches_of(sorted(todo)):
+            near = least_distances([index.codes[t[2]] for t in some], [codes[t[4]:t[5]] for t in some])
+            for (_, _, k, r, c, d), distance in zip(some, near.tolist()):
+                most, begin = allowed(len(index.codes[k])), int(row_ends[r - 1]) if r else 0
+                if distance > most:
+                    continue
+                found, start = exact(index, k, chars[c:d].tobytes().decode("utf-32-le", "replace"))
+                if found > most or not most and not whole_words(index.texts[k], chars[begin:row_ends[r]]):
+                    continue
+                word = int((chars[begin:c + start + 1] == 32).sum())
+                if k not in best[r] or (found, word) < best[r][k]:
+                    best[r][k] = (found, word)
+        for r in sorted(best):
+            if best[r]:
+                yield lo + r, [(index.ids[k], d, 1 - d / len(index.texts[k]), w) for k, (d, w) in sorted(best[r].items())]
+
+
+def batches_of(tasks: list[tuple]) -> Iterator[list[tuple]]:
+    """Runs of tasks of one width, of at most ``BATCH``; sorted by the length of the stretch."""
+    for _, same in groupby(tasks, itemgetter(0)):
+        same = list(same)
+        yield from (same[i:i + BATCH] for i in range(0, len(same), BATCH))
+
+
+def whole_words(item: str, chars: np.ndarray) -> bool:
+    return f" {item} " in " " + chars.tobytes().decode("utf-32-le", "replace")
 
 
 def blocks(benchmark: DataFrame, size: int = BLOCK) -> Iterator[tuple[list, list[str]]]:
@@ -239,12 +347,11 @@ def blocks(benchmark: DataFrame, size: int = BLOCK) -> Iterator[tuple[list, list
 
 def finder(documents: DataFrame, ids: list, texts: list[str]):
     """A column function: text to an array of (item_id, distance, similarity)."""
-    reps = repetitions()
-    shared = documents.sparkSession.sparkContext.broadcast((ids, texts))
+    shared = documents.sparkSession.sparkContext.broadcast((ids, texts, make_plans(texts)))
 
     @F.pandas_udf("array<struct<item_id:long,distance:int,similarity:double,word:int>>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = Index(*shared.value, reps)
+        index = Index(*shared.value)
         for column in batches:
             offsets, data = utf8(pa.array(column, pa.large_string(), from_pandas=True))
             out = [[] for _ in range(len(column))]

@@ -163,6 +163,53 @@ def test_planted_items_are_found(spark, tmp_path):
     assert op6_decontaminate.contaminated(frame, bench.limit(0)).count() == 0 and op6_decontaminate.contaminated(frame.limit(0), bench).count() == 0
 
 
+def edited(rng, text, n):
+    """n random substitutions, insertions and deletions of characters."""
+    out = list(text)
+    for _ in range(n):
+        i, c = rng.randrange(len(out)), rng.choice("abcdefghij ")
+        out[i:i + 1] = rng.choice(([c], [c, out[i]], []))
+    return "".join(out)
+
+
+def test_character_edits_are_found(spark, tmp_path):
+    """Recall against brute force, with 5, 10 and 20 % of the characters edited, spread over all words."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    items = [(i, " ".join(word() for _ in range((16, 27, 38, 59, 120)[i % 5]))) for i in range(40)]
+    items += [(40, "short one here"), (41, "abc"), (42, "\u00c0 la carte \u4f60\u597d \u00e9t\u00e9")]
+    docs, truth = [], {}
+    for share in (0.05, 0.1, 0.2):
+        for k, item in items:
+            filler = [word() for _ in range(100)]
+            copy = edited(rng, item, int(share * len(item)))
+            text = " ".join(filler[:40] + [copy.upper() if k % 2 else copy.replace(" ", " ;\u00a0")] + filler[40:])
+            plain = " ".join(op6_decontaminate.plain(text))
+            distance = op6_decontaminate.best_fit(" ".join(op6_decontaminate.plain(item)), plain)[0]
+            if distance <= 0.2 * len(item):
+                truth[len(docs), k] = (share, distance)
+            docs.append((len(docs), text))
+    docs.append((900, "xabcx " * 9))  # no whole word
+    path = str(tmp_path / "d.parquet")
+    spark.createDataFrame(docs, "doc_id long, text string").repartition(3).write.parquet(path)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in op6_decontaminate.contaminated(spark.read.parquet(path), bench).collect()}
+    for share in (0.05, 0.1, 0.2):
+        want = {x for x, (s, _) in truth.items() if s == share}
+        assert len(want) >= 40 and len(want - set(got)) <= 1, share
+    assert not set(got) - set(truth) and all(got[x]["distance"] == truth[x][1] for x in got)
+    assert all(abs(got[x]["first_word"] - 40) <= 3 for x in got)
+
+
+def test_batched_distances():
+    rng = random.Random(7)
+    text = lambda n: "".join(rng.choice("abc") for _ in range(n))
+    pairs = [(text(rng.randint(1, 200)), text(rng.randint(1, 300))) for _ in range(100)]
+    codes = [tuple(op6_decontaminate.fold(op6_decontaminate.points(x)) for x in p) for p in pairs]
+    got = op6_decontaminate.least_distances([a for a, _ in codes], [b for _, b in codes])
+    assert got.tolist() == [op6_decontaminate.best_fit(*p)[0] for p in pairs]
+
+
 def test_benchmark_blocks(spark, monkeypatch):
     bench = spark.createDataFrame([(i, f"text {i}") for i in range(7)], "item_id long, text string")
     sizes = [len(ids) for ids, _ in op6_decontaminate.blocks(bench, 3)]
