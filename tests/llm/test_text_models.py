@@ -106,6 +106,26 @@ def test_toxicity_held_out(spark):
     assert ((got["score"] >= 0.5) == (got["predicted"] == 1)).all() and got["score"].between(0, 1).all()
 
 
+def test_toxicity_counts_every_fold(spark, tmp_path):
+    rng = random.Random(8)
+    fold = lambda i: crc(i) % 5
+    rows, labels = [], []
+    for i in range(1500):
+        toxic = fold(i) and i % 3 == 0
+        bad = ["foe", "foe only"][fold(i) == 4]  # a word that is toxic in fold 4 and in no other learnable fold
+        rows.append((i, " ".join([f"w{rng.randint(0, 40)}" for _ in range(12)] + [bad] * toxic)))
+        labels.append((i, int(bool(toxic))))
+    probes = [(i, f"w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11 {'only' if i % 2 else 'w12'}") for i in range(2000, 2040)]
+    path = str(tmp_path / "d.parquet")
+    spark.createDataFrame(rows + probes, "doc_id long, text string").repartition(3).write.parquet(path)
+    docs, marks = spark.read.parquet(path), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = op4_toxicity.train(docs, marks)
+    word = word_hashes(np.frombuffer(b"only", np.uint8))[2]
+    assert op4_toxicity.word_ids(word, model.vocabulary)[0] > 0 and model.difference(word)[0] > 0
+    score = {r["doc_id"]: r["score"] for r in op4_toxicity.score(docs, marks).collect()}
+    assert min(score[i] for i, _ in probes if i % 2) > max(score[i] for i, _ in probes if not i % 2)
+
+
 def test_toxicity_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(1, 1), (2, 0), (8, 1), (8, 0), (3, None), (None, 1), (777, 1)], "doc_id long, toxic int")
     assert len(op4_toxicity.score(odd, labels).collect()) == len(ODD)
