@@ -3,7 +3,7 @@
 For each host a bounded sample of its pages is aligned by simple tree matching
 into one template. A text that fills the same node in (nearly) all sampled
 pages is template; nodes whose texts differ are slots. The content region is
-the smallest container that holds most of the slot text outside menus, headers,
+the smallest container that holds all of the slot text outside menus, headers,
 footers, sidebars, notices, adverts, forms and comments. Every page of the host
 is then aligned with the template: what the region's nodes hold, without
 template texts and without parts of those roles, is the main text.
@@ -42,8 +42,6 @@ SAMPLE = 8
 #: Share (and number) of sampled pages in which a text makes it template.
 CONSTANT_SHARE = 0.8
 CONSTANT_PAGES = 4
-#: Share of the slot text that the content region holds.
-REGION = 0.6
 #: Hosts up to which the templates (a few kB each) are broadcast; beyond, they are joined by a shuffle.
 BROADCAST_HOSTS = 5_000
 BROADCAST_ROWS = 1 << 20
@@ -229,10 +227,10 @@ def is_constant(n: int, pages: int) -> bool:
 
 
 def region(root: Shape) -> list[str]:
-    """Keys from the root down to the content region."""
+    """Keys from the root down to the smallest container of all slot text (or an article or main that is it)."""
     total, node, path = slot_mass(root, root.pages), root, [root.key]
     while node.tag not in ("article", "main"):
-        inner = [k for k in node.kids if k.tag not in LEAVES and not k.role and slot_mass(k, root.pages) >= REGION * total]
+        inner = [k for k in node.kids if k.tag not in LEAVES and not k.role and slot_mass(k, root.pages) > total - 0.5]  # less than a character outside
         if not total or not inner:
             break
         node = inner[0]

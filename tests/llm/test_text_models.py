@@ -53,6 +53,23 @@ def test_main_text(spark, tmp_path):
     assert op1_wrapper.main_texts(spark.read.parquet(path).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("body", [
+    "<div class=post><h1>{t}</h1><div class=entry><p>{a}</p><p>{b}</p></div></div>",  # the title beside the box of the text
+    "<div class=intro><h1>{t}</h1><p>{a}</p></div><div class=body><p>{b}</p><p>{b} too</p></div>",  # a first section of a third
+])
+def test_text_in_sister_containers(body):
+    rng = random.Random(9)
+    words = lambda n: " ".join(f"w{rng.randint(0, 999)}" for _ in range(n))
+    values = [{"t": words(4), "a": words(40), "b": words(60)} for _ in range(8)]
+    pages = ["<body><nav>n</nav><div class=page>" + body.format(**v) + "<p>the same line on each page</p></div><footer>f</footer></body>" for v in values]
+    tree, path = op1_wrapper.json.loads(op1_wrapper.induce(pages))
+    for v, page in zip(values, pages):
+        want = "\n\n".join([v["t"], v["a"], v["b"]] + [f"{v['b']} too"] * ("intro" in body))
+        assert op1_wrapper.extract(page, (op1_wrapper.restore(tree), path)) == want
+        alone = op1_wrapper.extract(page, None)  # a page without template keeps them as well
+        assert alone.startswith(want)
+
+
 def test_tree_match():
     a, b = (op1_wrapper.shape([op1_wrapper.parse(h)]) for h in ("<div><p>x</p><ul></ul><h2>y</h2></div>", "<div><p>z</p><h2>w</h2></div>"))
     assert op1_wrapper.tree_match(a, b)[0] == 4  # html, div, p, h2
