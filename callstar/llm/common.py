@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,13 +33,36 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of file names up to which the list of files is broadcast (about 200,000 files).
+FILE_LIST_BYTES = 32 << 20
+#: Bits of a row id that hold the row's place in its file.
+ROW_BITS = 36
+
+
 def with_row_id(df: DataFrame, name: str) -> DataFrame:
-    """A row number that is unique and the same in every evaluation of a file scan.
+    """A unique row number that is data: the file's rank by name, and the row's place in the file.
 
-    Use it on frames read from files (or on staged ones): there it depends
-    only on the file split and the row's place in it.
+    It does not depend on how Spark splits the scan, so every job and every
+    retry sees the same numbers, whatever the cluster's size at that moment.
+    A frame that is not a Parquet scan, or one of more files than
+    ``FILE_LIST_BYTES`` allows, is written once with its numbers and read back.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    place = fresh(df, name + "_file")
+    try:
+        files = df.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index")).select("file").distinct()
+        few = files.agg(F.coalesce(F.sum(F.length("file")), F.lit(0))).first()[0] <= FILE_LIST_BYTES
+    except AnalysisException:
+        few = False
+    if not few:
+        return stage(df.withColumn(name, F.monotonically_increasing_id()), "rows")
+    ranks = [(path, k) for k, path in enumerate(sorted(r[0] for r in files.collect()))]
+    ranks = df.sparkSession.createDataFrame(ranks, f"{place} string, {name} long")
+    row = fresh(df, name + "_row")
+    rows = df.select("*", F.col("_metadata.file_path").alias(place), F.col("_metadata.row_index").alias(row))
+    if name in df.columns:
+        rows = rows.drop(name)
+    rows = rows.join(F.broadcast(ranks), place)
+    return rows.withColumn(name, F.shiftleft(F.col(name), ROW_BITS) + F.col(row)).drop(place, row)
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -84,20 +108,22 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 PUNCTUATION = np.array([b < 128 and not (48 <= b < 58 or 65 <= b < 91 or 97 <= b < 123) for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_powers: dict[str, np.ndarray] = {}
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+BASE = 0xD6E8FEB86659FD93
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers.get("up", ())) < n:
-        base = 0xD6E8FEB86659FD93
-        for key, r in (("up", base), ("down", pow(base, -1, 1 << 64))):
+def _power(n: int, base: int = BASE) -> tuple[np.ndarray, np.ndarray]:
+    if base not in _powers or len(_powers[base][0]) < n:
+        both = []
+        for r in (base, pow(base, -1, 1 << 64)):
             steps = np.full(max(n, SLICE + 4096), r, np.uint64)
             steps[0] = 1
-            _powers[key] = np.cumprod(steps, dtype=np.uint64)
-    return _powers["up"], _powers["down"]
+            both.append(np.cumprod(steps, dtype=np.uint64))
+        _powers[base] = tuple(both)
+    return _powers[base]
 
 
-def word_hashes(data: np.ndarray, gap: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, gap: np.ndarray = _SPACE, base: int = BASE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and 64-bit hash of each word of a byte run.
 
     Words are maximal runs of bytes other than blank, tab, newline, vertical
@@ -118,7 +144,7 @@ def word_hashes(data: np.ndarray, gap: np.ndarray = _SPACE) -> tuple[np.ndarray,
         inside[1:-1] = ~gap[low]
         edge = np.diff(inside)
         start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        up, down = _power(len(low) + 1)
+        up, down = _power(len(low) + 1, base)
         total = np.zeros(len(low) + 1, np.uint64)
         np.cumsum(_BYTE[low] * up[:len(low)], out=total[1:])
         h = mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))

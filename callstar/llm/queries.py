@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from callstar.llm import op1_wrapper, op2_exact, op3_pack, op4_toxicity, op5_langid, op6_decontaminate, op7_rotate, op8_hilbert, op9_pii, op10_jaccard
+from callstar.llm import (op1_wrapper, op2_exact, op3_pack, op4_toxicity, op5_langid, op6_decontaminate, op7_rotate, op8_hilbert, op9_pii,
+                          op10_jaccard, op11_warc, op12_collocations, op13_merkle)
 from callstar.llm.common import table
 
 
@@ -48,7 +49,20 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_jaccard.jaccard_groups(table(spark, sf_dir, "documents")).drop("uid", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_main_text, op2_exact_dedup, op3_packing, op4_toxicity_scores, op5_language_id, op6_decontamination, op7_perspectives, op8_hilbert_shards, op9_weak_pii, op10_ngram_jaccard)}
+def op11_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_merkle.manifest(table(spark, sf_dir, "documents")).drop("position", "witness")
+
+
+QUERIES = {f.__name__: f for f in (op1_main_text, op2_exact_dedup, op3_packing, op4_toxicity_scores, op5_language_id, op6_decontamination, op7_perspectives, op8_hilbert_shards, op9_weak_pii, op10_ngram_jaccard,
+                                   op11_warc_salvage, op12_phrase_collocations, op13_merkle_manifest)}
 
 #: Exact duplicates need no fingerprint in SQL: grouping by the text is the definition.
 EXACT_SQL = """
@@ -58,4 +72,5 @@ f AS (SELECT doc_id, text, max(doc_id) OVER (PARTITION BY text) AS keep_id, coun
 SELECT doc_id, keep_id, group_size, r = 1 AS kept, sha256(text) AS text_sha256 FROM f
 """
 
-ORACLES = {"op2_exact_dedup": EXACT_SQL, "op7_perspectives": op7_rotate.ORACLE}
+ORACLES = {"op2_exact_dedup": EXACT_SQL, "op7_perspectives": op7_rotate.ORACLE, "op11_warc_salvage": op11_warc.ORACLE,
+           "op12_phrase_collocations": op12_collocations.ORACLE, "op13_merkle_manifest": op13_merkle.ORACLE}
