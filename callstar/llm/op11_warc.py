@@ -49,6 +49,7 @@ ARCHIVE_BYTES = 64 << 20
 #: Bytes that the reader gets from gzip at once.
 STEP = 1 << 20
 VERSION = b"WARC/1.1"
+VERSION_LINES = (b"WARC/1.0\r\n", b"WARC/1.1\r\n")
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 EMPTY_MEMBER = zlib.compress(b"", 9, 31)
@@ -159,7 +160,7 @@ def member(data: memoryview, at: int) -> tuple[bytes, int]:
 
 def parse(data: bytes | memoryview, at: int) -> tuple[dict, int]:
     """The record whose version line is at ``at``, and its end."""
-    if bytes(data[at:at + 7]) != b"WARC/1.":
+    if bytes(data[at:at + 10]) not in VERSION_LINES:
         raise Damaged("no version line")
     stop, size = -1, 4096
     while stop < 0:  # headers are short; look further only if they are not

@@ -105,25 +105,41 @@ def _occurrences(base: int):
                 yield from counted(h, start, end, buf, own[here], known)
 
     def counted(h, start, end, buf, lang, known) -> Iterator[pa.RecordBatch]:
+        if not len(h):
+            return
+        low = np.where((buf >= 65) & (buf <= 90), buf + 32, buf).astype(np.uint8)
+        _, at, of = np.unique(h, return_index=True, return_inverse=True)
         for code in np.unique(lang):
-            mine = np.flatnonzero(lang == code)
-            _, at, n = np.unique(h[mine], return_index=True, return_counts=True)
-            at = mine[at]
-            lens = end[at] - start[at]
-            ends = np.cumsum(lens)
-            take = np.arange(int(ends[-1])) + np.repeat(start[at] - (ends - lens), lens)
-            low = buf[take]
-            low = np.where((low >= 65) & (low <= 90), low + 32, low).astype(np.uint8)
-            word = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(low)])
-            size = len(at)
-            empty = pa.ListArray.from_arrays(pa.array(np.zeros(size + 1, np.int32)), pa.array([], pa.int32()))
-            yield pa.RecordBatch.from_arrays([
-                pa.array([known[code]] * size, pa.string()), empty,
-                pa.ListArray.from_arrays(pa.array(np.zeros(size + 1, np.int32)), pa.array([], pa.int64())),
-                word, pa.array(h[at].view(np.int64)), pa.array(n.astype(np.int64))], names)
+            n = np.bincount(of[lang == code], minlength=len(at))
+            have = np.flatnonzero(n)
+            yield words(low, start[at[have]], end[at[have]], h[at[have]], n[have], known[code])
+        odd = differing(low, start, end, at[of])
+        if len(odd):  # another word than the one shown for its hash: shown too, so that the dictionary sees both
+            yield words(low, start[odd[:1]], end[odd[:1]], h[odd[:1]], np.zeros(1, np.int64), known[lang[odd[0]]])
+
+    def words(low, start, end, h, n, lang) -> pa.RecordBatch:
+        size, lens = len(start), end - start
+        ends = np.cumsum(lens)
+        shown = low[np.arange(int(ends[-1])) + np.repeat(start - (ends - lens), lens)]
+        word = pa.Array.from_buffers(pa.binary(), size, [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(shown)])
+        none = np.zeros(size, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array([lang] * size, pa.string()), _lists([], none, pa.int32()), _lists([], none, pa.int64()),
+                                           word, pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names)
     return run
 
 
+def differing(low: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Words whose bytes are not those of word ``other``."""
+    lens = end - start
+    odd = np.flatnonzero(lens != lens[other])
+    if len(odd):
+        return odd
+    ends = np.cumsum(lens)
+    own = np.arange(int(ends[-1])) + np.repeat(start - (ends - lens), lens)
+    unlike = np.flatnonzero(low[own] != low[own + np.repeat(start[other] - start, lens)])
+    return np.unique(np.searchsorted(ends, unlike, side="right"))
+
+
 def _dictionary(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The relation of length 1 (lang, at, w1) and its counts (lang, w1, word, n), under a base that keeps all words apart."""
     texts = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
