@@ -16,9 +16,12 @@ checkpoint): a lost executor only recomputes the current hop.
   stored tickets whose times arrive or change get their durations anew;
 * gold: per-ticket tables (service fact, cost fact, ticket dimension) are
   recomputed only for the tickets the batch touched, the per-agent fact for
-  the agents of those tickets, and upserted (only touched partitions are
-  rewritten, including the old date of a ticket whose date moved); the small
-  dimensions are rebuilt as versioned tables;
+  the agents of those tickets, and replaced (only touched partitions are
+  rewritten, including the old date of a ticket whose date moved); costs and
+  surveys, which are stored by their own ids, are read through an index from
+  ticket to bucket, the facts through one from ticket to date; the aggregate
+  facts take the difference; the small dimensions are rebuilt as versioned
+  tables;
 * views: one published view per gold table.
 
 A table that fails at any hop is reported with its error and keeps its stored
@@ -34,11 +37,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callstar.operators.quality import OK, VERDICT
+from callstar.plans import aggregates
 from callstar.plans import gold as G
 from callstar.plans import schemas
 from callstar.plans import silver as S
+from callstar.session import side_by_side
 from callstar.sources import sinks
-from callstar.sources.ingest import BATCH_COL, PART_COL, STAMP_COL, append_batch, batch_id, bronze_schema, read_batches, stamp
+from callstar.sources.ingest import BATCH_COL, PART_COL, STAMP_COL, WITHDRAWN, append_batch, batch_id, bronze_schema, read_batches, stamp
 
 # landing name -> (silver table, key, builder)
 SILVER_PLAN = [
@@ -67,6 +72,8 @@ GOLD_KEYS = {
 }
 
 
+# silver tables of a ticket's rows that are stored by their own id, with an index from ticket to bucket
+INDEXED = ("tb_custo_chamado", "tb_pesquisa")
 # silver tables keyed by ever-increasing ids: range buckets (a daily batch of
 # new records touches only the newest buckets); the others: hash buckets
 RANGE_BUCKETED = {"tb_chamado", "tb_chamado_log", "tb_custo_chamado", "tb_pesquisa"}
@@ -75,12 +82,40 @@ RANGE_BUCKETED = {"tb_chamado", "tb_chamado_log", "tb_custo_chamado", "tb_pesqui
 def _bucket(spark: SparkSession, table: str, keys: list[str]):
     """Bucket expression of a silver table and the layout to keep with it (deployment settings at its creation)."""
     if table in RANGE_BUCKETED and len(keys) == 1:
-        width = int(spark.conf.get("callstar.silver.range_width", "100000"))
+        width = _width(spark)
         return sinks.range_bucket(keys[0], width), f"range {keys[0]} {width}"
     n = int(spark.conf.get("callstar.silver.buckets", "16"))
     return sinks.hash_bucket(keys, n), f"hash {' '.join(keys)} {n}"
 
 
+def _width(spark: SparkSession) -> int:
+    """Ticket ids of a range bucket, also in the indexes."""
+    return int(spark.conf.get("callstar.silver.range_width", "100000"))
+
+
+def _index(spark: SparkSession, layer: str, table: str) -> str:
+    return sinks.table_path(spark, layer, f"_index_{table}")
+
+
+def _note_places(spark: SparkSession, layer: str, table: str, rows: DataFrame, place: str) -> None:
+    """Bring the index of a table up to ``rows``; built from the whole table where an older load left none."""
+    path, index = sinks.table_path(spark, layer, table), _index(spark, layer, table)
+    if not sinks._has_data(spark, index) and sinks._has_data(spark, path):
+        sinks.index_add(spark, index, spark.read.parquet(path), "cd_chamado", place, _width(spark))
+    sinks.index_add(spark, index, rows, "cd_chamado", place, _width(spark))
+
+
+def _tickets_rows(spark: SparkSession, layer: str, table: str, tickets: DataFrame, place: str) -> DataFrame | None:
+    """Stored rows of ``tickets`` (cd_chamado), from the partitions they live in."""
+    path = sinks.table_path(spark, layer, table)
+    if place == sinks.BUCKET_COL and table not in INDEXED:  # stored by ticket
+        rows = sinks.in_buckets(spark, path, tickets.select(sinks.range_bucket("cd_chamado", _width(spark))))
+        return None if rows is None else rows.join(tickets, "cd_chamado", "left_semi")
+    if not sinks._has_data(spark, _index(spark, layer, table)) and sinks._has_data(spark, path):
+        sinks.index_add(spark, _index(spark, layer, table), spark.read.parquet(path), "cd_chamado", place, _width(spark))
+    return sinks.rows_of(spark, path, _index(spark, layer, table), tickets, place, _width(spark))
+
+
 def _current(spark: SparkSession, layer: str, table: str) -> DataFrame | None:
     return sinks.read_current(spark, sinks.table_path(spark, layer, table))
 
@@ -92,6 +127,7 @@ def _staging(spark: SparkSession, table: str, batch_ts: str) -> str:
 def load_bronze(spark: SparkSession, landing: dict[str, DataFrame], batch_ts: str) -> DataFrame:
     """Write every landing table's batch; one status row per table (errors isolated, in full)."""
     rows = []
+    sinks._delete(spark, sinks.table_path(spark, "bronze", f"{WITHDRAWN}/{batch_id(batch_ts)}"))  # a batch loaded again counts again
     for name, df in landing.items():
         try:
             append_batch(stamp(df, batch_ts, f"landing.{name}"), sinks.table_path(spark, "bronze", name), batch_ts)
@@ -109,16 +145,39 @@ def bronze_batch(spark: SparkSession, name: str, schema: T.StructType, batch_ts:
 
 def _publish_silver(spark: SparkSession, s: S.Silver, table: str, keys: list[str], batch_ts: str) -> tuple[DataFrame, DataFrame]:
     valid, rejected = sinks.write_flagged(s.flagged, _staging(spark, table, batch_ts))
+    if table in INDEXED:
+        _note_moved(spark, table, keys[0], valid, batch_ts)
+    store_silver(spark, table, keys, valid)
+    store_audit(spark, S.Silver(s.name, rejected, s.columns, s.rules), table)
+    return valid, rejected
+
+
+def store_silver(spark: SparkSession, table: str, keys: list[str], valid: DataFrame, remove: DataFrame | None = None) -> None:
+    """Upsert valid rows (staged) into a silver table; rows whose key is in ``remove`` go."""
+    path = sinks.table_path(spark, "silver", table)
+    sinks.recover(spark, path)
     bucket, layout = _bucket(spark, table, keys)
-    sinks.upsert_partitioned(schemas.enforce(valid, schemas.SILVER[table]), sinks.table_path(spark, "silver", table),
-                             keys, sinks.BUCKET_COL, bucket, key_determines_partition=True, layout=layout)
-    if table == "tb_motivo":
-        audit = S.reason_rejects(S.Silver(s.name, rejected, s.columns, s.rules))
-    else:
-        audit = rejected
+    typed = schemas.enforce(valid, schemas.SILVER[table])
+    if table in INDEXED:
+        _note_places(spark, "silver", table, typed.withColumn(sinks.BUCKET_COL, bucket), sinks.BUCKET_COL)
+    sinks.upsert_partitioned(typed, path, keys, sinks.BUCKET_COL, bucket, key_determines_partition=True, layout=layout, remove=remove,
+                             live=None if remove is None else [r[0] for r in remove.select(bucket.cast("string")).distinct().collect()])
+
+
+def store_audit(spark: SparkSession, rejected: S.Silver, table: str) -> None:
+    """Overwrite the audit table with the rejected rows of ``rejected.flagged``."""
+    audit = S.reason_rejects(rejected) if table == "tb_motivo" else rejected.flagged
     audit = schemas.enforce(audit, schemas.AUDIT[f"{table}_invalidos"])
     sinks.overwrite(audit, sinks.table_path(spark, "silver", f"{table}_invalidos"))
-    return valid, rejected
+
+
+def _note_moved(spark: SparkSession, table: str, key: str, valid: DataFrame, batch_ts: str) -> None:
+    """Tickets that the stored rows of the batch's costs or surveys belong to before the batch: their facts change too."""
+    bucket, _ = _bucket(spark, table, [key])
+    stored = sinks.in_buckets(spark, sinks.table_path(spark, "silver", table), valid.select(bucket))
+    if stored is not None:
+        moved = stored.join(valid.select(key), key, "left_semi").select("cd_chamado").distinct()
+        moved.write.mode("append").parquet(_staging(spark, f"{table}_moved", batch_ts))
 
 
 def _load_tickets(spark: SparkSession, schema: T.StructType, batch_ts: str) -> None:
@@ -139,10 +198,12 @@ def _load_tickets(spark: SparkSession, schema: T.StructType, batch_ts: str) -> N
     waiting = rejected.filter(F.col("cd_chamado").isNotNull() & ~(F.col("flag_fk_motivo_valida") & F.col("flag_fk_canal_valida"))).select("cd_chamado")
     number = S._num(raw, "id_ticket", "bigint")
     still = raw.withColumn("_id", number).join(waiting, F.col("_id") == F.col("cd_chamado"), "left_semi").drop("_id")
-    version = (spark.read.parquet(pending_path).agg(F.max(sinks.VERSION_COL)).first()[0] or 0) + 1 if pending is not None else 1
-    still.withColumn(sinks.VERSION_COL, F.lit(int(version))).write.mode("append").partitionBy(sinks.VERSION_COL).parquet(pending_path)
+    sinks.replace_table(still, pending_path)
+    sinks.vacuum_versions(spark, pending_path, keep=2)
 
     # stored tickets whose times this batch brought: durations anew
+    if not sinks._exists(spark, _staging(spark, "tb_chamado_log", batch_ts)):
+        return
     late = (spark.read.schema("cd_chamado bigint, flag_qualidade string").parquet(_staging(spark, "tb_chamado_log", batch_ts))
             .filter(F.col(VERDICT) == OK).select("cd_chamado").distinct())
     bucket, layout = _bucket(spark, "tb_chamado", ["cd_chamado"])
@@ -161,21 +222,13 @@ def load_silver(spark: SparkSession, landing: dict[str, T.StructType], batch_ts:
 
     Returns the error of each silver table that failed; it keeps its stored rows.
     """
-    errors: dict[str, str] = {}
-
-    def attempt(table: str, work: Callable[[], object]) -> None:
-        try:
-            work()
-        except Exception as e:
-            errors[table] = str(e)
+    def publish_table(name, table, keys, build):
+        return lambda: _publish_silver(spark, build(bronze_batch(spark, name, landing[name], batch_ts), batch=batch_ts), table, keys, batch_ts)
 
-    for name, table, keys, build in SILVER_PLAN:
-        if name in landing:
-            attempt(table, lambda: _publish_silver(spark, build(bronze_batch(spark, name, landing[name], batch_ts), batch=batch_ts),
-                                                   table, keys, batch_ts))
-    if "l_tickets" in landing:
-        attempt("tb_chamado", lambda: _load_tickets(spark, landing["l_tickets"], batch_ts))
-    return errors
+    done = side_by_side({table: publish_table(name, table, keys, build) for name, table, keys, build in SILVER_PLAN if name in landing}, spark)
+    if "l_tickets" in landing:  # they look the others up
+        done |= side_by_side({"tb_chamado": lambda: _load_tickets(spark, landing["l_tickets"], batch_ts)}, spark)
+    return {table: str(e) for table, e in done.items() if isinstance(e, Exception)}
 
 
 def touched_tickets(spark: SparkSession, batch_ts: str) -> DataFrame:
@@ -188,19 +241,23 @@ def touched_tickets(spark: SparkSession, batch_ts: str) -> DataFrame:
         staged = spark.read.schema("cd_chamado bigint, flag_qualidade string").parquet(_staging(spark, table, batch_ts))
         ids = staged.filter(F.col("flag_qualidade") == "OK").select("cd_chamado")
         out = ids if out is None else out.unionByName(ids)
+        if sinks._exists(spark, _staging(spark, f"{table}_moved", batch_ts)):
+            out = out.unionByName(spark.read.schema("cd_chamado bigint").parquet(_staging(spark, f"{table}_moved", batch_ts)))
     if out is None:
         return spark.createDataFrame([], "cd_chamado bigint")
     return out.filter(F.col("cd_chamado").isNotNull()).distinct()
 
 
-def load_gold(spark: SparkSession, batch_ts: str | None = None) -> dict[str, str]:
+def load_gold(spark: SparkSession, batch_ts: str | None = None, touched: DataFrame | None = None, replace: bool = False) -> dict[str, str]:
     """Dimensions and facts from current silver; returns the error of each table that failed.
 
     With ``batch_ts`` and an existing gold layer, the per-ticket tables are
     recomputed only for the tickets the batch touched (each with all of its
-    silver rows), the per-agent fact for their agents (those before and after
-    the batch), and upserted; untouched dates and buckets are not rewritten.
-    The small dimensions are rebuilt whole.
+    silver rows) and take the place of those tickets' stored rows; the
+    per-agent fact for their agents (those before and after the batch).
+    Untouched dates and buckets are neither read nor rewritten. ``touched``
+    names the tickets instead of a batch. The small dimensions are rebuilt
+    whole: upserted, or with ``replace`` put in place of what was stored.
     """
     def silver(t):
         df = _current(spark, "silver", t)
@@ -208,22 +265,36 @@ def load_gold(spark: SparkSession, batch_ts: str | None = None) -> dict[str, str
             raise RuntimeError(f"{t} has not been loaded yet")
         return df
 
-    incremental = batch_ts is not None and _current(spark, "gold", "ft_atendimento_geral") is not None
-    touched = touched_tickets(spark, batch_ts) if incremental else None
+    for t in GOLD_KEYS:
+        sinks.recover(spark, sinks.table_path(spark, "gold", t))
+    incremental = (touched is not None or batch_ts is not None) and _current(spark, "gold", "ft_atendimento_geral") is not None
+    if incremental:
+        ids = (touched_tickets(spark, batch_ts) if touched is None else touched).select("cd_chamado")
+        staged = _staging(spark, "touched", batch_ts or "given")
+        sinks.overwrite(ids, staged)
+        touched = spark.read.schema("cd_chamado bigint").parquet(staged)
+    else:
+        touched = None
 
     def tickets_of(t):
-        return silver(t).join(touched, "cd_chamado", "left_semi") if incremental else silver(t)
+        if not incremental:
+            return silver(t)
+        rows = _tickets_rows(spark, "silver", t, touched, sinks.BUCKET_COL)
+        return silver(t).limit(0) if rows is None else rows
+
+    moved = None
+    if incremental:  # agents of the touched tickets, before and after
+        before = _tickets_rows(spark, "gold", "ft_atendimento_geral", touched, "dt_referencia").select("cd_atendente")
+        now = tickets_of("tb_chamado").select("cd_atendente")
+        path = _staging(spark, "moved_agents", batch_ts or "given")
+        sinks.overwrite(before.unionByName(now).filter("cd_atendente is not null").distinct(), path)
+        moved = spark.read.schema("cd_atendente bigint").parquet(path)
 
     def agents():
         tickets, surveys = silver("tb_chamado"), silver("tb_pesquisa")
-        if incremental:
-            before = _current(spark, "gold", "ft_atendimento_geral").select("cd_chamado", "cd_atendente")
-            moved = (before.unionByName(tickets.select("cd_chamado", "cd_atendente")).join(touched, "cd_chamado", "left_semi")
-                     .select("cd_atendente").filter("cd_atendente is not null").distinct())
-            tickets = tickets.join(moved, "cd_atendente", "left_semi")
-        return G.fact_agent(tickets, surveys)
-
-    outputs: dict[str, Callable[[], DataFrame]] = {  # the agent fact first: it looks at the service fact before this batch
+        return G.fact_agent(tickets if moved is None else tickets.join(moved, "cd_atendente", "left_semi"), surveys)
+
+    outputs: dict[str, Callable[[], DataFrame]] = {
         "ft_performance_agente": agents,
         "dm_atendente": lambda: G.dim_agent(silver("tb_atendente")),
         "dm_canal": lambda: G.dim_channel(silver("tb_canal")),
@@ -233,22 +304,48 @@ def load_gold(spark: SparkSession, batch_ts: str | None = None) -> dict[str, str
         "ft_atendimento_geral": lambda: G.fact_service(*(tickets_of(t) for t in TICKET_TABLES)),
         "ft_custo_operacional": lambda: G.fact_cost(tickets_of("tb_chamado"), tickets_of("tb_custo_chamado")),
     }
-    errors: dict[str, str] = {}
-    for name, build in outputs.items():
-        try:
-            typed, path = schemas.enforce(build(), schemas.GOLD[name]), sinks.table_path(spark, "gold", name)
-            if name == "dm_chamado":
-                bucket, layout = _bucket(spark, "tb_chamado", ["cd_chamado"])
-                sinks.upsert_partitioned(typed, path, GOLD_KEYS[name], sinks.BUCKET_COL, bucket,
-                                         key_determines_partition=True, layout=layout)
-            elif name in GOLD_PARTITION:
-                sinks.upsert_partitioned(typed, path, GOLD_KEYS[name], GOLD_PARTITION[name])
+    def store(name, build):
+        typed, path = schemas.enforce(build(), schemas.GOLD[name]), sinks.table_path(spark, "gold", name)
+        if name == "dm_chamado":
+            bucket, layout = _bucket(spark, "tb_chamado", ["cd_chamado"])
+            live = None if touched is None else [r[0] for r in touched.select(bucket.cast("string")).distinct().collect()]
+            sinks.upsert_partitioned(typed, path, GOLD_KEYS[name], sinks.BUCKET_COL, bucket,
+                                     key_determines_partition=True, layout=layout, remove=touched, live=live)
+        elif name in GOLD_PARTITION:
+            _store_fact(spark, name, typed, touched, batch_ts)
+        else:
+            if name == "ft_performance_agente" or not replace:
+                sinks.upsert_table(typed, path, GOLD_KEYS[name], remove=moved if name == "ft_performance_agente" else None)
             else:
-                sinks.upsert_table(typed, path, GOLD_KEYS[name])
-                sinks.vacuum_versions(spark, path, keep=2)
-        except Exception as e:
-            errors[name] = str(e)
-    return errors
+                sinks.replace_table(typed, path)
+            sinks.vacuum_versions(spark, path, keep=2)
+
+    done = side_by_side({name: (lambda n=name, b=build: store(n, b)) for name, build in outputs.items()}, spark)
+    return {name: str(e) for name, e in done.items() if isinstance(e, Exception)}
+
+
+def _store_fact(spark: SparkSession, name: str, rows: DataFrame, touched: DataFrame | None, batch_ts: str | None) -> None:
+    """Replace the touched tickets' rows of a fact, and carry the difference into the aggregates kept from it, in one commit."""
+    path, place = sinks.table_path(spark, "gold", name), GOLD_PARTITION[name]
+    staged = _staging(spark, f"{name}_rows", batch_ts or "given")
+    sinks.overwrite(rows, staged)
+    rows = spark.read.schema(rows.schema).parquet(staged)
+    tickets = rows.select("cd_chamado").distinct() if touched is None else touched
+    before = _tickets_rows(spark, "gold", name, tickets, place)
+    live = None if before is None else sinks.places(spark, _index(spark, "gold", name), tickets, _width(spark))
+    _note_places(spark, "gold", name, rows, place)
+    swaps = [sinks.prepare_upsert(rows, path, GOLD_KEYS[name], place, remove=None if before is None else tickets, live=live)]
+    for kept in aggregates.KEPT:
+        if kept.fact == name:
+            known = kept.read(spark) is not None
+            delta = kept.delta(before if known else None, rows)
+            if before is not None and not known:  # facts stored before the aggregate was: all of them count
+                whole = spark.read.parquet(path)
+                delta = kept.delta(None, whole.join(tickets, "cd_chamado", "left_anti").select(rows.columns).unionByName(rows))
+            changes = _staging(spark, f"{kept.name}_delta", batch_ts or "given")
+            sinks.overwrite(delta, changes)
+            swaps.append(kept.prepare(spark, spark.read.schema(kept.schema).parquet(changes)))
+    sinks.commit(spark, swaps)
 
 
 def publish(spark: SparkSession) -> list[str]:
@@ -259,6 +356,12 @@ def publish(spark: SparkSession) -> list[str]:
     return sorted(views)
 
 
+def recover(spark: SparkSession) -> int:
+    """Finish what an earlier run left half swapped, in all stored tables."""
+    tables = [("silver", t) for t in ("tb_chamado", *(t for _, t, _, _ in SILVER_PLAN))] + [("gold", t) for t in (*GOLD_KEYS, *(k.name for k in aggregates.KEPT))]
+    return sum(sinks.recover(spark, sinks.table_path(spark, layer, t)) for layer, t in tables)
+
+
 def layer_status(spark: SparkSession) -> DataFrame:
     """Post-run check: every gold table exists and holds rows."""
     rows = []
@@ -271,6 +374,7 @@ def layer_status(spark: SparkSession) -> DataFrame:
 def run(spark: SparkSession, landing: dict[str, DataFrame], batch_ts: str) -> DataFrame:
     """One daily run: a row per landing table (as its silver table) and gold table with
     layer, status (LOADED, FAILED), error and, for silver, the counts read back from storage."""
+    recover(spark)
     bronze = {r["table_name"]: r for r in load_bronze(spark, landing, batch_ts).collect()}  # a row per table
     loaded = {n: df.schema for n, df in landing.items() if bronze[n]["status"] == "LOADED"}
     silver_errors = load_silver(spark, loaded, batch_ts)

@@ -304,8 +304,8 @@ cte("ft_agent", ["served"],
     "count(nu_nota) AS n FROM served GROUP BY cd_atendente) g")
 
 
-def with_ctes(deps: list[str], body: str) -> str:
-    """WITH clause holding every CTE ``deps`` needs, in dependency order."""
+def with_ctes(deps: list[str], body: str, only: dict[str, str] | None = None) -> str:
+    """WITH clause holding every CTE ``deps`` needs, in dependency order; ``only`` restricts landing tables by a condition."""
     order: list[str] = []
 
     def visit(n):
@@ -326,7 +326,7 @@ def with_ctes(deps: list[str], body: str) -> str:
         if n in FIXTURE_SQL:
             for fn, fsql in fixture_ctes([n]):
                 if fn not in done:
-                    parts.append(f"{fn} AS ({fsql})")
+                    parts.append(f"{fn} AS (SELECT * FROM ({fsql}) x WHERE {only[fn]})" if only and fn in only else f"{fn} AS ({fsql})")
                     done.add(fn)
         elif n not in done:
             parts.append(f"{n} AS ({CTES[n]})")

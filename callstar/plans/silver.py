@@ -47,8 +47,10 @@ class Silver:
         return Q.verdict_counts(self.flagged, self.name)
 
 
-def _batch(bronze: DataFrame, batch) -> DataFrame:
-    """Latest batch by default; an explicit batch stamp reprocesses that one."""
+def _batch(bronze: DataFrame, batch, history: bool = False) -> DataFrame:
+    """Latest batch by default; an explicit batch stamp reprocesses that one; ``history`` takes all of them."""
+    if history:
+        return bronze
     if batch is None:
         return latest_batch(bronze)
     return bronze.filter(F.col(STAMP_COL) == F.lit(batch).cast("timestamp"))
@@ -72,9 +74,12 @@ def _not_blank(c: str) -> Column:
     return F.col(c).isNotNull() & (F.trim(F.col(c)) != "")
 
 
-def _finish(name, df, key, order, rules, columns, extra=()) -> Silver:
-    keys = key if isinstance(key, list) else [key]
-    deduped = keep_latest(df, keys, ["dt_ingestion", *order])
+def _finish(name, df, key, order, rules, columns, extra=(), history: bool = False, only: DataFrame | None = None) -> Silver:
+    """``history`` keeps a row for each key and batch; ``only`` (one column, the key) drops other keys before the shuffle."""
+    if only is not None:
+        df = df.join(only, only.columns, "left_semi")
+    keys = [key, "dt_ingestion"] if history else [key]
+    deduped = keep_latest(df, keys, [c for c in ("dt_ingestion", *order) if c not in keys])
     deduped = deduped.drop(*order)
     flagged = Q.validate(deduped, rules)
     return Silver(name, flagged, columns, Q.as_rules(rules), list(extra))
@@ -83,8 +88,8 @@ def _finish(name, df, key, order, rules, columns, extra=()) -> Silver:
 AGENT_COLS = ["cd_atendente", "nm_atendente", "nu_nivel", "dt_ingestion", "dc_origem"]
 
 
-def silver_agent(bronze: DataFrame, batch=None) -> Silver:
-    df = _batch(bronze, batch).select(
+def silver_agent(bronze: DataFrame, batch=None, history: bool = False, only: DataFrame | None = None) -> Silver:
+    df = _batch(bronze, batch, history).select(
         _num(bronze, "id_agent", "bigint").alias("cd_atendente"),
         F.trim("agent_name").alias("nm_atendente"),
         _num(bronze, "support_level", "smallint").alias("nu_nivel"),
@@ -94,15 +99,15 @@ def silver_agent(bronze: DataFrame, batch=None) -> Silver:
         Q.Rule("flag_nome_valido", F.col("nm_atendente").isNotNull() & (F.length("nm_atendente") > 1), "invalid name"),
         Q.Rule("flag_nivel_valido", F.col("nu_nivel").isNotNull() & F.col("nu_nivel").between(1, 2), "invalid level"),
     ]
-    return _finish("tb_atendente", df, "cd_atendente", [], rules, AGENT_COLS)
+    return _finish("tb_atendente", df, "cd_atendente", [], rules, AGENT_COLS, history=history, only=only)
 
 
 CHANNEL_COLS = ["cd_canal", "nm_canal", "st_ativo", "dt_ingestion", "dc_origem"]
 
 
-def silver_channel(bronze: DataFrame, batch=None) -> Silver:
+def silver_channel(bronze: DataFrame, batch=None, history: bool = False, only: DataFrame | None = None) -> Silver:
     name = N.canonical_channel("channel_name")
-    df = _batch(bronze, batch).select(
+    df = _batch(bronze, batch, history).select(
         K.key60(name).alias("cd_canal"),
         name.alias("nm_canal"),
         N.status_flag("channel_status").alias("st_ativo"),
@@ -112,17 +117,16 @@ def silver_channel(bronze: DataFrame, batch=None) -> Silver:
         Q.Rule("flag_nome_valido", _not_blank("nm_canal"), "blank name"),
         Q.Rule("flag_status_valido", F.col("st_ativo").isNotNull(), "unknown status"),
     ]
-    return _finish("tb_canal", df, "cd_canal", ["seq"], rules, CHANNEL_COLS, ["st_ativo_raw"])
+    return _finish("tb_canal", df, "cd_canal", ["seq"], rules, CHANNEL_COLS, ["st_ativo_raw"], history=history, only=only)
 
 
 CLIENT_COLS = ["cd_cliente", "nm_cliente", "ds_email", "nm_regiao", "nu_idade", "dt_ingestion", "dc_origem"]
 
 
-def silver_client(bronze: DataFrame, batch=None, history: bool = False) -> Silver:
+def silver_client(bronze: DataFrame, batch=None, history: bool = False, only: DataFrame | None = None) -> Silver:
     """``history=True`` validates every batch (dedup per key and batch),
     for batch-over-batch quality tracking."""
-    src = bronze if history else _batch(bronze, batch)
-    df = src.select(
+    df = _batch(bronze, batch, history).select(
         K.pseudonym("id_client").alias("cd_cliente"),
         F.trim("client_name").alias("nm_cliente"),
         N.strip_email_alias("email").alias("ds_email"),
@@ -134,15 +138,14 @@ def silver_client(bronze: DataFrame, batch=None, history: bool = False) -> Silve
         Q.Rule("flag_email_valido", F.col("ds_email").rlike(N.R.EMAIL_VALID), "invalid e-mail"),
         Q.Rule("flag_maior_idade", F.col("nu_idade") >= 18, "under age"),
     ]
-    key = ["cd_cliente", "dt_ingestion"] if history else "cd_cliente"
-    return _finish("tb_cliente", df, key, [], rules, CLIENT_COLS)
+    return _finish("tb_cliente", df, "cd_cliente", [], rules, CLIENT_COLS, history=history, only=only)
 
 
 TIMES_COLS = ["cd_chamado", "cd_cliente", "dh_abertura", "dh_inicio", "dh_fim", "dt_ingestion", "dc_origem"]
 
 
-def silver_ticket_times(bronze: DataFrame, batch=None) -> Silver:
-    df = _batch(bronze, batch).select(
+def silver_ticket_times(bronze: DataFrame, batch=None, history: bool = False, only: DataFrame | None = None) -> Silver:
+    df = _batch(bronze, batch, history).select(
         _num(bronze, "id_ticket", "bigint").alias("cd_chamado"),
         K.pseudonym("id_client").alias("cd_cliente"),
         N.dirty_timestamp("opened_at").alias("dh_abertura"),
@@ -155,14 +158,14 @@ def silver_ticket_times(bronze: DataFrame, batch=None) -> Silver:
         Q.Rule("flag_timestamps_validos", F.col("dh_abertura").isNotNull() & F.col("dh_inicio").isNotNull()
                & F.col("dh_fim").isNotNull(), "unparsed timestamp"),
     ]
-    return _finish("tb_chamado_log", df, "cd_chamado", [], rules, TIMES_COLS)
+    return _finish("tb_chamado_log", df, "cd_chamado", [], rules, TIMES_COLS, history=history, only=only)
 
 
 COST_COLS = ["cd_custo", "cd_chamado", "vl_custo", "dt_ingestion", "dc_origem"]
 
 
-def silver_cost(bronze: DataFrame, batch=None) -> Silver:
-    df = _batch(bronze, batch).select(
+def silver_cost(bronze: DataFrame, batch=None, history: bool = False, only: DataFrame | None = None) -> Silver:
+    df = _batch(bronze, batch, history).select(
         _num(bronze, "id_cost", "bigint").alias("cd_custo"),
         _num(bronze, "id_ticket", "bigint").alias("cd_chamado"),
         N.money("cost_text").alias("vl_custo"),
@@ -172,16 +175,16 @@ def silver_cost(bronze: DataFrame, batch=None) -> Silver:
         Q.Rule("flag_chamado_valido", F.col("cd_chamado").isNotNull(), "missing ticket"),
         Q.Rule("flag_valor_valido", F.col("vl_custo").isNotNull() & (F.col("vl_custo") > 0), "invalid amount"),
     ]
-    return _finish("tb_custo_chamado", df, "cd_custo", ["tie_1", "tie_2", "tie_3", "cost_text"], rules, COST_COLS)
+    return _finish("tb_custo_chamado", df, "cd_custo", ["tie_1", "tie_2", "tie_3", "cost_text"], rules, COST_COLS, history=history, only=only)
 
 
 REASON_COLS = ["cd_motivo", "ds_motivo", "ds_categoria", "ds_criticidade", "dt_ingestion", "dc_origem"]
 REASON_REJECT_TEXT = "motivo_rejeicao"
 
 
-def silver_reason(bronze: DataFrame, batch=None) -> Silver:
+def silver_reason(bronze: DataFrame, batch=None, history: bool = False, only: DataFrame | None = None) -> Silver:
     name = N.repair_reason(F.trim("reason_name"))
-    df = _batch(bronze, batch).select(
+    df = _batch(bronze, batch, history).select(
         _num(bronze, "id_reason", "bigint").alias("cd_motivo"),
         name.alias("ds_motivo"),
         N.category(name).alias("ds_categoria"),
@@ -193,7 +196,7 @@ def silver_reason(bronze: DataFrame, batch=None) -> Silver:
         Q.Rule("flag_categoria_valida", _not_blank("ds_categoria"), "blank category"),
         Q.Rule("flag_criticidade_valida", _not_blank("ds_criticidade"), "unknown criticality"),
     ]
-    return _finish("tb_motivo", df, "cd_motivo", ["seq"], rules, REASON_COLS)
+    return _finish("tb_motivo", df, "cd_motivo", ["seq"], rules, REASON_COLS, history=history, only=only)
 
 
 def reason_rejects(s: Silver) -> DataFrame:
@@ -206,8 +209,8 @@ def reason_rejects(s: Silver) -> DataFrame:
 SURVEY_COLS = ["cd_pesquisa", "cd_chamado", "nu_nota", "dt_ingestion", "dc_origem"]
 
 
-def silver_survey(bronze: DataFrame, batch=None) -> Silver:
-    df = _batch(bronze, batch).select(
+def silver_survey(bronze: DataFrame, batch=None, history: bool = False, only: DataFrame | None = None) -> Silver:
+    df = _batch(bronze, batch, history).select(
         _num(bronze, "id_survey", "bigint").alias("cd_pesquisa"),
         _num(bronze, "id_ticket", "bigint").alias("cd_chamado"),
         _num(bronze, "score", "smallint").alias("nu_nota"),
@@ -217,7 +220,7 @@ def silver_survey(bronze: DataFrame, batch=None) -> Silver:
         Q.Rule("flag_fk_valida", F.col("cd_chamado").isNotNull(), "missing ticket"),
         Q.Rule("flag_nota_valida", F.col("nu_nota").isNull() | F.col("nu_nota").between(1, 5), "score out of range"),
     ]
-    return _finish("tb_pesquisa", df, "cd_pesquisa", [], rules, SURVEY_COLS)
+    return _finish("tb_pesquisa", df, "cd_pesquisa", [], rules, SURVEY_COLS, history=history, only=only)
 
 
 def with_durations(tickets: DataFrame, times: DataFrame) -> DataFrame:
@@ -234,7 +237,8 @@ TICKET_COLS = ["cd_chamado", "cd_cliente", "cd_motivo", "cd_canal", "st_resolvid
 
 
 def silver_ticket(bronze: DataFrame, reasons: DataFrame, channels: DataFrame,
-                  times: DataFrame, batch=None, lookup_max_rows: int | None = None, selected: bool = False) -> Silver:
+                  times: DataFrame, batch=None, lookup_max_rows: int | None = None, selected: bool = False,
+                  history: bool = False) -> Silver:
     """Tickets with reason/channel ids looked up by normalised text and
     durations from ticket times. ``reasons``/``channels``/``times`` are the
     *valid* silver tables (full tables, not only their latest batch).
@@ -245,10 +249,10 @@ def silver_ticket(bronze: DataFrame, reasons: DataFrame, channels: DataFrame,
     are already hash-partitioned on the ticket id. ``lookup_max_rows`` (for
     stored lookup tables) broadcasts a lookup only after proving it has at
     most that many rows; otherwise AQE decides from the measured size.
-    ``selected`` takes all given records instead of one batch of them.
+    ``selected`` takes all given records instead of one batch of them, ``history`` with a row for each ticket and batch.
     """
-    t = (bronze if selected else _batch(bronze, batch)).withColumn("_id", _num(bronze, "id_ticket", "bigint"))
-    t = keep_latest(t, ["_id"], [STAMP_COL])
+    t = _batch(bronze, batch, selected or history).withColumn("_id", _num(bronze, "id_ticket", "bigint"))
+    t = keep_latest(t, ["_id", STAMP_COL], []) if history else keep_latest(t, ["_id"], [STAMP_COL])
     t = lookup(t, reasons, N.text_key(N.repair_reason("reason")), N.text_key("ds_motivo"), ["cd_motivo"],
                max_rows=lookup_max_rows)
     t = lookup(t, channels, N.canonical_channel("channel"), F.col("nm_canal"), ["cd_canal"],

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -108,3 +110,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(os.path.join(root, "rdd"))
     return root
+
+
+def side_by_side(tasks: dict[str, Callable[[], object]], spark: SparkSession) -> dict[str, object]:
+    """Run independent jobs at the same time (``callstar.parallel_tables`` of them, 4 by default): name to result, or to its exception.
+
+    Spark schedules their stages together, so small tables fill the cores that
+    the tail of a large one leaves idle.
+    """
+    def attempt(work: Callable[[], object]) -> object:
+        try:
+            return work()
+        except Exception as e:
+            return e
+    width = int(spark.conf.get("callstar.parallel_tables", "4"))
+    with ThreadPoolExecutor(max_workers=max(1, width)) as pool:
+        futures = {name: pool.submit(attempt, work) for name, work in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}

@@ -13,6 +13,7 @@ BATCH_COL = "batch_id"
 PART_COL = "part"
 STAMP_COL = "ingestion_timestamp"
 ORIGIN_COL = "origem"
+WITHDRAWN = "_withdrawn"
 
 # Batch stamp used by single-batch driver queries (explicit, never "now").
 DEFAULT_BATCH = "2024-03-01 02:00:00"
@@ -76,3 +77,10 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     """All stored batches of a bronze table, with a declared schema (an empty table has no file to infer from)."""
     fields = [*schema.fields, T.StructField(BATCH_COL, T.StringType()), T.StructField(PART_COL, T.IntegerType())]
     return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def withdrawn(spark: SparkSession, bronze_root: str) -> set[str]:
+    """Ids of the batches that were taken back (see ``plans.replay``): a mark file each, beside the bronze tables."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{bronze_root}/{WITHDRAWN}")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in fs.listStatus(p)} if fs.exists(p) else set()

@@ -9,22 +9,26 @@ Two upsert layouts:
   upsert writes a full new ``_version``.
 
 Tables live as parquet directories under the root that the conf
-``callstar.warehouse`` names. An upserted table is a
-dataset partitioned by ``_version``; each upsert writes the next version and
-readers take the newest one through a scalar-subquery filter, which Spark
-turns into partition pruning. Durable tables never fall back to a scratch
+``callstar.warehouse`` names. A versioned table has a folder for each
+``_version``; each upsert writes the next one and readers take the newest that
+was finished. Durable tables never fall back to a scratch
 folder: the warehouse must be named. Writing a new version instead of overwriting
 in place avoids reading and writing the same files in one job, and a failed
-write leaves the previous version untouched.
+write leaves the previous version untouched. A partitioned table is changed by
+staging whole partitions and swapping them in behind a written intent, so a
+swap that fails half way is finished by the next run.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from callstar.operators import quality as Q
 from callstar.operators.upsert import upsert
@@ -33,6 +37,8 @@ from callstar.session import checkpoint_root
 VERSION_COL = "_version"
 BUCKET_COL = "_bucket"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+#: Folder beside a table's partitions that holds the swaps under way.
+INTENTS = "_intents"
 
 
 def warehouse_root(spark: SparkSession) -> str:
@@ -53,6 +59,43 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return sorted(str(f.getPath()) for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def _has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a table holds files or partitions (its notes, and what a failed first write left, do not count)."""
+    names = (os.path.basename(c) for c in _children(spark, path))
+    return any("=" in n or not n.startswith(("_", ".")) for n in names)
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, whole or not at all."""
+    fs, p = _fs(spark, path)
+    part = p.suffix(".part")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.rename(part, p)
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    """Text of a small file; None for one that was not finished."""
+    fs, p = _fs(spark, path)
+    if path.endswith(".part"):
+        return None
+    stream = fs.open(p)
+    text = bytes(stream.readAllBytes()).decode()
+    stream.close()
+    return text
+
+
 def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     w = df.write.mode("overwrite")
     if partition_by:
@@ -73,17 +116,29 @@ def write_flagged(flagged: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
             back.filter(F.col(Q.VERDICT) != Q.OK))
 
 
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions of a versioned table, oldest first. A version without its success mark was not finished and does not count."""
+    folders = [c for c in _children(spark, path) if os.path.basename(c).startswith(f"{VERSION_COL}=")]
+    whole = [f for f in folders if _exists(spark, os.path.join(f, "_SUCCESS"))]
+    return sorted(int(os.path.basename(f).split("=", 1)[1]) for f in whole or folders)
+
+
+def _write_version(rows: DataFrame, path: str) -> None:
+    """Write ``rows`` (also none) as the next version, in a folder of its own."""
+    versions = _versions(rows.sparkSession, path)
+    rows.write.mode("overwrite").parquet(os.path.join(path, f"{VERSION_COL}={(versions or [0])[-1] + 1}"))
+
+
 def read_current(spark: SparkSession, path: str) -> DataFrame | None:
-    """Current rows of a stored table (None if never written): the newest
+    """Current rows of a stored table (None if never written): the newest whole
     ``_version`` of a versioned table, or a partitioned table without its
     internal bucket column."""
-    if not _exists(spark, path):
+    if not _has_data(spark, path):
         return None
-    df = spark.read.parquet(path)
-    if VERSION_COL not in df.columns:
-        return df.drop(BUCKET_COL)
-    return spark.sql(f"SELECT * FROM {{t}} WHERE `{VERSION_COL}` = (SELECT max(`{VERSION_COL}`) FROM {{t}})",
-                     t=df).drop(VERSION_COL)
+    versions = _versions(spark, path)
+    if versions:
+        return spark.read.parquet(os.path.join(path, f"{VERSION_COL}={versions[-1]}"))
+    return spark.read.parquet(path).drop(BUCKET_COL)
 
 
 def _staged(source: DataFrame, keys: list[str]) -> tuple[DataFrame, str]:
@@ -118,84 +173,203 @@ def _layout(spark: SparkSession, path: str, layout: str | None, create: bool) ->
         raise ValueError(f"{path} is laid out as {stored}, not as {layout}")
 
 
-def upsert_table(source: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    """MERGE ``source`` into the table at ``path`` by writing a new version."""
+def upsert_table(source: DataFrame, path: str, keys: list[str], remove: DataFrame | None = None) -> DataFrame:
+    """MERGE ``source`` into the table at ``path`` by writing a new version; rows that match ``remove`` go first."""
     spark = source.sparkSession
     source, staged = _staged(source, keys)
     current = read_current(spark, path)
-    if current is None:
-        version, merged = 1, source
-    else:
-        last = spark.read.parquet(path).agg(F.max(VERSION_COL)).first()[0]
-        version, merged = int(last) + 1, upsert(current, source, keys)
-    (merged.withColumn(VERSION_COL, F.lit(version))
-           .write.mode("append").partitionBy(VERSION_COL).parquet(path))
+    if current is not None and remove is not None:
+        current = current.join(remove, remove.columns, "left_anti")
+    _write_version(source if current is None else upsert(current, source, keys), path)
     _delete(spark, staged)
     return read_current(spark, path)
 
 
-def upsert_partitioned(source: DataFrame, path: str, keys: list[str], partition_col: str,
-                       partition_expr=None, key_determines_partition: bool = False,
-                       layout: str | None = None) -> DataFrame:
-    """MERGE ``source`` into a partitioned parquet table, rewriting only the
-    partitions the batch touches.
+def replace_table(rows: DataFrame, path: str) -> DataFrame:
+    """Write ``rows`` as the new version of a versioned table: nothing of the version before stays."""
+    _write_version(rows, path)
+    return read_current(rows.sparkSession, path)
+
+
+# -- partitioned upsert --------------------------------------------------------
+
+
+@dataclass
+class Swap:
+    """Partitions of a table that wait, merged, in a staging folder to take the place of the stored ones."""
+
+    path: str
+    staging: str
+    partition_col: str
+    values: list  # partition values as text; None is the NULL partition
+    schema: str  # of the staged rows, partition column last
+
+
+def prepare_upsert(source: DataFrame, path: str, keys: list[str], partition_col: str, partition_expr=None,
+                   key_determines_partition: bool = False, layout: str | None = None,
+                   remove: DataFrame | None = None, live: list | None = None) -> Swap | None:
+    """Merge ``source`` into the partitions it touches, in a staging folder; the table stays as it is.
 
     Touched partitions = partitions of the incoming rows, plus (unless the
     partition is a function of the key, e.g. a hash bucket) the partitions
-    where the incoming keys currently live, so a row whose partition value
-    changed is removed from its old partition. That second set is found by
-    scanning only the key and partition columns. The touched values, at most
-    one per partition, are the only thing brought to the driver; they become
-    a static partition filter on the target. The merged partitions are
-    written to a staging copy in the shared folder (lineage cut) and then
-    swapped in with a dynamic partition overwrite; a failure before the
-    swap leaves the table untouched. The batch can be loaded again at any
-    time: an upsert of the same rows gives the same table. The source is
-    computed once; two rows of one key raise; ``layout`` names the bucket rule
-    and is kept with the table.
+    where the incoming keys, and the rows to ``remove``, currently live, so a
+    row whose partition value changed is removed from its old partition. That
+    second set is ``live`` (from an index), or found by scanning only the key
+    and partition columns. The touched values, at most one per partition, are
+    the only thing brought to the driver; they become a static partition
+    filter on the target. ``remove`` holds values of some target columns:
+    stored rows that have them go. The source is computed once; two rows of
+    one key raise; ``layout`` names the bucket rule and is kept with the table.
+    None if there is nothing to do.
     """
     spark = source.sparkSession
     source, source_path = _staged(source, keys)
     src = source if partition_expr is None else source.withColumn(partition_col, partition_expr)
-    if not _exists(spark, path) and src.limit(1).count() == 0:
-        _delete(spark, source_path)
-        return None  # nothing to create yet
-    if not _exists(spark, path):
-        _by_partition(src, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(path)
-        _layout(spark, path, layout, create=True)
-        _delete(spark, source_path)
-        return spark.read.parquet(path)
-    _layout(spark, path, layout, create=False)
-    target = spark.read.parquet(path)
-    touched = src.select(partition_col).distinct()
-    if not key_determines_partition:
-        moved = (target.select(*keys, partition_col)
-                       .join(src.select(*keys).distinct(), on=keys, how="left_semi")
-                       .select(partition_col).distinct())
-        touched = touched.unionByName(moved).distinct()
-    values = [r[0] for r in touched.collect()]  # bounded by the number of partitions
+    staging = os.path.join(checkpoint_root(spark), "_staging", "upsert", uuid.uuid4().hex)
+    as_text = F.col(partition_col).cast("string").alias("value")
+    touched = src.select(as_text)
+    if not _has_data(spark, path):
+        values, merged = [r[0] for r in touched.distinct().collect()], src
+    else:
+        _layout(spark, path, layout, create=False)
+        target = spark.read.parquet(path)
+        if live is None and not key_determines_partition:
+            touched = touched.unionByName(target.join(src.select(*keys).distinct(), keys, "left_semi").select(as_text))
+        if live is None and remove is not None:
+            touched = touched.unionByName(target.join(remove, remove.columns, "left_semi").select(as_text))
+        values = [r[0] for r in touched.distinct().collect()]  # bounded by the number of partitions
+        values += [v for v in live or [] if v not in values]
+        old = target.filter(_in_partitions(target, partition_col, values))
+        if remove is not None:
+            old = old.join(remove, remove.columns, "left_anti")
+        merged = upsert(old, src.select(*target.columns), keys)
     if not values:
         _delete(spark, source_path)
-        return target
-    has_null = any(v is None for v in values)
-    cond = F.col(partition_col).isin([v for v in values if v is not None])
-    if has_null:
-        cond = cond | F.col(partition_col).isNull()
-    merged = upsert(target.filter(cond), src.select(*target.columns), keys)
-    staging = os.path.join(checkpoint_root(spark), "_staging", "upsert", uuid.uuid4().hex)
+        return None
+    values = [None if v is None else _path_value(v) for v in values]
+    if not _has_data(spark, path):
+        _layout(spark, path, layout, create=True)
     _by_partition(merged, partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(staging)
-    staged = spark.read.schema(target.schema).parquet(staging)
-    (_by_partition(staged.select(*target.columns), partition_col)
-           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(partition_col).parquet(path))
-    # a dynamic overwrite never removes a partition the merge emptied
-    present = {r[0] for r in staged.select(partition_col).distinct().collect()}
-    for v in values:
-        if v not in present:
-            _delete(spark, os.path.join(path, f"{partition_col}={NULL_PARTITION if v is None else _path_value(v)}"))
-    _delete(spark, staging)  # swap done; the staging copies are no longer needed
     _delete(spark, source_path)
-    return spark.read.parquet(path)
+    columns = [f for f in merged.schema.fields if f.name != partition_col] + [merged.schema[partition_col]]
+    return Swap(path, staging, partition_col, values, T.StructType(columns).json())
+
+
+def commit(spark: SparkSession, swaps: list[Swap | None]) -> None:
+    """Put staged partitions in their places: all of ``swaps``, or after a failure whatever ``recover`` finds left of them.
+
+    The intent (tables, staging folders, partition values) is written first
+    and removed last, beside the first table. Every step can be done again:
+    the staged partitions are whole, so a swap that was half done is done over.
+    """
+    swaps = [s for s in swaps if s is not None]
+    if not swaps:
+        return
+    intent = os.path.join(swaps[0].path, INTENTS, f"{uuid.uuid4().hex}.json")
+    _write_text(spark, intent, json.dumps([asdict(s) for s in swaps]))
+    _finish(spark, intent, swaps)
+
+
+def recover(spark: SparkSession, path: str) -> int:
+    """Finish the swaps that an earlier run began beside ``path``; returns their number."""
+    done = 0
+    for intent in _children(spark, os.path.join(path, INTENTS)):
+        text = _read_text(spark, intent)
+        if text is None:  # the run ended while it wrote the intent: no partition has been touched
+            _delete(spark, intent)
+            continue
+        _finish(spark, intent, [Swap(**s) for s in json.loads(text)])
+        done += 1
+    return done
+
+
+def _finish(spark: SparkSession, intent: str, swaps: list[Swap]) -> None:
+    for swap in swaps:
+        _swap(spark, swap)
+    _delete(spark, intent)
+    for swap in swaps:
+        _delete(spark, swap.staging)
+
+
+def _swap(spark: SparkSession, swap: Swap) -> None:
+    """Replace the partitions of ``swap`` by the staged ones; partitions that the merge emptied go."""
+    staged = {n for n in map(os.path.basename, _children(spark, swap.staging)) if "=" in n}
+    folders = {f"{swap.partition_col}={NULL_PARTITION if v is None else v}" for v in swap.values}
+    if staged:
+        data = spark.read.schema(T.StructType.fromJson(json.loads(swap.schema))).parquet(swap.staging)
+        (_by_partition(data, swap.partition_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(swap.partition_col).parquet(swap.path))
+    for folder in folders - staged:
+        _delete(spark, os.path.join(swap.path, folder))
+
+
+def upsert_partitioned(source: DataFrame, path: str, keys: list[str], partition_col: str, partition_expr=None,
+                       key_determines_partition: bool = False, layout: str | None = None,
+                       remove: DataFrame | None = None, live: list | None = None) -> DataFrame | None:
+    """MERGE ``source`` into a partitioned parquet table, rewriting only the partitions it touches.
+
+    The merged partitions are staged in the shared folder (lineage cut), then
+    swapped in with a dynamic partition overwrite. A failure before the swap
+    leaves the table untouched; one during the swap leaves an intent, which
+    the next upsert (or ``recover``) finishes first. See ``prepare_upsert``.
+    """
+    spark = source.sparkSession
+    recover(spark, path)
+    commit(spark, [prepare_upsert(source, path, keys, partition_col, partition_expr, key_determines_partition, layout, remove, live)])
+    return spark.read.parquet(path) if _has_data(spark, path) else None
+
+
+def _in_partitions(table: DataFrame, partition_col: str, values: list):
+    """A static partition filter from values as text."""
+    kind = table.schema[partition_col].dataType
+    cond = F.col(partition_col).isin([F.lit(v).cast(kind) for v in values if v is not None])
+    return cond | F.col(partition_col).isNull() if None in values else cond
+
+
+# -- where the rows of a ticket live ---------------------------------------------
+
+
+def index_add(spark: SparkSession, path: str, rows: DataFrame, key: str, place: str, width: int) -> None:
+    """Note in the index at ``path`` that rows of ``key`` live in partition ``place`` (columns of ``rows``).
+
+    The index is partitioned by range of the key. It only grows, and only by
+    pairs it does not hold: a row that moved leaves its old pair behind, which
+    costs a reader one more partition and never a row. Write it before the
+    table, so that no row is stored without its pair.
+    """
+    pairs = rows.select(F.col(key), F.col(place).cast("string").alias("place"), range_bucket(key, width)).filter(F.col(key).isNotNull()).distinct()
+    if _has_data(spark, path):
+        known = spark.read.schema(_index_schema(rows, key)).parquet(path)
+        known = known.filter(F.col(BUCKET_COL).isin(_buckets(pairs)))
+        pairs = pairs.join(known, (pairs[key] == known[key]) & pairs["place"].eqNullSafe(known["place"]), "left_anti")
+    _by_partition(pairs, BUCKET_COL).write.mode("append").partitionBy(BUCKET_COL).parquet(path)
+
+
+def _index_schema(rows: DataFrame, key: str) -> T.StructType:
+    return T.StructType([rows.schema[key], T.StructField("place", T.StringType()), T.StructField(BUCKET_COL, T.LongType())])
+
+
+def _buckets(rows: DataFrame) -> list:
+    return [r[0] for r in rows.select(BUCKET_COL).distinct().collect()]  # at most one value per partition of the index
+
+
+def places(spark: SparkSession, path: str, keys: DataFrame, width: int) -> list[str | None]:
+    """Partitions in which rows of ``keys`` (one column) may live, by the index at ``path``."""
+    key = keys.columns[0]
+    if not _has_data(spark, path):
+        return []
+    index = spark.read.schema(_index_schema(keys, key)).parquet(path)
+    index = index.filter(F.col(BUCKET_COL).isin(_buckets(keys.select(range_bucket(key, width)))))
+    return [r[0] for r in index.join(keys, key, "left_semi").select("place").distinct().collect()]  # at most one per partition
+
+
+def rows_of(spark: SparkSession, path: str, index: str, keys: DataFrame, partition_col: str, width: int) -> DataFrame | None:
+    """Stored rows of ``keys``, read from the partitions that the index names and from no other."""
+    if not _has_data(spark, path):
+        return None
+    table = spark.read.parquet(path)
+    found = places(spark, index, keys, width)
+    return table.filter(_in_partitions(table, partition_col, found)).join(keys, keys.columns[0], "left_semi").drop(BUCKET_COL)
 
 
 def _by_partition(df: DataFrame, partition_col: str) -> DataFrame:
@@ -205,7 +379,7 @@ def _by_partition(df: DataFrame, partition_col: str) -> DataFrame:
 
 def in_buckets(spark: SparkSession, path: str, buckets: DataFrame) -> DataFrame | None:
     """Stored rows of the partitions that ``buckets`` lists (one value per partition comes to the driver); None without a table."""
-    if not _exists(spark, path):
+    if not _has_data(spark, path):
         return None
     values = [r[0] for r in buckets.distinct().collect()]
     return spark.read.parquet(path).filter(F.col(BUCKET_COL).isin(values)).drop(BUCKET_COL)
@@ -213,9 +387,7 @@ def in_buckets(spark: SparkSession, path: str, buckets: DataFrame) -> DataFrame
 
 def vacuum_versions(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
     """Remove all but the newest ``keep`` versions of a versioned table."""
-    if not _exists(spark, path):
-        return []
-    versions = sorted(r[0] for r in spark.read.parquet(path).select(VERSION_COL).distinct().collect())
+    versions = _versions(spark, path)
     old = versions[:-keep] if keep > 0 else versions
     for v in old:
         _delete(spark, os.path.join(path, f"{VERSION_COL}={v}"))

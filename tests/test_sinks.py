@@ -111,3 +111,83 @@ def test_durable_tables_need_a_named_warehouse(spark):
             sinks.table_path(spark, "silver", "t")
     finally:
         spark.conf.set("callstar.warehouse", before)
+
+
+# -- swaps that fail half way ----------------------------------------------------
+
+def _rows(spark, path):
+    return sorted((r["k"], r["v"], str(r["d"])) for r in spark.read.parquet(path).collect())
+
+
+@pytest.mark.parametrize("first", [True, False])
+def test_a_swap_that_fails_half_way_is_finished_by_the_next_run(spark, monkeypatch, first):
+    """One partition is already gone and the new one not yet there: nothing is lost."""
+    path = os.path.join(tempfile.mkdtemp(prefix="callstar-sink-"), "t")
+    old = spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (3, "c", "y"), (4, "d", "z")], "k int, v string, d string")
+    sinks.upsert_partitioned(old, path, ["k"], "d")
+    new = spark.createDataFrame([(1, "A", "x"), (3, "C", "w")], "k int, v string, d string")
+    plain = sinks._swap
+
+    def broken(session, swap):
+        if not first:
+            plain(session, swap)  # the swap is done, its intent still there
+        else:
+            sinks._delete(session, os.path.join(swap.path, "d=x"))
+        raise RuntimeError("executor and driver lost")
+    monkeypatch.setattr(sinks, "_swap", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        sinks.upsert_partitioned(new, path, ["k"], "d")
+    monkeypatch.setattr(sinks, "_swap", plain)
+    want = [(1, "A", "x"), (2, "b", "x"), (3, "C", "w"), (4, "d", "z")]
+    assert (_rows(spark, path) == want) == (not first)
+    assert sinks.recover(spark, path) == 1
+    assert _rows(spark, path) == want and sinks.recover(spark, path) == 0
+    assert sinks.upsert_partitioned(new, path, ["k"], "d").count() == 4
+
+
+def test_several_tables_are_swapped_as_one(spark, monkeypatch):
+    """A failure between the first and the second table: the recovery does both."""
+    root = tempfile.mkdtemp(prefix="callstar-sink-")
+    paths = [os.path.join(root, n) for n in "ab"]
+    row = spark.createDataFrame([(1, "a", "x")], "k int, v string, d string")
+    for p in paths:
+        sinks.upsert_partitioned(row, p, ["k"], "d")
+    new = spark.createDataFrame([(1, "b", "x"), (2, "c", "y")], "k int, v string, d string")
+    plain = sinks._swap
+    monkeypatch.setattr(sinks, "_swap", lambda s, w: plain(s, w) if w.path == paths[0] else (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        sinks.commit(spark, [sinks.prepare_upsert(new, p, ["k"], "d") for p in paths])
+    monkeypatch.setattr(sinks, "_swap", plain)
+    assert _rows(spark, paths[1]) == [(1, "a", "x")]
+    sinks.recover(spark, paths[0])
+    assert _rows(spark, paths[0]) == _rows(spark, paths[1]) == [(1, "b", "x"), (2, "c", "y")]
+
+
+def test_an_intent_that_was_not_finished_changes_nothing(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="callstar-sink-"), "t")
+    sinks.upsert_partitioned(spark.createDataFrame([(1, "a", "01")], "k int, v string, d string"), path, ["k"], "d")
+    os.makedirs(os.path.join(path, sinks.INTENTS), exist_ok=True)
+    open(os.path.join(path, sinks.INTENTS, "x.json.part"), "w").write("[{")
+    assert sinks.recover(spark, path) == 0
+    out = sinks.upsert_partitioned(spark.createDataFrame([(2, "b", "01")], "k int, v string, d string"), path, ["k"], "d")
+    assert sorted(r["k"] for r in out.collect()) == [1, 2]
+
+
+def test_rows_are_removed_by_another_column(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="callstar-sink-"), "t")
+    sinks.upsert_partitioned(spark.createDataFrame([(1, "a", "x"), (2, "a", "y"), (3, "b", "x")], "k int, v string, d string"), path, ["k"], "d")
+    gone = spark.createDataFrame([("a",)], "v string")
+    sinks.upsert_partitioned(spark.createDataFrame([(9, "n", "z")], "k int, v string, d string"), path, ["k"], "d", remove=gone)
+    assert _rows(spark, path) == [(3, "b", "x"), (9, "n", "z")]
+    assert not os.path.exists(os.path.join(path, "d=y"))
+
+
+def test_versions(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="callstar-sink-"), "v")
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    sinks.upsert_table(first, path, ["k"])
+    assert sinks.replace_table(first.limit(0), path).count() == 0  # an empty version is a version
+    assert sinks.upsert_table(first, path, ["k"], remove=first.select("k")).count() == 2
+    os.makedirs(os.path.join(path, "_version=4"))  # a write that did not finish
+    assert sinks.read_current(spark, path).count() == 2
+    assert sinks.vacuum_versions(spark, path, keep=1) == [1, 2]
