@@ -466,14 +466,15 @@ def _withdraw_batch(lake: Lake):
 def _kept_aggregates(lake: Lake):
     """The stored cost and agent-day aggregates after three daily loads, kept up by the differences of each, summed over days.
 
-    The third day brings tickets again with another agent and reason than the
+    The third day brings tickets again with another agent and channel than the
     second day had, so groups lose rows as well as gain them. (A batch's day is
     part of the date of some tickets, so the dates themselves are left to the tests.)
     """
     from callstar.plans import aggregates as A
     first, second = _two_days(lake)
     again = {"l_tickets": first["l_tickets"].filter("id_ticket % 2 = 0")}
-    wrong = again["l_tickets"].withColumn("id_agent", F.lit("3")).withColumn("reason", F.lit("Branch transfer"))
+    wrong = (again["l_tickets"].filter("channel <> 'carrier pigeon'").withColumn("id_agent", F.lit("3"))
+             .withColumn("channel", F.expr("CASE WHEN channel = 'u.r.a.' THEN 'chat bot' ELSE 'u.r.a.' END")))
     second = second | {"l_tickets": second["l_tickets"].unionByName(wrong)}
     with _loaded(lake, [first, second, again]):
         cost = A.COST.read(lake.spark).groupBy("cd_motivo", "cd_canal").agg(F.sum("qtd_custos").alias("n"), F.sum("val_custo_total").alias("total"))
