@@ -44,7 +44,8 @@ def with_row_id(df: DataFrame, name: str) -> DataFrame:
 
     It does not depend on how Spark splits the scan, so every job and every
     retry sees the same numbers, whatever the cluster's size at that moment.
-    A frame that is not a Parquet scan, or one of more files than
+    Use it on scans, also with filters and projections, not on joins, which
+    repeat rows. A frame that is not a Parquet scan, or one of more files than
     ``FILE_LIST_BYTES`` allows, is written once with its numbers and read back.
     """
     place = fresh(df, name + "_file")

@@ -17,7 +17,8 @@ from its whole html, and a host with most of the pages is split among tasks.
 Defined cases: null or empty html gives an empty text; a null or odd url is the
 host ``''``; broken markup is closed as browsers close it; character references
 are decoded, unknown ones stay; repeated rows are extracted once each; very long
-pages are read whole; an empty table gives an empty result; other columns are
+pages are read whole; elements nested below ``DEEPEST`` levels count as blocks
+of the level above; an empty table gives an empty result; other columns are
 ignored.
 """
 
@@ -26,6 +27,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -45,6 +47,8 @@ CONSTANT_PAGES = 4
 #: Hosts up to which the templates (a few kB each) are broadcast; beyond, they are joined by a shuffle.
 BROADCAST_HOSTS = 5_000
 BROADCAST_ROWS = 1 << 20
+#: Levels of a page's tree; elements nested deeper count as blocks of the one above them.
+DEEPEST = 200
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label",
@@ -82,6 +86,15 @@ class Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("html", "html", False)
         self.stack = [self.root]
+        self.deep: list[tuple[str, bool]] = []  # open elements below the deepest level: tag, role
+        self.deep_tags: Counter = Counter()
+
+    def _leave_deep(self, to: int) -> None:
+        for tag, role in self.deep[to:]:
+            self.deep_tags[tag] -= 1
+            self.deep_tags[None] -= role
+        del self.deep[to:]
+        self.stack[-1].kids.append(Node("hr", "hr", False))
 
     def handle_starttag(self, tag, attrs):
         if tag in VOID:
@@ -95,6 +108,11 @@ class Builder(HTMLParser):
             return
         if tag in ("html", "body") and any(n.tag == tag for n in self.stack[1:]) or tag == "html":
             return
+        if len(self.stack) > DEEPEST:
+            self.deep.append((tag, role))
+            self.deep_tags.update([tag, None] if role else [tag])
+            self.stack[-1].kids.append(Node("hr", "hr", False))
+            return
         if tag in CLOSES:
             closed, limits = CLOSES[tag]
             for i in range(len(self.stack) - 1, 0, -1):
@@ -112,13 +130,20 @@ class Builder(HTMLParser):
         self.stack.append(node)
 
     def handle_endtag(self, tag):
+        if self.deep_tags[tag] > 0:
+            to = len(self.deep) - 1
+            while self.deep[to][0] != tag:
+                to -= 1
+            return self._leave_deep(to)
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
+                if self.deep:
+                    self._leave_deep(0)
                 del self.stack[i:]
                 return
 
     def handle_data(self, data):
-        if not self.stack[-1].role:
+        if not self.stack[-1].role and not self.deep_tags[None]:
             self.stack[-1].kids.append(data)
 
 
@@ -328,7 +353,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
         return pd.DataFrame({"host": [frame["host"].iloc[0]], "template": [induce([h for h in frame["html"] if h])]})
 
     wrappers = stage(sample.groupBy("host").applyInPandas(templates, "host string, template string"), "wrappers")
-    matched = rows.join(F.broadcast(wrappers) if wrappers.count() <= BROADCAST_HOSTS else wrappers, "host")
+    matched = rows.join(F.broadcast(wrappers) if wrappers.count() <= BROADCAST_HOSTS else wrappers, "host", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple | None] = {}

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import base64
 import os
+import re
 import zlib
 from bisect import bisect_right, insort
 from collections import defaultdict
@@ -53,7 +54,9 @@ class Encoder:
 
     The same vocabulary as rank file gives the same ids several times faster
     through ``tiktoken``; the first texts of each task are encoded by both, and
-    a difference stops the job.
+    a difference stops the job. A text that holds one of the tokenizer's added
+    tokens (such as ``<|endoftext|>``) is left to ``tokenizers``, which takes
+    it for that token.
     """
 
     def __init__(self, path: str, ranks: str, pattern: str):
@@ -62,13 +65,16 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True  # such strings in a text are ordinary text
+        added = [t.content for t in self.model.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         with open(ranks, "rb") as lines:
             merges = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=merges, special_tokens={})
         self.unchecked = CHECKED
 
     def encode(self, text: str) -> np.ndarray:
+        if self.added and self.added.search(text):
+            return np.array([*self.model.encode(text, add_special_tokens=False).ids, END], "<u4")
         ids = self.fast.encode_ordinary(text)
         if self.unchecked > 0 and len(text) < 10_000:
             self.unchecked -= 1

@@ -63,7 +63,7 @@ def test_packing_round_trip(odd):
     import public_tokenizers
     from tokenizers import Tokenizer
     model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    model.encode_special_tokens = True
+    assert model.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
     truth = Counter()
     for i, t in ODD:
         truth[(i, tuple(model.encode(t or "", add_special_tokens=False).ids) + (0,))] += 1

@@ -31,6 +31,20 @@ PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style><script
 <div class="comments"><p>Reader says {a}{a}{a}{b}{b}{c}{c}</p></div><aside>Links</aside><form><p>Name</p></form><footer>&copy; all</footer></body></html>"""
 
 
+PROSE = "a quiet river ran past the mill and the old town slept"
+
+
+def test_deeply_nested_pages():
+    """100,000 levels, closed and not: the text stays, roles below the deepest level go, and texts stay apart."""
+    n = 100_000
+    deep = "<html><body><article><p>" + PROSE + "</p>" + "<div>" * n + "one<nav>menu</nav>two" + "</div>" * n + "<p>" + PROSE[::-1] + "</p></article></body></html>"
+    got = op1_wrapper.extract(deep, None).split("\n\n")
+    assert got == [PROSE, "one", "two", PROSE[::-1]]
+    assert op1_wrapper.extract("<body><p>" + PROSE + "</p>" + "<div><section>" * n + "last", None).split("\n\n") == [PROSE, "last"]
+    tree, path = op1_wrapper.json.loads(op1_wrapper.induce([deep.replace("one", w) for w in ("one", "uno", "eins")]))
+    assert op1_wrapper.extract(deep, (op1_wrapper.restore(tree), path)).split("\n\n") == got
+
+
 def test_main_text(spark, tmp_path):
     rng = random.Random(1)
     words = lambda n: " ".join(f"w{rng.randint(0, 999)}" for _ in range(n))
