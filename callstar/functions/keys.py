@@ -28,12 +28,13 @@ def murmur_key(col) -> Column:
     return F.abs(F.hash(F.lower(F.trim(_c(col)))).cast("bigint"))
 
 
-def surrogate(*cols, sep: str = "|") -> Column:
-    """md5 over ids joined by a separator (NULL parts become '').
+def surrogate(*cols, sep: str = "|", null: str = "") -> Column:
+    """md5 over ids joined by a separator (NULL parts become ``null``).
 
-    The separator keeps ('1', '23') and ('12', '3') apart.
+    The separator keeps ('1', '23') and ('12', '3') apart; the source's own
+    key has none, and '0' for NULL.
     """
-    parts = [F.coalesce(_c(c).cast("string"), F.lit("")) for c in cols]
+    parts = [F.coalesce(_c(c).cast("string"), F.lit(null)) for c in cols]
     return F.md5(F.concat_ws(sep, *parts))
 
 

@@ -74,7 +74,7 @@ def yes_no(col) -> Column:
              .when(word == R.NO_WORD, F.lit(False)))
 
 
-def category(col, rules=R.CATEGORY_RULES, default=R.DEFAULT_CATEGORY) -> Column:
+def category(col, rules=R.CATEGORY_RULES + R.ENGLISH_CATEGORY_RULES, default=R.DEFAULT_CATEGORY) -> Column:
     low = F.lower(_c(col))
     expr = None
     for label, pattern in rules:

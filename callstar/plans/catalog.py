@@ -21,7 +21,7 @@ from callstar.functions import normalize as N
 from callstar.functions import rules as R
 from callstar.operators import quality as Q
 from callstar.operators.dedup import drop_duplicates_any, keep_latest
-from callstar.operators.lookup import fk_flag, orphans
+from callstar.operators.lookup import BROADCAST_MAX_BYTES, fk_flag, lookup, orphans
 from callstar.operators.upsert import upsert
 from callstar.plans import gold as G
 from callstar.plans import kpi
@@ -595,6 +595,18 @@ def _fk_orphans(lake: Lake):
                            .select(F.lit("channel").alias("kind"), "raw_value", "n_tickets")))
 
 
+@register("lookup_bounds", "J-11 J-2", ["l_tickets", "v_reasons"],
+          f"SELECT side, r.cd_motivo, count(*) AS n_tickets FROM l_tickets t LEFT JOIN (SELECT lower(trim(ds_motivo)) AS k, min(cd_motivo) AS cd_motivo "
+          f"FROM v_reasons GROUP BY 1) r ON r.k = lower(trim({O.reason_fix('t.reason')})) CROSS JOIN (VALUES ('broadcast'), ('shuffle')) s(side) GROUP BY 1, 2")
+def _lookup_bounds(lake: Lake):
+    """The reason lookup below and above its byte bound: a broadcast and a shuffled join with the same rows."""
+    def side(name: str, max_bytes: int):
+        found = lookup(lake.landing("l_tickets"), lake.reasons.valid(), N.text_key(N.repair_reason("reason")), N.text_key("ds_motivo"),
+                       ["cd_motivo"], max_bytes=max_bytes)
+        return found.groupBy("cd_motivo").agg(F.count(F.lit(1)).alias("n_tickets")).select(F.lit(name).alias("side"), "cd_motivo", "n_tickets")
+    return side("broadcast", BROADCAST_MAX_BYTES).unionByName(side("shuffle", 1))
+
+
 @register("fk_check_ext", "J-9", ["v_tickets", "v_agents", "v_clients"],
           "SELECT t.cd_chamado, t.cd_atendente, (t.cd_atendente IS NULL OR EXISTS (SELECT 1 FROM v_agents a "
           "WHERE a.cd_atendente = t.cd_atendente)) AS flag_fk_atendente_valida, "
@@ -659,8 +671,8 @@ def _fact_agent(lake: Lake):
     return lake.fact_agent
 
 
-@register("fact_service_fanout", "T-14 J-4 (reference-exact fan-out)", ["v_tickets", "v_times", "v_costs", "v_surveys"],
-          f"SELECT md5(concat_ws('|', {O.SERVICE_IDS})) AS pk, t.cd_cliente, t.cd_motivo, t.cd_canal, t.cd_atendente, t.cd_chamado, "
+@register("fact_service_fanout", "T-14 J-4 (source-exact fan-out and key)", ["v_tickets", "v_times", "v_costs", "v_surveys"],
+          f"SELECT md5(concat({O.SOURCE_IDS})) AS pk, t.cd_cliente, t.cd_motivo, t.cd_canal, t.cd_atendente, t.cd_chamado, "
           f"{DF('CAST(coalesce(tt.dh_inicio, t.dt_ingestion) AS DATE)')} AS dt_referencia, "
           f"CAST(hour(coalesce(tt.dh_inicio, t.dt_ingestion)) AS SMALLINT) AS nu_hora_dia, "
           f"CAST(coalesce(t.tm_espera, 0) AS BIGINT) AS val_tempo_espera, "
@@ -674,7 +686,7 @@ def _fact_service_fanout(lake: Lake):
     return G.fact_service_fanout(lake.tickets.valid(), lake.times.valid(), lake.costs.valid(), lake.surveys.valid())
 
 
-@register("fact_agent_fanout", "T-16 J-6 (reference-exact fan-out)", ["v_tickets", "v_surveys"],
+@register("fact_agent_fanout", "T-16 J-6 (source-exact fan-out and key)", ["v_tickets", "v_surveys"],
           "SELECT md5(CAST(cd_atendente AS VARCHAR)) AS pk_performance, cd_atendente, qtd_chamados_atendidos, "
           "val_tempo_trabalhado_seg, CAST(CAST(CASE WHEN n > 0 THEN floor((s * 200 + n) / (n * 2)) END / 100 AS DECIMAL(3,2)) "
           "AS DOUBLE) AS val_nota_media FROM (SELECT t.cd_atendente, count(*) AS qtd_chamados_atendidos, "

@@ -56,7 +56,7 @@ SILVER_PLAN = [
     ("l_surveys", "tb_pesquisa", ["cd_pesquisa"], S.silver_survey),
 ]
 # stored reason/channel tables are broadcast only when proven this small
-LOOKUP_BROADCAST_MAX_ROWS = 1_000_000
+LOOKUP_BROADCAST_BYTES = 32 << 20
 # large gold tables: partition column for touched-partition upserts
 GOLD_PARTITION = {"ft_atendimento_geral": "dt_referencia", "ft_custo_operacional": "dt_referencia",
                   "dm_chamado": sinks.BUCKET_COL}
@@ -192,7 +192,7 @@ def _load_tickets(spark: SparkSession, schema: T.StructType, batch_ts: str) -> N
     if missing:
         raise RuntimeError(f"tickets need {', '.join(missing)}, which no batch has loaded yet")
     tickets = S.silver_ticket(raw, need["tb_motivo"], need["tb_canal"], need["tb_chamado_log"],
-                              lookup_max_rows=LOOKUP_BROADCAST_MAX_ROWS, selected=True)
+                              lookup_max_bytes=LOOKUP_BROADCAST_BYTES, selected=True)
     # a pending ticket keeps its own stamp; the newest record of a ticket wins
     _, rejected = _publish_silver(spark, tickets, "tb_chamado", ["cd_chamado"], batch_ts)
     waiting = rejected.filter(F.col("cd_chamado").isNotNull() & ~(F.col("flag_fk_motivo_valida") & F.col("flag_fk_canal_valida"))).select("cd_chamado")

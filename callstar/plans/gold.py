@@ -132,16 +132,16 @@ def _left_fanout(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def fact_service_fanout(tickets: DataFrame, times: DataFrame, costs: DataFrame, surveys: DataFrame) -> DataFrame:
-    """Reference-exact service fact: every cost and every survey row joined
-    as is, so a ticket with n costs and m surveys yields n x m rows (kept for
-    parity; ``fact_service`` is the de-duplicated fact)."""
+    """Service fact as the source has it: every cost and every survey row joined
+    as is, so a ticket with n costs and m surveys yields n x m rows, under the
+    source's key (kept for parity; ``fact_service`` is the de-duplicated fact)."""
     j = tickets.join(times.select("cd_chamado", "dh_inicio"), "cd_chamado", "left")
     j = _left_fanout(j, costs.select("cd_chamado", "vl_custo"), "cd_chamado")
     j = _left_fanout(j, surveys.select("cd_chamado", "nu_nota"), "cd_chamado")
     ref = F.coalesce(F.col("dh_inicio"), F.col("dt_ingestion"))
     negative = (F.col("tm_espera") > R.NEGATIVE_WAIT_SECONDS) | (F.col("nu_nota") <= R.NEGATIVE_SCORE_MAX)
     return j.select(
-        K.surrogate("cd_cliente", "cd_motivo", "cd_canal", "cd_atendente", "cd_chamado").alias("pk"),
+        K.surrogate("cd_cliente", "cd_motivo", "cd_canal", "cd_atendente", "cd_chamado", sep="", null="0").alias("pk"),
         "cd_cliente", "cd_motivo", "cd_canal", "cd_atendente", "cd_chamado",
         F.to_date(ref).alias("dt_referencia"),
         F.hour(ref).cast("smallint").alias("nu_hora_dia"),
@@ -154,7 +154,7 @@ def fact_service_fanout(tickets: DataFrame, times: DataFrame, costs: DataFrame,
 
 
 def fact_agent_fanout(tickets: DataFrame, surveys: DataFrame) -> DataFrame:
-    """Reference-exact agent fact: tickets joined to every survey row."""
+    """Agent fact as the source has it: tickets joined to every survey row, under the source's key."""
     j = _left_fanout(tickets.filter(F.col("cd_atendente").isNotNull()),
                      surveys.select("cd_chamado", "nu_nota"), "cd_chamado")
     g = j.groupBy("cd_atendente").agg(

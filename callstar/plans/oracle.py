@@ -72,7 +72,7 @@ def status(x: str) -> str:
 
 
 def category(x: str) -> str:
-    whens = " ".join(f"WHEN regexp_matches(lower({x}), '{p}') THEN '{c}'" for c, p in R.CATEGORY_RULES)
+    whens = " ".join(f"WHEN regexp_matches(lower({x}), '{p}') THEN '{c}'" for c, p in R.CATEGORY_RULES + R.ENGLISH_CATEGORY_RULES)
     return f"CASE {whens} ELSE '{R.DEFAULT_CATEGORY}' END"
 
 
@@ -275,6 +275,7 @@ cte("cost_pt", ["v_costs"],
 cte("survey_pt", ["v_surveys"],
     "SELECT cd_chamado, nu_nota FROM v_surveys QUALIFY row_number() OVER (PARTITION BY cd_chamado "
     "ORDER BY dt_ingestion DESC NULLS LAST, cd_pesquisa DESC NULLS LAST, nu_nota DESC NULLS LAST) = 1")
+SOURCE_IDS = ", ".join(f"coalesce(CAST(t.{c} AS VARCHAR), '0')" for c in ("cd_cliente", "cd_motivo", "cd_canal", "cd_atendente", "cd_chamado"))
 SERVICE_IDS = ", ".join(f"coalesce(CAST(t.{c} AS VARCHAR), '')"
                  for c in ["cd_cliente", "cd_motivo", "cd_canal", "cd_atendente", "cd_chamado"])
 cte("ft_service", ["v_tickets", "v_times", "cost_pt", "survey_pt"],

@@ -237,7 +237,7 @@ TICKET_COLS = ["cd_chamado", "cd_cliente", "cd_motivo", "cd_canal", "st_resolvid
 
 
 def silver_ticket(bronze: DataFrame, reasons: DataFrame, channels: DataFrame,
-                  times: DataFrame, batch=None, lookup_max_rows: int | None = None, selected: bool = False,
+                  times: DataFrame, batch=None, lookup_max_bytes: int | None = None, selected: bool = False,
                   history: bool = False) -> Silver:
     """Tickets with reason/channel ids looked up by normalised text and
     durations from ticket times. ``reasons``/``channels``/``times`` are the
@@ -246,17 +246,17 @@ def silver_ticket(bronze: DataFrame, reasons: DataFrame, channels: DataFrame,
     Raw ticket records are deduplicated first (newest stamp, then every raw
     column as tie-break), so a hot ticket id is cut to one row per map task
     before the first shuffle, and the ticket-times join sees unique keys that
-    are already hash-partitioned on the ticket id. ``lookup_max_rows`` (for
+    are already hash-partitioned on the ticket id. ``lookup_max_bytes`` (for
     stored lookup tables) broadcasts a lookup only after proving it has at
-    most that many rows; otherwise AQE decides from the measured size.
+    most that many bytes; otherwise AQE decides from the measured size.
     ``selected`` takes all given records instead of one batch of them, ``history`` with a row for each ticket and batch.
     """
     t = _batch(bronze, batch, selected or history).withColumn("_id", _num(bronze, "id_ticket", "bigint"))
     t = keep_latest(t, ["_id", STAMP_COL], []) if history else keep_latest(t, ["_id"], [STAMP_COL])
     t = lookup(t, reasons, N.text_key(N.repair_reason("reason")), N.text_key("ds_motivo"), ["cd_motivo"],
-               max_rows=lookup_max_rows)
+               max_bytes=lookup_max_bytes)
     t = lookup(t, channels, N.canonical_channel("channel"), F.col("nm_canal"), ["cd_canal"],
-               max_rows=lookup_max_rows)
+               max_bytes=lookup_max_bytes)
     tt = times.select(F.col("cd_chamado").alias("_tid"), "dh_abertura", "dh_inicio", "dh_fim")
     t = t.join(tt, t["_id"] == tt["_tid"], "left")
     df = t.select(

@@ -55,8 +55,15 @@ def test_status_and_yes_no(spark):
 
 
 def test_category_first_match_wins(spark):
-    assert one(spark, N.category("x"), "Card invoice problem") == "CARD"
-    assert one(spark, N.category("x"), "Other matter") == "UNCLASSIFIED"
+    assert one(spark, N.category("x"), "Card invoice problem") == "CARTAO"
+    assert one(spark, N.category("x"), "Other matter") == "NAO CLASSIFICADO"
+    for raw, want in [("Alteração de dados cadastrais (vencimento da fatura, telefone, email)", "CADASTRAL"), ("Bloqueio de cartão", "CARTAO"),
+                      ("Transferência de agência", "CADASTRAL"), ("Compra não autorizada", "CARTAO"), ("Contestação de fatura", "FINANCEIRO"),
+                      ("Renegociação de dívida", "FINANCEIRO"), ("Problema com aplicativo", "ATENDIMENTO"), ("SUPORTE TÉCNICO", "ATENDIMENTO"),
+                      ("Dúvidas gerais sobre programa de pontos", "BENEFICIOS"), ("Contratação de cartão adicional", "CARTAO"),
+                      ("Cancelamento de cartão", "CADASTRAL"), ("Limite do contrato", "FINANCEIRO"), ("transferencia", "NAO CLASSIFICADO"), ("", "NAO CLASSIFICADO")]:
+        assert one(spark, N.category("x"), raw) == want, raw
+    assert one(spark, N.category("x"), None) == "NAO CLASSIFICADO"
 
 
 def test_criticality(spark):

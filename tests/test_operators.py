@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from callstar.operators import quality as Q
 from callstar.operators.dedup import drop_duplicates_any, keep_latest
-from callstar.operators.lookup import fk_flag, lookup, orphans
+from callstar.operators.lookup import fits, fk_flag, lookup, orphans
 from callstar.operators.upsert import upsert
 from callstar.plans import silver as S
 from callstar.sources.batches import as_of, batch_diff, latest_batch
@@ -72,6 +72,36 @@ def test_fk_checks(spark):
     assert [r["id"] for r in orphans(child, parent, "fk", "pk").collect()] == [2]
     flags = {r["id"]: r["ok"] for r in fk_flag(child, parent, "fk", "pk", "ok").collect()}
     assert flags == {1: True, 2: False, 3: False}
+    many = spark.range(5000).select("id", F.when(F.col("id") % 5 == 0, F.lit(10)).cast("int").alias("fk"))  # most rows have no key
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = fk_flag(many, parent, "fk", "pk", "ok")
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        assert out.filter("ok").count() == 1000 and out.count() == 5000 and len(sizes) > 1 and max(sizes) < 4000
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_broadcast_is_decided_by_bytes(spark, tmp_path):
+    narrow = spark.range(2000).select(F.col("id").cast("string").alias("n"), "id")
+    wide = spark.range(20).select(F.repeat(F.col("id").cast("string"), 100_000).alias("n"), "id")
+    assert fits(narrow, 1 << 20) and not fits(wide, 1 << 20) and fits(wide, 8 << 20)  # twenty rows, two megabytes
+    wide.write.parquet(str(tmp_path / "wide"))
+    assert not fits(spark.read.parquet(str(tmp_path / "wide")), 1 << 20)
+    assert fits(narrow.limit(0), 0)
+    facts = spark.createDataFrame([("1",), ("x",)], "name string")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plans = [lookup(facts, narrow, F.col("name"), F.col("n"), ["id"], max_bytes=b)._jdf.queryExecution().executedPlan().toString() for b in (1 << 20, 1000)]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" in plans[1]
 
 
 def _stamped(spark, rows):
