@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from callstar.llm import op2_exact, op3_pack, op8_hilbert, op9_pii, op10_jaccard
@@ -152,9 +153,11 @@ def test_jaccard_groups(odd):
     assert same([(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got], link_truth(ODD))
 
 
-def test_jaccard_families_and_common_passages(spark, tmp_path, monkeypatch):
-    """Chains of near copies, a passage in many texts, and the order that puts its shingles last."""
-    monkeypatch.setattr(op10_jaccard, "COMMON", 4)
+@pytest.mark.parametrize("few,tile,tested,each", [(64, 2048, 1 << 18, 256), (2, 3, 4, 1 << 30), (4, 8, 50, 0)])
+def test_jaccard_families_and_common_passages(spark, tmp_path, monkeypatch, few, tile, tested, each):
+    """Chains of near copies, a passage in many texts, the order that puts its shingles last, and columns cut into many tiles."""
+    for name, value in {"COMMON": 4, "FEW": few, "TILE": tile, "TESTED": tested, "PAIRS_EACH": each}.items():
+        monkeypatch.setattr(op10_jaccard, name, value)
     rng = np.random.default_rng(3)
     word = lambda: f"v{rng.integers(0, 5000)}"
     passage = [word() for _ in range(30)]
@@ -176,6 +179,28 @@ def test_jaccard_families_and_common_passages(spark, tmp_path, monkeypatch):
     assert sorted(r["doc_id"] for r in got if r["kept"]) == sorted({t[2] for t in truth})
 
 
+def test_tile_counts_are_the_product():
+    """Tiles of odd sizes in batches of odd lengths against all pairs, counted column by column."""
+    rng = np.random.default_rng(5)
+    column = np.sort(rng.integers(0, 12, 300))
+    rows = {"s": column, "c": rng.integers(0, 40, 300), "n": rng.integers(90, 130, 300)}
+    rows["n"], rows["root"] = 90 + rows["c"], rows["c"] // 2
+    table = pa.table({**rows, **{p: np.zeros(300, np.int64) for p in op10_jaccard.PARITY}, **{k: np.zeros(300, np.int32) for k in ("low", "i", "j", "side")}})
+    truth = Counter()
+    for s in range(12):
+        at = rows["c"][column == s]
+        for k, x in enumerate(at):
+            for y in at[k + 1:]:
+                if x // 2 != y // 2 and min(x, y) + 90 >= 0.8 * (max(x, y) + 90):
+                    truth[min(x, y), max(x, y)] += 1
+    for size in (1, 7, 300):
+        got = Counter()
+        for b in op10_jaccard._tile_counts(iter(table.to_batches(size))):
+            for r in b.to_pylist():
+                got[r["x"], r["y"]] += r["k"]
+        assert got == truth
+
+
 # -- personal data ----------------------------------------------------------------
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
