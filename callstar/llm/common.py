@@ -33,6 +33,14 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unstage(df: DataFrame) -> None:
+    """Remove what ``stage`` wrote for ``df`` (its direct result), once all that was read from it is written."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Bytes of file names up to which the list of files is broadcast (about 200,000 files).
 FILE_LIST_BYTES = 32 << 20
 #: Bits of a row id that hold the row's place in its file.
