@@ -72,5 +72,6 @@ f AS (SELECT doc_id, text, max(doc_id) OVER (PARTITION BY text) AS keep_id, coun
 SELECT doc_id, keep_id, group_size, r = 1 AS kept, sha256(text) AS text_sha256 FROM f
 """
 
-ORACLES = {"op2_exact_dedup": EXACT_SQL, "op7_perspectives": op7_rotate.ORACLE, "op11_warc_salvage": op11_warc.ORACLE,
+ORACLES = {"op2_exact_dedup": EXACT_SQL, "op7_perspectives": op7_rotate.ORACLE, "op10_ngram_jaccard": op10_jaccard.ORACLE,
+           "op11_warc_salvage": op11_warc.ORACLE,
            "op12_phrase_collocations": op12_collocations.ORACLE, "op13_merkle_manifest": op13_merkle.ORACLE}

@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -179,6 +180,14 @@ def test_jaccard_families_and_common_passages(spark, tmp_path, monkeypatch, few,
     assert sorted(r["doc_id"] for r in got if r["kept"]) == sorted({t[2] for t in truth})
 
 
+def test_jaccard_sql():
+    """The SQL of the query on the odd documents."""
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    db.executemany("INSERT INTO documents VALUES (?, ?)", ODD)
+    assert same(db.execute(op10_jaccard.ORACLE).fetchall(), link_truth(ODD))
+
+
 def test_tile_counts_are_the_product():
     """Tiles of odd sizes in batches of odd lengths against all pairs, counted column by column."""
     rng = np.random.default_rng(5)
