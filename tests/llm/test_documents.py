@@ -157,7 +157,7 @@ def test_jaccard_groups(odd):
 @pytest.mark.parametrize("few,tile,tested,each", [(64, 2048, 1 << 18, 256), (2, 3, 4, 1 << 30), (4, 8, 50, 0)])
 def test_jaccard_families_and_common_passages(spark, tmp_path, monkeypatch, few, tile, tested, each):
     """Chains of near copies, a passage in many texts, the order that puts its shingles last, and columns cut into many tiles."""
-    for name, value in {"COMMON": 4, "FEW": few, "TILE": tile, "TESTED": tested, "PAIRS_EACH": each}.items():
+    for name, value in {"COMMON": 4, "FEW": few, "TILE": tile, "TESTED": tested, "HELD": 2 * tested, "PAIRS_EACH": each}.items():
         monkeypatch.setattr(op10_jaccard, name, value)
     rng = np.random.default_rng(3)
     word = lambda: f"v{rng.integers(0, 5000)}"
@@ -188,8 +188,11 @@ def test_jaccard_sql():
     assert same(db.execute(op10_jaccard.ORACLE).fetchall(), link_truth(ODD))
 
 
-def test_tile_counts_are_the_product():
+@pytest.mark.parametrize("held", [1 << 20, 5])
+def test_tile_counts_are_the_product(monkeypatch, held):
     """Tiles of odd sizes in batches of odd lengths against all pairs, counted column by column."""
+    monkeypatch.setattr(op10_jaccard, "TESTED", 16)
+    monkeypatch.setattr(op10_jaccard, "HELD", held)
     rng = np.random.default_rng(5)
     column = np.sort(rng.integers(0, 12, 300))
     rows = {"s": column, "c": rng.integers(0, 40, 300), "n": rng.integers(90, 130, 300)}
@@ -206,6 +209,7 @@ def test_tile_counts_are_the_product():
         got = Counter()
         for b in op10_jaccard._tile_counts(iter(table.to_batches(size))):
             for r in b.to_pylist():
+                assert held == 5 or (r["x"], r["y"]) not in got
                 got[r["x"], r["y"]] += r["k"]
         assert got == truth
 
