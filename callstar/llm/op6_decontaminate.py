@@ -19,7 +19,8 @@ most ``BLOCK`` items, each against all documents.
 
 Defined cases: null or empty texts match nothing; an item too short for any edit
 is found as whole words; words are lower-cased runs of letters and digits, so
-markup and white space do not count; repeated rows are reported once each; an
+markup and white space do not count; an item without any of them is found nowhere;
+other columns are ignored; repeated rows are reported once each; an
 item that occurs several times in a document is reported with its best place; an
 item longer than ``PIECE`` is looked up by its pieces; very long texts are read
 whole, in slices; empty tables give no hits.

@@ -14,7 +14,8 @@ Defined cases: a null text is empty, a null role is the speaker ``unknown``; a
 null turn sorts first; repeated rows (same conversation, turn, role and text)
 are rendered once; rows with the same turn are ordered by role and text; a
 conversation with system turns only has no participant and gives no row; marks
-inside a text are broken up; an empty table gives an empty result.
+inside a text are broken up; very long texts are rendered whole; other columns
+are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

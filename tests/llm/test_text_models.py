@@ -7,6 +7,7 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -289,6 +290,28 @@ def test_rotation(spark):
     assert r["rendered"][a:b] == "hi < |im_end|><|im_end|>" and r["n_masked"] == b - a
 
 
+def test_rotation_of_no_rows_and_beside_other_columns(spark):
+    rows = [(1, 0, "ann", "hi"), (1, 1, "bob", ""), (1, 1, "bob", "x" * 300_000), (None, None, None, None)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert op7_rotate.rotate(frame.limit(0)).count() == 0
+    beside = frame.select("*", *(F.lit("other").alias(c) for c in ("block", "part", "rows", "c", "b", "perspective", "rendered", "mask", "n_turns", "n_masked")))
+    plainly, clashing = ({tuple(r) for r in op7_rotate.rotate(f).collect()} for f in (frame, beside))
+    assert plainly == clashing and {r[1] for r in plainly} == {"ann", "bob", "unknown"}
+
+
+def test_benchmark_items_beside_other_columns(spark, tmp_path):
+    """Columns named like those of the result, an item of marks only (found nowhere) and an empty one."""
+    item = "the quick brown fox jumps over the lazy dog near the river bank"
+    path = str(tmp_path / "d.parquet")
+    spark.createDataFrame([(1, f"before {item} after"), (2, "nothing of the kind ?! ..."), (3, None)], "doc_id long, text string").select(
+        "*", *(F.lit("other").alias(c) for c in ("item_id", "hit", "distance", "word", "first_word"))).write.parquet(path)
+    docs = spark.read.parquet(path)
+    bench = spark.createDataFrame([(7, item, "other"), (8, "?! ...", "other"), (9, "", "other")], "item_id long, text string, doc_id string")
+    assert [(r["doc_id"], r["item_id"], r["distance"]) for r in op6_decontaminate.contaminated(docs, bench).collect()] == [(1, 7, 0)]
+    left = op6_decontaminate.clean(docs, bench)
+    assert left.columns == docs.columns and {r["doc_id"] for r in left.collect()} == {2, 3}
+
+
 def test_crowded_blocks_are_split(spark):
     rows = [(1, t, f"p{k % 2}", f"text {k}") for t in range(130) for k in range(20)]
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
