@@ -34,14 +34,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from callstar.llm.common import blank_joined, mix, spans, stage, utf8, word_hashes
+from callstar.llm.common import blank_joined, mix, passes, probes, spans, stage, utf8, word_hashes
 
 LEAST, LONGEST, REPORTED = 10, 3, 2000
 #: A longer phrase this frequent, relative to a candidate inside it, replaces it.
 COVERED_NUM, COVERED_DEN = 50, 100
 #: Bits of a filter for each frequent group, and the most that a filter has (32 MB).
 BITS_EACH, FILTER_BITS = 16, 1 << 28
-PROBES = 4
 #: Occurrences that a task counts at once.
 COUNTED_TOGETHER = 1 << 22
 #: Tasks' share of a language's ranking.
@@ -163,12 +162,6 @@ def group_key(lang: str, words: list[np.ndarray]) -> np.ndarray:
     return h
 
 
-def _probes(key: np.ndarray, bits: int) -> Iterator[np.ndarray]:
-    a, b = key, mix(key) | np.uint64(1)
-    for k in range(PROBES):
-        yield (a + np.uint64(k) * b) & np.uint64(bits - 1)
-
-
 def _bit_rows(names: list[str], bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -176,7 +169,7 @@ def _bit_rows(names: list[str], bits: int):
             words = [b.column(n).to_numpy(zero_copy_only=False) for n in names]
             for code in np.unique(langs):
                 mine = langs == code
-                bit = np.concatenate(list(_probes(group_key(known[code], [w[mine] for w in words]), bits)))
+                bit = np.concatenate(list(probes(group_key(known[code], [w[mine] for w in words]), bits)))
                 slot = (bit >> np.uint64(6)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array((np.uint64(1) << (bit & np.uint64(63))).view(np.int64))], ["slot", "bits"])
     return run
@@ -196,13 +189,6 @@ def frequent_filter(groups: DataFrame, k: int) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def passes(table: np.ndarray, key: np.ndarray) -> np.ndarray:
-    ok = np.ones(len(key), bool)
-    for bit in _probes(key, len(table) << 6):
-        ok &= (table[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
-    return ok
-
-
 # -- merge join and counts ---------------------------------------------------------------
 
 def merge_join(at: np.ndarray, words: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:

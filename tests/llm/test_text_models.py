@@ -158,6 +158,29 @@ def test_toxicity_counts_every_fold(spark, tmp_path):
     assert min(score[i] for i, _ in probes if i % 2) > max(score[i] for i, _ in probes if not i % 2)
 
 
+def test_toxicity_expressions_beyond_the_bounds_count(spark, tmp_path, monkeypatch):
+    """Scores are the same when nearly all of the model is joined, not sent to the workers."""
+    rng = random.Random(18)
+    rows, labels = [], []
+    for i in range(1200):
+        toxic = i % 3 == 0
+        words = [f"w{rng.randint(0, 30)}" for _ in range(14)] + [f"foe{rng.randint(0, 11)}" if toxic else f"pal{rng.randint(0, 11)}"]
+        words += "left right up down".split() if toxic else "left down up right".split()  # only the bigrams tell
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    rows += [(2000, None), (2001, "foe3"), (2002, "w1 left right"), (2002, "w1 left right"), (2003, "unheard of"), (None, "pal4 foe5")]
+    path = str(tmp_path / "d.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(path)
+    docs, marks = spark.read.parquet(path), spark.createDataFrame(labels, "doc_id long, toxic int")
+    scores = lambda: sorted((str(r["doc_id"]), round(r["score"], 5)) for r in op4_toxicity.score(docs, marks).collect())
+    want = scores()
+    monkeypatch.setattr(op4_toxicity, "WORDS", 3)
+    monkeypatch.setattr(op4_toxicity, "BIGRAMS", 2)
+    assert scores() == want and len(want) == len(rows)
+    score = dict(want)
+    assert score["2001"] > score["2003"] and score["2002"] > score["2003"]
+
+
 def test_toxicity_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(1, 1), (2, 0), (8, 1), (8, 0), (3, None), (None, 1), (777, 1)], "doc_id long, toxic int")
     assert len(op4_toxicity.score(odd, labels).collect()) == len(ODD)
