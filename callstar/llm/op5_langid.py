@@ -2,15 +2,17 @@
 
 A text becomes a normalised TF-IDF vector of its byte 2- and 3-grams (letters
 only, hashed to ``DIMS`` places). Each language has several centroids, found by
-spherical k-means on a bounded sample of its labelled rows; a text gets the
+spherical k-means on its labelled rows; a text gets the
 language of the centroid with the largest cosine. A text too far from every
 centroid for its length is rejected: the threshold of a length class is
-``SLACK`` of the smallest cosine that a sampled text of that length or more
-reached, and a text of few n-grams is never too far.
+``SLACK`` of the smallest cosine that a learned text of that length or more
+reached (one in ``OUTLIERS`` of a language's left out), and a text of few n-grams is never too far.
 
-Document frequencies cover all rows that may be learned from; only the
-clustering uses the sample of ``SAMPLE`` rows a language. The model (languages
-x ``CLUSTERS`` x ``DIMS`` floats) is what goes to the workers.
+Document frequencies, centroids and thresholds cover all rows that may be
+learned from: each round of the clustering adds up all of them, per task and
+then by centroid and place. Only the centroids that the first round begins with
+come from about ``SAMPLE`` rows a language. The model (languages x ``CLUSTERS`` x
+``DIMS`` floats) is what goes to the workers.
 
 Defined cases: null text or one without letters is ``und``, score 0, rejected;
 rows with null lang or null doc_id are predicted but not learned from; with
@@ -33,12 +35,19 @@ from pyspark.sql import functions as F
 from callstar.llm.common import SLICE, blank_joined, spans, utf8, with_row_id
 
 DIMS = 4096
-#: Labelled rows of a language that its centroids are fitted on.
+#: Labelled rows of a language that its first centroids come from.
 SAMPLE = 400
 CLUSTERS = 3
+#: Most rounds of the clustering, and the change of a centroid's place that ends it.
 ROUNDS = 8
+STILL = 1e-3
+#: Sums travel as whole numbers of this unit, so that they do not depend on the order of adding.
+UNIT = 2.0 ** -24
+#: One row of a language in so many may be further from its centroids than the threshold tells, which is read off so many bins of the cosine.
+OUTLIERS = 400
+BINS = 1000
 UNKNOWN = "und"
-#: Share of the smallest sampled cosine that a text must reach, if it has 2**SHORT n-grams or more.
+#: Share of the smallest learned cosine that a text must reach, if it has 2**SHORT n-grams or more.
 SLACK = 0.4
 SHORT = 7
 
@@ -137,27 +146,87 @@ def fit(documents: DataFrame, learn: Column, sample: int = SAMPLE, clusters: int
     share = F.create_map(*(x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, sample / n)))))
     chosen = rows.filter(F.pmod(F.xxhash64("uid"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
 
-    def centres(frame: pd.DataFrame) -> pd.DataFrame:
+    def first_centres(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("uid")
         counts = np.vstack([c for _, c in vectors(frame["text"])])
         counts = counts[counts.sum(axis=1) > 0]
-        if not len(counts):
-            return pd.DataFrame({"lang": [], "centroid": [], "least": []})
-        v = tf_idf(counts, idf)
-        c = cluster(v, clusters)
-        best, kind = (v @ c.T).max(axis=1), length_class(counts)
-        least = np.array([best[kind >= b].min(initial=2.0) for b in range(32)], np.float32)
-        return pd.DataFrame({"lang": frame["lang"].iloc[0], "centroid": [x.tobytes() for x in c], "least": least.tobytes()})
+        c = cluster(tf_idf(counts, idf), clusters) if len(counts) else []
+        return pd.DataFrame({"lang": [frame["lang"].iloc[0]] * len(c), "centroid": [x.tobytes() for x in c]}, columns=["lang", "centroid"])
 
-    found = chosen.groupBy("lang").applyInPandas(centres, "lang string, centroid binary, least binary").collect()
+    found = chosen.groupBy("lang").applyInPandas(first_centres, "lang string, centroid binary").collect()
     found.sort(key=lambda r: (r["lang"], bytes(r["centroid"])))
     langs = sorted({r["lang"] for r in found})
-    least = np.min([np.frombuffer(r["least"], np.float32) for r in found], axis=0) if found else np.zeros(32)
+    owner = np.array([langs.index(r["lang"]) for r in found], int)
+    centroids = np.array([np.frombuffer(r["centroid"], np.float32) for r in found]).reshape(-1, DIMS)
+    if not langs:
+        return Model(idf, langs, owner, centroids, np.zeros(32))
+    learned = rows.filter(F.col("lang").isin(langs)).select("text", "lang")
+    for _ in range(ROUNDS):
+        moved = _moved(learned, idf, langs, owner, centroids)
+        change, centroids = np.abs(moved - centroids).max(), moved
+        if change < STILL:
+            break
+    return Model(idf, langs, owner, centroids, _least(learned, idf, langs, owner, centroids))
+
+
+def _own(batch: pa.RecordBatch, idf: np.ndarray, langs: list[str], owner: np.ndarray, centroids: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """For ranges of rows (text, lang) that have n-grams: language, vector, n-gram counts, and nearest centroid of the own language with its cosine."""
+    offsets, data = utf8(batch.column(0))
+    lang = np.array([langs.index(x) for x in batch.column(1).to_pylist()], int)
+    for lo, counts in gram_counts(offsets, data):
+        some = counts.sum(axis=1) > 0
+        counts, own = counts[some], lang[lo:lo + len(counts)][some]
+        v = tf_idf(counts, idf)
+        cosine = np.where(owner[None] == own[:, None], v @ centroids.T, -np.inf)
+        near = cosine.argmax(axis=1) if len(v) else own
+        yield own, v, counts, near, cosine[np.arange(len(v)), near]
+
+
+def _moved(learned: DataFrame, idf: np.ndarray, langs: list[str], owner: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """One round of the clustering over all rows: the mean direction of each centroid's rows; one without rows stays."""
+    shared = learned.sparkSession.sparkContext.broadcast((idf, langs, owner, centroids))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(shared.value[3].shape)
+        for b in batches:
+            for _, v, _, near, _ in _own(b, *shared.value):
+                for j in np.unique(near):
+                    total[j] += v[near == j].sum(axis=0, dtype=np.float64)
+        flat = np.rint(total.ravel() / UNIT).astype(np.int64)
+        at = np.flatnonzero(flat)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(flat[at])], ["place", "total"])
+
+    sums = learned.mapInArrow(run, "place long, total long").groupBy("place").agg(F.sum("total").alias("total")).toArrow()  # as many rows as the model has numbers
+    out = np.zeros(centroids.size)
+    out[sums.column("place").to_numpy()] = sums.column("total").to_numpy()
+    out = out.reshape(centroids.shape)
+    norm = np.linalg.norm(out, axis=1, keepdims=True)
+    return np.where(norm > 0, out / np.where(norm > 0, norm, 1), centroids).astype(np.float32)
+
+
+def _least(learned: DataFrame, idf: np.ndarray, langs: list[str], owner: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """Rejection threshold of each length class, from the cosines of all rows, counted by language, class and bin."""
+    shared = learned.sparkSession.sparkContext.broadcast((idf, langs, owner, centroids))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(len(langs) * 32 * BINS, np.int64)
+        for b in batches:
+            for own, _, counts, _, cosine in _own(b, *shared.value):
+                bin_ = (cosine * BINS).astype(int).clip(0, BINS - 1)
+                n += np.bincount((own * 32 + length_class(counts)) * BINS + bin_, minlength=len(n))
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], ["place", "n"])
+
+    got = learned.mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    n = np.zeros(len(langs) * 32 * BINS, np.int64)
+    n[got.column("place").to_numpy()] = got.column("n").to_numpy()
+    reaching = n.reshape(-1, 32, BINS)[:, ::-1].cumsum(axis=1)[:, ::-1].cumsum(axis=2)  # rows of that length or more, up to each bin
+    size = reaching[:, :, -1:]
+    least = np.where(size[..., 0] > 0, (reaching > size // OUTLIERS).argmax(axis=2) / BINS, 2.0).min(axis=0)
     reached = least[least < 2]
     least = np.where(least < 2, least, reached.max(initial=0)) * SLACK
     least[:SHORT] = -1
-    return Model(idf, langs, np.array([langs.index(r["lang"]) for r in found], int),
-                 np.array([np.frombuffer(r["centroid"], np.float32) for r in found]).reshape(-1, DIMS), least)
+    return least
 
 
 def predictor(documents: DataFrame, model: Model):

@@ -121,6 +121,28 @@ def test_far_texts_are_rejected(spark, tmp_path):
     assert got[99] and not got[98] and sum(got.values()) == 1
 
 
+def test_centroids_and_thresholds_come_from_all_rows(spark, tmp_path):
+    """Each centroid is the mean of all rows nearest to it, however few it began with."""
+    rng = random.Random(6)
+    speak = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(60))
+    rows = [(i, speak("abcde" if i % 6 else "uvwxyz"), "en") for i in range(1200)] + [(i, speak("ghijk"), "de") for i in range(2000, 2400)]
+    path = str(tmp_path / "d.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    model = op5_langid.fit(docs, op5_langid.part(3) != 1, sample=12)
+    learned = [r for r in rows if crc(r[0]) % 3 != 1]
+    counts = np.vstack([c for _, c in op5_langid.vectors(op5_langid.pd.Series([t for _, t, _ in learned]))])
+    v = op5_langid.tf_idf(counts, model.idf)
+    own = np.array([model.langs.index(lang) for _, _, lang in learned])
+    cosine = np.where(model.owner[None] == own[:, None], v @ model.centroids.T, -1)
+    near = cosine.argmax(axis=1)
+    for j in range(len(model.owner)):  # each centroid is the mean of all of its rows
+        mean = v[near == j].mean(axis=0)
+        assert np.abs(mean / np.linalg.norm(mean) - model.centroids[j]).max() < 0.01
+    got = op5_langid.identify(docs).toPandas()
+    assert not got["rejected"].any() and (got["lang_pred"] == [lang for i in got["doc_id"] for lang in ["de" if i >= 2000 else "en"]]).all()
+
+
 def test_grams_do_not_cross_rows():
     alone = [next(op5_langid.vectors(op5_langid.pd.Series([t])))[1][0] for t in ("abc def", "ghi", "", "jk l")]
     together = next(op5_langid.vectors(op5_langid.pd.Series(["abc def", "ghi", "", "jk l"])))[1]
