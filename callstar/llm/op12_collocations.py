@@ -31,10 +31,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from callstar.llm.common import blank_joined, mix, passes, probes, spans, stage, utf8, word_hashes
+from callstar.llm.common import BATCH_BYTES, blank_joined, bounded_batches, mix, passes, probes, spans, stage, utf8, word_hashes
 
 LEAST, LONGEST, REPORTED = 10, 3, 2000
 #: A longer phrase this frequent, relative to a candidate inside it, replaces it.
@@ -43,6 +44,8 @@ COVERED_NUM, COVERED_DEN = 50, 100
 BITS_EACH, FILTER_BITS = 16, 1 << 28
 #: Occurrences that a task counts at once.
 COUNTED_TOGETHER = 1 << 22
+#: Words (of a few documents each) that a task holds before it adds up their counts and passes them on.
+HELD_WORDS = 1 << 19
 #: Tasks' share of a language's ranking.
 RANK_PARTS = 64
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
@@ -76,22 +79,22 @@ FIRST = "lang string, at array<int>, w1 array<long>, word binary, h long, n long
 
 
 def _occurrences(base: int):
-    """Documents to the relation of length 1, with rows of (lang, word, h, n) between: the words of a few documents, counted."""
+    """Documents to the relation of length 1, with rows of (lang, word, h, n) between: the words of many documents, counted."""
     names = ["lang", "at", "w1", "word", "h", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[tuple[pa.Array, np.ndarray, np.ndarray]]] = {}
         for b in batches:
             offsets, data = utf8(b.column("text"))
             langs, known = _codes(b.column("lang"))
-            for lo, hi in spans(offsets, 16 << 20):
+            for lo, hi in spans(offsets, BATCH_BYTES):
                 buf, ends = blank_joined(offsets, data, lo, hi)
                 start, end, h = word_hashes(buf, _GAP, base)
                 cut = np.searchsorted(start, ends)
                 # a document's places: words before, plus pieces ended before
-                pieces = np.cumsum(_BREAK[buf], dtype=np.int64)[start] if len(start) else start
+                pieces = np.cumsum(_BREAK[buf], dtype=np.int32)[start] if len(start) else start
                 first = np.concatenate([[0], cut[:-1]])
                 here = np.repeat(np.arange(hi - lo), np.diff(np.concatenate([[0], cut])))
-                before = pieces[np.minimum(first, max(len(pieces) - 1, 0))] if len(pieces) else np.zeros(hi - lo, np.int64)
                 step = np.ones(len(start), np.int64)
                 step[1:] += np.diff(pieces) > 0
                 place = np.cumsum(step)
@@ -101,9 +104,16 @@ def _occurrences(base: int):
                 none = pa.nulls(hi - lo, pa.int64())
                 yield pa.RecordBatch.from_arrays([lang, _lists(place.astype(np.int32), cut, pa.int32()), _lists(h.view(np.int64), cut, pa.int64()),
                                                   pa.nulls(hi - lo, pa.binary()), none, none], names)
-                yield from counted(h, start, end, buf, own[here], known)
+                for lang, part in counted(h, start, end, buf, own[here], known):
+                    held.setdefault(lang, []).append(part)
+                if sum(len(p[1]) for parts in held.values() for p in parts) > HELD_WORDS:
+                    for lang in list(held):
+                        yield from added(lang, held.pop(lang))
+        for lang, parts in held.items():
+            yield from added(lang, parts)
 
-    def counted(h, start, end, buf, lang, known) -> Iterator[pa.RecordBatch]:
+    def counted(h, start, end, buf, lang, known) -> Iterator[tuple[str, tuple[pa.Array, np.ndarray, np.ndarray]]]:
+        """By language: words, hashes, counts."""
         if not len(h):
             return
         low = np.where((buf >= 65) & (buf <= 90), buf + 32, buf).astype(np.uint8)
@@ -111,17 +121,28 @@ def _occurrences(base: int):
         for code in np.unique(lang):
             n = np.bincount(of[lang == code], minlength=len(at))
             have = np.flatnonzero(n)
-            yield words(low, start[at[have]], end[at[have]], h[at[have]], n[have], known[code])
-        odd = differing(low, start, end, at[of])
+            yield known[code], (words(low, start[at[have]], end[at[have]]), h[at[have]], n[have])
+        odd = differing(low, start, end, at[of])[:1]
         if len(odd):  # another word than the one shown for its hash: shown too, so that the dictionary sees both
-            yield words(low, start[odd[:1]], end[odd[:1]], h[odd[:1]], np.zeros(1, np.int64), known[lang[odd[0]]])
+            yield known[lang[odd[0]]], (words(low, start[odd], end[odd]), h[odd], np.zeros(1, np.int64))
+
+    def added(lang: str, parts: list[tuple[pa.Array, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        word, h, n = pa.concat_arrays([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
+        _, at, of = np.unique(h, return_index=True, return_inverse=True)
+        yield shown(lang, word.take(pa.array(at)), h[at], np.bincount(of, weights=n).astype(np.int64))
+        same = pc.equal(word, word.take(pa.array(at[of]))).to_numpy(zero_copy_only=False)
+        odd = np.flatnonzero(~same)[:1]
+        if len(odd):
+            yield shown(lang, word.take(pa.array(odd)), h[odd], np.zeros(1, np.int64))
 
-    def words(low, start, end, h, n, lang) -> pa.RecordBatch:
+    def words(low, start, end) -> pa.Array:
         size, lens = len(start), end - start
         ends = np.cumsum(lens)
-        shown = low[np.arange(int(ends[-1])) + np.repeat(start - (ends - lens), lens)]
-        word = pa.Array.from_buffers(pa.binary(), size, [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(shown)])
-        none = np.zeros(size, np.int64)
+        letters = low[np.arange(int(ends[-1])) + np.repeat(start - (ends - lens), lens)]
+        return pa.Array.from_buffers(pa.binary(), size, [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)), pa.py_buffer(letters)])
+
+    def shown(lang: str, word: pa.Array, h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        size, none = len(h), np.zeros(len(h), np.int64)
         return pa.RecordBatch.from_arrays([pa.array([lang] * size, pa.string()), _lists([], none, pa.int32()), _lists([], none, pa.int64()),
                                            word, pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names)
     return run
@@ -141,6 +162,7 @@ def differing(low: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.nda
 
 def _dictionary(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The relation of length 1 (lang, at, w1) and its counts (lang, w1, word, n), under a base that keeps all words apart."""
+    bounded_batches(documents.sparkSession)
     texts = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
     for base in BASES:
         both = stage(texts.mapInArrow(_occurrences(base), FIRST), "occurrences")

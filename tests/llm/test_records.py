@@ -2,10 +2,13 @@
 
 import os
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from hashlib import sha256
 
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -297,3 +300,20 @@ def test_ragged_trees(spark, tmp_path, n, monkeypatch):
 
 def test_empty_manifest(empty):
     assert op13_merkle.manifest(empty).collect() == []
+
+
+def test_collocation_tasks_hold_few_words_at_once():
+    text = " ".join(f"w{i % 5000}" for i in range(350))
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 7000), pa.array([text] * 7000)], ["lang", "text"])
+    tracemalloc.start()
+    out = [b.num_rows for b in op12_collocations._occurrences(op12_collocations.BASES[0])(iter([batch]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(out) == 7000 + 350
+    assert peak < 250 << 20
+
+
+def test_collocation_words_of_one_hash_are_seen_across_batches():
+    batches = [pa.RecordBatch.from_arrays([pa.array(["en"]), pa.array([t])], ["lang", "text"]) for t in ("ab ab", "ba")]
+    shown = pa.Table.from_batches(list(op12_collocations._occurrences(1)(iter(batches)))).filter(pc.is_valid(pc.field("word")))
+    assert sorted(zip(shown["word"].to_pylist(), shown["n"].to_pylist())) == [(b"ab", 3), (b"ba", 0)]  # base 1: a word's hash is the sum of its bytes
