@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callstar.llm.common import SLICE, spans, utf8
+from callstar.llm.common import SLICE, bounded_batches, spans, utf8
 
 #: Share of an item's characters that may be edited.
 EDITS = 0.2
@@ -288,7 +288,7 @@ def exact(index: Index, k: int, stretch: str) -> tuple[int, int]:
 
 def scan(offsets: np.ndarray, data: np.ndarray, index: Index) -> Iterator[tuple[int, list[tuple]]]:
     """Rows with hits: (item_id, distance, similarity, first word)."""
-    for lo, hi in spans(offsets, 8 * SLICE):
+    for lo, hi in spans(offsets, 2 * SLICE):
         if offsets[hi] == offsets[lo]:
             continue
         chars, row_ends = plain_rows(offsets, data, lo, hi)
@@ -348,6 +348,7 @@ def blocks(benchmark: DataFrame, size: int = BLOCK) -> Iterator[tuple[list, list
 
 def finder(documents: DataFrame, ids: list, texts: list[str]):
     """A column function: text to an array of (item_id, distance, similarity)."""
+    bounded_batches(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast((ids, texts, make_plans(texts)))
 
     @F.pandas_udf("array<struct<item_id:long,distance:int,similarity:double,word:int>>")

@@ -1,6 +1,7 @@
 """Page extraction, toxicity, language ID, decontamination, dialogues, the pipeline and the SQL oracles."""
 
 import random
+import tracemalloc
 import zlib
 
 import duckdb
@@ -398,3 +399,16 @@ def test_oracle(spark, name):
     cols = sorted(got.columns)
     assert cols == sorted(want.columns)
     assert sorted(map(repr, got[cols].values.tolist())) == sorted(map(repr, want[cols].values.tolist()))
+
+
+def test_decontamination_holds_few_texts_at_once():
+    item = "seven wizards boldly quiz a jumbo vixen near the old stone bridge"
+    index = op6_decontaminate.Index([1], [item], op6_decontaminate.make_plans([item]))
+    offsets, data = utf8(pa.array([PARA * 10 if k % 100 else item for k in range(6000)], pa.large_string()))
+    plain = utf8(pa.array(["other words of no item " * 50] * 6000 + [item], pa.large_string()))
+    tracemalloc.start()
+    hits = [r for r, _ in op6_decontaminate.scan(*plain, index)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert hits == [6000] and peak < 80 << 20
+    assert [r for r, _ in op6_decontaminate.scan(offsets[:102], data, index)] == list(range(101))
