@@ -47,6 +47,8 @@ UNIT = 2.0 ** -24
 OUTLIERS = 400
 BINS = 1000
 UNKNOWN = "und"
+#: Rows whose vectors a task holds at once (16 kB each, several times over).
+ROWS = 256
 #: Share of the smallest learned cosine that a text must reach, if it has 2**SHORT n-grams or more.
 SLACK = 0.4
 SHORT = 7
@@ -70,7 +72,7 @@ def _places(low: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 def gram_counts(offsets: np.ndarray, data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """For ranges of rows: the first row, and a row of n-gram counts for each."""
-    for lo, hi in spans(offsets, SLICE // 4):
+    for lo, hi in spans(offsets, SLICE // 4, ROWS):
         out = np.zeros((hi - lo, DIMS), np.float32)
         buf, ends = blank_joined(offsets, data, lo, hi)
         for at in range(0, len(buf), SLICE):  # several slices only for a very long row, which stands alone

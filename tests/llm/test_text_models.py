@@ -401,6 +401,13 @@ def test_oracle(spark, name):
     assert sorted(map(repr, got[cols].values.tolist())) == sorted(map(repr, want[cols].values.tolist()))
 
 
+def test_language_vectors_of_few_rows_at_once():
+    offsets, data = utf8(pa.array(["ab cd"] * 2000, pa.large_string()))
+    parts = list(op5_langid.gram_counts(offsets, data))
+    assert sum(len(c) for _, c in parts) == 2000 and [lo for lo, _ in parts] == sorted(lo for lo, _ in parts)
+    assert max(len(c) for _, c in parts) <= op5_langid.ROWS
+
+
 def test_decontamination_holds_few_texts_at_once():
     item = "seven wizards boldly quiz a jumbo vixen near the old stone bridge"
     index = op6_decontaminate.Index([1], [item], op6_decontaminate.make_plans([item]))
