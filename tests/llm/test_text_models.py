@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from callstar.llm import op1_wrapper, op4_toxicity, op5_langid, op6_decontaminate, op7_rotate
-from callstar.llm.common import utf8, word_hashes
+from callstar.llm.common import BATCH_BYTES, table, utf8, with_row_id, word_hashes
 
 from .conftest import ODD, PARA
 
@@ -419,3 +419,18 @@ def test_decontamination_holds_few_texts_at_once():
     tracemalloc.stop()
     assert hits == [6000] and peak < 80 << 20
     assert [r for r, _ in op6_decontaminate.scan(offsets[:102], data, index)] == list(range(101))
+
+
+def test_batches_are_cut_by_bytes(spark, tmp_path):
+    path = str(tmp_path / "documents.parquet")
+    spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat('some words ', 2000)").alias("text")).write.parquet(path)
+    docs = spark.read.parquet(path)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    for bound in (lambda: table(spark, str(tmp_path), "documents"), lambda: with_row_id(docs, "uid"), lambda: docs.filter(op6_decontaminate.finder(docs, [1], ["a b"])("text").isNull())):
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        bound()
+        assert max(r.n for r in docs.select("text").mapInArrow(sizes, "n long").collect()) < 2 * BATCH_BYTES
