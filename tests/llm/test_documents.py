@@ -180,6 +180,45 @@ def test_jaccard_families_and_common_passages(spark, tmp_path, monkeypatch, few,
     assert sorted(r["doc_id"] for r in got if r["kept"]) == sorted({t[2] for t in truth})
 
 
+@pytest.mark.parametrize("whole", [1 << 12, 140, 20])
+def test_jaccard_verifies_few_pairs_of_a_family(spark, tmp_path, monkeypatch, whole):
+    """Near copies about as similar as a link asks for: few of their pairs are verified, in one row each unless sets are long, and every link counts."""
+    rng = np.random.default_rng(11)
+    base, rows = [f"v{k}" for k in range(150)], []
+    for i in range(150):
+        text = list(base)
+        for at in rng.integers(5, 145, 2):
+            text[at] = f"u{i}x{at}"
+        rows.append((i, " ".join(text[:150 - int(rng.integers(0, 8))])))
+    path = str(tmp_path / "d.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(path)
+    stage, seen = op10_jaccard.stage, Counter()
+
+    def counting(df, tag):
+        out = stage(df, tag)
+        seen[tag] += out.count() if tag in ("pairs", "counts") else 0
+        return out
+
+    for name, value in {"stage": counting, "COMMON": 4, "WHOLE": whole}.items():
+        monkeypatch.setattr(op10_jaccard, name, value, raising=name != "WHOLE")
+    got = op10_jaccard.jaccard_groups(spark.read.parquet(path)).collect()
+    truth = link_truth(rows)
+    assert 1 < len({t[2] for t in truth}) < 75
+    assert same([(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got], truth)
+    assert seen["pairs"] < 10 * len(rows) and seen["counts"] < 10 * len(rows)
+
+
+def test_whole_rows_and_cut_rows(monkeypatch):
+    """A set has the rows that its pairs ask for: whole up to ``WHOLE``, in blocks if one of its pairs may be longer."""
+    monkeypatch.setattr(op10_jaccard, "WHOLE", 100)
+    texts = [" ".join(f"w{k}" for k in range(n + 4)) for n in (50, 79, 80, 100, 101, 300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(texts)], ["uid", "text"])
+    got = pa.Table.from_batches(op10_jaccard._blocks(iter([batch]))).to_pylist()
+    sizes = {(c, cut): sum(len(r["row"]) for r in got if r["c"] == c and (r["block"] >= 0) == cut) for c in range(6) for cut in (False, True)}
+    assert [sizes[c, False] for c in range(6)] == [50, 79, 80, 100, 0, 0]
+    assert [sizes[c, True] for c in range(6)] == [0, 0, 80, 100, 101, 300]
+
+
 def test_jaccard_sql():
     """The SQL of the query on the odd documents."""
     db = duckdb.connect()
@@ -188,6 +227,29 @@ def test_jaccard_sql():
     assert same(db.execute(op10_jaccard.ORACLE).fetchall(), link_truth(ODD))
 
 
+@pytest.mark.parametrize("size", [1, 7, 300])
+def test_tile_nearest_by_parity(monkeypatch, size):
+    """The nearest classes of each class, in tiles of odd sizes in batches of odd lengths, against all pairs."""
+    monkeypatch.setattr(op10_jaccard, "TESTED", 16)
+    rng = np.random.default_rng(6)
+    column, bits = np.sort(rng.integers(0, 12, 300)), rng.integers(0, 1 << 16, (40, 4))
+    c = rng.integers(0, 40, 300)
+    table = pa.table({"s": column, "c": c, "n": np.full(300, 300), "root": c // 2, **{p: bits[c, k] for k, p in enumerate(op10_jaccard.PARITY)},
+                      **{k: np.zeros(300, np.int32) for k in ("low", "i", "j", "side")}})
+    truth = defaultdict(set)
+    for s in range(12):
+        for x in c[column == s]:
+            for y in c[column == s]:
+                far = sum(int(a ^ b).bit_count() for a, b in zip(bits[x], bits[y]))
+                if x // 2 != y // 2 and far * 180 <= 600 * 20:
+                    truth[int(x)].add((far / 600, int(y)))
+    got = defaultdict(set)
+    for b in op10_jaccard._tile_nearest(iter(table.to_batches(size))):
+        for r in b.to_pylist():
+            got[r["c"]].add((r["far"], r["other"]))
+    assert got == {x: set(sorted(v)[:op10_jaccard.NEAREST]) for x, v in truth.items()}
+
+
 @pytest.mark.parametrize("held", [1 << 20, 5])
 def test_tile_counts_are_the_product(monkeypatch, held):
     """Tiles of odd sizes in batches of odd lengths against all pairs, counted column by column."""
