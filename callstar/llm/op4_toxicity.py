@@ -211,7 +211,8 @@ def train(documents: DataFrame, labels: DataFrame) -> Model | None:
             code = encode(b.column("word").to_numpy(zero_copy_only=False).view(np.uint64), frequent.value)
             yield b.set_column(b.schema.names.index("word"), "word", pa.array(code.view(np.int64)))
 
-    words, pairs = words.mapInArrow(coded, words.schema), stage(_count(counted, frequent), "bigrams")
+    # sorted rows take less room: equal first words stand together
+    words, pairs = words.mapInArrow(coded, words.schema), stage(_count(counted, frequent).sortWithinPartitions("first", "word"), "bigrams")
     model = fit(words, pairs, frequent, F.col("ordinary") + F.col("drawn_ordinary"), F.col("toxic") + F.col("drawn_toxic"))
     if model is None:
         return None

@@ -434,3 +434,14 @@ def test_batches_are_cut_by_bytes(spark, tmp_path):
         spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
         bound()
         assert max(r.n for r in docs.select("text").mapInArrow(sizes, "n long").collect()) < 2 * BATCH_BYTES
+
+
+def test_toxicity_bigrams_are_staged_sorted(spark, monkeypatch):
+    """The largest staged table lies sorted, which is what keeps it small."""
+    stage, found = op4_toxicity.stage, []
+    monkeypatch.setattr(op4_toxicity, "stage", lambda df, tag: (found.append((tag, stage(df, tag))), found[-1][1])[1])
+    op4_toxicity.train(*(spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels")))
+    rows = next(df for tag, df in found if tag == "bigrams" and "drawn_toxic" in df.columns)
+    for file in rows.inputFiles():
+        keys = [(r["first"], r["word"]) for r in spark.read.parquet(file).coalesce(1).select("first", "word").collect()]
+        assert keys and keys == sorted(keys)
