@@ -59,31 +59,36 @@ _FOLD[97:123] = np.arange(97, 123)
 _FOLD[128:] = np.arange(128, 256)
 
 
-def _places(low: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    code = np.zeros(max(0, len(low) - width + 1), np.uint32)
-    letters = np.zeros(len(code), np.uint8)
-    for j in range(width):
-        part = low[j:len(low) - width + 1 + j]
-        code = code * np.uint32(257) + part
-        letters += part != 32
-    at = (code * np.uint32(2654435761) + np.uint32(width)) * np.uint32(2246822519) >> np.uint32(20)
-    return at.astype(np.int64) % DIMS, letters > 1
+def _places(low: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For widths 2 and 3: the width, the place of the n-gram that begins at each byte, and whether it holds two letters."""
+    code, letter = low.astype(np.uint32), low != 32
+    two = letter[:-1] & letter[1:]
+    good = {2: two, 3: two[:-1] | letter[2:] & (letter[:-2] | letter[1:-1])}
+    for width in (2, 3):
+        code = code[:-1] * np.uint32(257) + low[width - 1:]
+        at = (code * np.uint32(2654435761) + np.uint32(width)) * np.uint32(2246822519) >> np.uint32(20)
+        yield width, at % np.uint32(DIMS) if DIMS < 1 << 12 else at, good[width]
 
 
 def gram_counts(offsets: np.ndarray, data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """For ranges of rows: the first row, and a row of n-gram counts for each."""
     for lo, hi in spans(offsets, SLICE // 4, ROWS):
-        out = np.zeros((hi - lo, DIMS), np.float32)
+        out = np.zeros((hi - lo) * DIMS, np.float32)
         buf, ends = blank_joined(offsets, data, lo, hi)
+        first = np.repeat(np.arange(hi - lo) * DIMS, np.diff(ends, prepend=0)) if hi - lo > 1 else None  # of each byte's row
         for at in range(0, len(buf), SLICE):  # several slices only for a very long row, which stands alone
             low = _FOLD[buf[at:at + SLICE + 2]]
-            row = np.searchsorted(ends, np.arange(at, at + len(low)), side="right")
-            for width in (2, 3):
-                place, good = _places(low[:SLICE + width - 1], width)
-                own = row[:len(place)]
-                good &= own == row[width - 1:width - 1 + len(place)]  # no gram across two rows
-                out += np.bincount(own[good] * DIMS + place[good], minlength=out.size).reshape(out.shape)
-        yield lo, out
+            keys = []
+            for width, place, good in _places(low):
+                good = good[:SLICE]
+                if width == 3:  # no gram across two rows
+                    over = np.concatenate([ends - 2, ends - 1]) - at
+                    good[over[(over >= 0) & (over < len(good))]] = False
+                begin = np.flatnonzero(good)
+                key = place[begin].astype(np.int64)
+                keys.append(key if first is None else key + first[begin])  # rows that share a range fit one slice
+            out += np.bincount(np.concatenate(keys), minlength=len(out))
+        yield lo, out.reshape(hi - lo, DIMS)
 
 
 def tf_idf(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
