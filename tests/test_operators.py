@@ -157,3 +157,16 @@ def test_left_fanout_equals_left_join_with_hot_key(spark):
     want = sorted(map(tuple, left.join(right, "k", "left").select("k", "l", "r").collect()), key=str)
     got = sorted(map(tuple, _left_fanout(left, right, "k").select("k", "l", "r").collect()), key=str)
     assert got == want and len(got) == 53
+
+
+def test_fanout_reads_its_left_side_once(spark, tmp_path):
+    """The rows of the left outer join (keys without a match, null keys, a hot key, repeated rows), with the left side once in the plan."""
+    from callstar.plans import gold
+    path = str(tmp_path / "left.parquet")
+    spark.sql("SELECT CASE WHEN id % 7 > 0 THEN id % 40 END AS cd_chamado, id % 3 AS v FROM range(300)").write.parquet(path)
+    left = spark.read.parquet(path)
+    right = spark.sql("SELECT CASE WHEN id % 5 > 0 THEN IF(id % 3 = 0, 1, id % 25) END AS cd_chamado, nullif(id % 4, 0) AS w FROM range(200)")
+    got = gold._left_fanout(left, right, "cd_chamado")
+    want = left.join(right, "cd_chamado", "left").select(got.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation [cd_chamado") == 1
