@@ -191,3 +191,60 @@ def test_versions(spark):
     os.makedirs(os.path.join(path, "_version=4"))  # a write that did not finish
     assert sinks.read_current(spark, path).count() == 2
     assert sinks.vacuum_versions(spark, path, keep=1) == [1, 2]
+
+
+# -- what a load moves ---------------------------------------------------------
+
+def test_staged_partitions_are_moved_not_written_again(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="callstar-sink-"), "t")
+    first = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "k int, v string, d string")
+    swap = sinks.prepare_upsert(first, path, ["k"], "d")
+    staged = sorted(os.path.basename(f) for f in _files(swap.staging))
+    assert staged and sinks.read_current(spark, path) is None
+    sinks.commit(spark, [swap])
+    assert sorted(os.path.basename(f) for f in _files(path)) == staged and not os.path.exists(swap.staging)
+
+
+def test_a_swap_that_moved_some_partitions_keeps_them(spark, monkeypatch):
+    """The second partition cannot be moved at first: the recovery must not take the first one, no longer staged, for an emptied one."""
+    path = os.path.join(tempfile.mkdtemp(prefix="callstar-sink-"), "t")
+    sinks.upsert_partitioned(spark.createDataFrame([(1, "a", "x"), (2, "b", "y"), (3, "c", "z")], "k int, v string, d string"), path, ["k"], "d")
+    swap = sinks.prepare_upsert(spark.createDataFrame([(1, "A", "x"), (3, "C", "y")], "k int, v string, d string"), path, ["k"], "d")
+    plain = sinks._fs
+
+    def broken(session, place):
+        if place == os.path.join(path, "d=y"):
+            raise RuntimeError("lost")
+        return plain(session, place)
+    monkeypatch.setattr(sinks, "_fs", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        sinks.commit(spark, [swap])
+    monkeypatch.setattr(sinks, "_fs", plain)
+    assert os.path.exists(os.path.join(path, "d=x")) and not os.path.exists(os.path.join(swap.staging, "d=x"))
+    assert sinks.recover(spark, path) == 1
+    assert _rows(spark, path) == [(1, "A", "x"), (2, "b", "y"), (3, "C", "y")] and not os.path.exists(os.path.join(path, "d=z"))
+
+
+def test_a_merge_of_whole_buckets_shuffles_each_row_once(spark):
+    """Replaced, removed, new and NULL keys; one exchange for the target, the source and the removed keys together."""
+    path = os.path.join(tempfile.mkdtemp(prefix="callstar-sink-"), "b")
+    bucket = sinks.hash_bucket(["k"], 4)
+    old = spark.createDataFrame([(k, "old") for k in range(8)] + [(None, "old"), (None, "older")], "k long, v string")
+    sinks.upsert_partitioned(old, path, ["k"], "_bucket", bucket, key_determines_partition=True)
+    new = spark.createDataFrame([(0, "new"), (1, "new"), (9, "new"), (None, "new")], "k long, v string")
+    gone = spark.createDataFrame([(1,), (2,), (2,), (77,)], "k long")
+    out = sinks.upsert_partitioned(new, path, ["k"], "_bucket", bucket, key_determines_partition=True, remove=gone)
+    got = sorted((str(r["k"]), r["v"]) for r in out.collect())
+    assert got == sorted([("0", "new"), ("1", "new"), ("9", "new"), ("None", "new"), ("None", "old"), ("None", "older")] + [(str(k), "old") for k in range(3, 8)])
+    src = new.withColumn("_bucket", bucket.cast("int"))
+    plan = sinks._merged(out, src, ["k"], "_bucket", gone.withColumn("_bucket", bucket))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_rows_of_few_partitions_are_not_shuffled_for_the_write(spark, monkeypatch):
+    plain, asked = sinks._by_partition, []
+    monkeypatch.setattr(sinks, "_by_partition", lambda df, c: asked.append(c) or plain(df, c))
+    root = tempfile.mkdtemp(prefix="callstar-sink-")
+    days = spark.range(40).select(F.col("id").alias("k"), (F.col("id") % 2).cast("string").alias("d"))
+    assert sinks.upsert_partitioned(days, os.path.join(root, "few"), ["k"], "d").count() == 40 and not asked
+    assert sinks.upsert_partitioned(days.withColumn("d", F.col("k").cast("string")), os.path.join(root, "many"), ["k"], "d").count() == 40 and asked == ["d"]
