@@ -276,6 +276,26 @@ def test_tile_counts_are_the_product(monkeypatch, held):
         assert got == truth
 
 
+@pytest.mark.parametrize("held", [1 << 20, 5])
+def test_tile_counts_drop_pairs_that_share_too_little(monkeypatch, held):
+    """Sixty long sets share a passage of 20 columns, two of them 60 columns more under two leads: only that pair is passed on, with all of its columns."""
+    monkeypatch.setattr(op10_jaccard, "TESTED", 16)
+    monkeypatch.setattr(op10_jaccard, "HELD", held)
+    rows = [(1, s, c) for s in range(20) for c in range(60)] + [(2 + s % 2, 20 + s, c) for s in range(60) for c in (3, 4)]
+    rows.sort()
+    lead, s, c = (np.array(x, np.int64) for x in zip(*rows))
+    rest = np.array([(c == x).sum() - ((c == x) & (lead == y)).sum() for x, y in zip(c, lead)])
+    table = pa.table({"s": s, "c": c, "n": np.full(len(c), 800), "root": c, "lead": lead, **{p: np.zeros(len(c), np.int64) for p in op10_jaccard.PARITY},
+                      "rest": rest, **{k: np.zeros(len(c), np.int32) for k in ("low", "i", "j", "side")}})
+    for size in (1, 7, 5000):
+        got, others = Counter(), 0
+        for b in op10_jaccard._tile_counts(iter(table.to_batches(size))):
+            for r in b.to_pylist():
+                got[r["x"], r["y"]] += r["k"]
+                others += (r["x"], r["y"]) != (3, 4)
+        assert got[3, 4] == 80 and (others == 0 or held == 5)  # 800 and 800 need 72 of them
+
+
 # -- personal data ----------------------------------------------------------------
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
